@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from contrail.functions import columns as C
 from contrail.functions.time import instant, minus_minutes
 from contrail.operators.keyed import lookup
-from contrail.operators.state import restore, set_deleted
+from contrail.operators.state import restore_flagged, set_flagged_deleted
 
 # Fixed values, in minutes.
 GRACE_MINUTES = 5
@@ -27,19 +27,44 @@ def keys_in_latest_fetch(raw: DataFrame) -> DataFrame:
     return newest.filter(F.col("hex").isNotNull()).select("hex").distinct()
 
 
-def vanished(state: DataFrame, raw: DataFrame, grace_minutes: int = GRACE_MINUTES) -> DataFrame:
-    """Live keys silent for longer than the grace period and not in the latest poll.
+def _with_polled(state: DataFrame, raw: DataFrame) -> DataFrame:
+    """The state with ``_polled``: is the key in the latest poll?"""
+    polled = keys_in_latest_fetch(raw).withColumn("_polled", F.lit(True))
+    return state.join(polled, "hex", "left").withColumn(
+        "_polled", F.coalesce("_polled", F.lit(False))
+    )
+
+
+def with_vanished(
+    state: DataFrame, raw: DataFrame, grace_minutes: int = GRACE_MINUTES, flag: str = "_gone"
+) -> DataFrame:
+    """Flag live keys silent for longer than the grace period and not in the latest poll.
 
     ``grace_minutes=0`` flags every live key older than the latest poll.
     """
-    silent = state.filter("is_deleted = false").filter(
-        F.col("last_seen_at") < minus_minutes(latest_fetch(raw), grace_minutes)
-    )
-    return silent.join(keys_in_latest_fetch(raw), "hex", "left_anti").select(
-        "hex", "callsign", "last_seen_at"
+    silent = F.col("last_seen_at") < minus_minutes(latest_fetch(raw), grace_minutes)
+    gone = ~F.col("is_deleted") & silent & ~F.col("_polled")
+    return (
+        _with_polled(state, raw).withColumn(flag, F.coalesce(gone, F.lit(False))).drop("_polled")
     )
 
 
+def with_returned(state: DataFrame, raw: DataFrame, flag: str = "_back") -> DataFrame:
+    """Flag vanished keys that are in the latest poll."""
+    away = F.col("is_deleted") & (F.col("deleted_reason") == C.DISAPPEARED)
+    back = F.coalesce(away & F.col("_polled"), F.lit(False))
+    return _with_polled(state, raw).withColumn(flag, back).drop("_polled")
+
+
+def vanished(state: DataFrame, raw: DataFrame, grace_minutes: int = GRACE_MINUTES) -> DataFrame:
+    flagged = with_vanished(state, raw, grace_minutes)
+    return flagged.filter("_gone").select("hex", "callsign", "last_seen_at")
+
+
+def returned(state: DataFrame, raw: DataFrame) -> DataFrame:
+    return with_returned(state, raw).filter("_back").select("hex", "callsign")
+
+
 def vanish_events(
     gone: DataFrame,
     raw: DataFrame,
@@ -97,13 +122,10 @@ def mark_disappeared(
     gone = vanished(state, raw, grace_minutes)
     events = vanish_events(gone, raw, cdc, suppress_minutes, as_of)
     flagged = cascade_deleted(clean, gone, as_of=as_of) if cascade_clean else clean
-    return set_deleted(state, gone, C.DISAPPEARED, as_of), flagged, events
-
-
-def returned(state: DataFrame, raw: DataFrame) -> DataFrame:
-    """Vanished keys present in the latest poll."""
-    away = state.filter(F.col("is_deleted") & (F.col("deleted_reason") == C.DISAPPEARED))
-    return away.join(keys_in_latest_fetch(raw), "hex", "left_semi").select("hex", "callsign")
+    new_state = set_flagged_deleted(
+        with_vanished(state, raw, grace_minutes), "_gone", C.DISAPPEARED, as_of
+    )
+    return new_state, flagged, events
 
 
 def reactivate(
@@ -120,7 +142,7 @@ def reactivate(
         latest_fetch(raw).alias("event_at"),
         instant(as_of).alias("detected_at"),
     )
-    return restore(state, back, as_of), events
+    return restore_flagged(with_returned(state, raw), "_back", as_of), events
 
 
 def disappeared_since(state: DataFrame, minutes: int = 60, as_of: datetime | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail import schemas
@@ -45,49 +45,50 @@ def set_deleted(
     state: DataFrame, keys: DataFrame, reason: str, as_of: datetime | None = None, key: str = "hex"
 ) -> DataFrame:
     """Soft-delete the state rows of the given keys."""
-    return _update_keys(
-        state,
-        keys,
-        key,
-        {
-            "is_deleted": F.lit(True),
-            "deleted_at": instant(as_of),
-            "deleted_reason": F.lit(reason),
-            "_updated_at": instant(as_of),
-        },
-    )
+    return set_flagged_deleted(_flag_keys(state, keys, key), "_hit", reason, as_of)
 
 
 def restore(
     state: DataFrame, keys: DataFrame, as_of: datetime | None = None, key: str = "hex"
 ) -> DataFrame:
     """Clear the soft delete of the given keys; closed history stays closed."""
-    return _update_keys(
-        state,
-        keys,
-        key,
-        {
-            "is_deleted": F.lit(False),
-            "deleted_at": F.lit(None).cast("timestamp"),
-            "deleted_reason": F.lit(None).cast("string"),
-            "_updated_at": instant(as_of),
-        },
-    )
+    return restore_flagged(_flag_keys(state, keys, key), "_hit", as_of)
+
+
+def set_flagged_deleted(
+    state: DataFrame, flag: str, reason: str, as_of: datetime | None = None
+) -> DataFrame:
+    """Soft-delete the rows whose flag column is TRUE, and drop the flag."""
+    changes = {
+        "is_deleted": F.lit(True),
+        "deleted_at": instant(as_of),
+        "deleted_reason": F.lit(reason),
+        "_updated_at": instant(as_of),
+    }
+    return _change_where(state, flag, changes)
 
 
-def _update_keys(state: DataFrame, keys: DataFrame, key: str, changes: dict) -> DataFrame:
+def restore_flagged(state: DataFrame, flag: str, as_of: datetime | None = None) -> DataFrame:
+    """Clear the soft delete of the rows whose flag column is TRUE, and drop the flag."""
+    changes = {
+        "is_deleted": F.lit(False),
+        "deleted_at": F.lit(None).cast("timestamp"),
+        "deleted_reason": F.lit(None).cast("string"),
+        "_updated_at": instant(as_of),
+    }
+    return _change_where(state, flag, changes)
+
+
+def _flag_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     marked = keys.select(key).distinct().withColumn("_hit", F.lit(True))
-    joined = state.join(marked, key, "left")
-    return joined.select(
-        *[
-            (
-                F.when(F.col("_hit"), changes[name]).otherwise(F.col(name))
-                if name in changes
-                else F.col(name)
-            ).alias(name)
-            for name in state.columns
-        ]
-    )
+    return df.join(marked, key, "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)))
+
+
+def _change_where(df: DataFrame, flag: str, changes: dict[str, Column]) -> DataFrame:
+    hit = F.col(flag)
+    return df.withColumns(
+        {name: F.when(hit, new).otherwise(F.col(name)) for name, new in changes.items()}
+    ).drop(flag)
 
 
 def soft_delete(
@@ -99,8 +100,6 @@ def soft_delete(
     key: str = "hex",
 ) -> tuple[DataFrame, DataFrame]:
     """(state, history) with the keys deleted and their open versions closed."""
-    marked = keys.select(key).distinct().withColumn("_hit", F.lit(True))
-    close = F.coalesce("_hit", F.lit(False)) & F.col("is_current")
     changes = {
         "effective_to": instant(as_of),
         "is_current": F.lit(False),
@@ -108,12 +107,8 @@ def soft_delete(
         "deleted_at": instant(as_of),
         "deleted_reason": F.lit(reason),
     }
-    closed = history.join(marked, key, "left").select(
-        *[
-            (F.when(close, changes[n]).otherwise(F.col(n)) if n in changes else F.col(n)).alias(n)
-            for n in history.columns
-        ]
-    )
+    flagged = _flag_keys(history, keys, key).withColumn("_hit", F.col("_hit") & F.col("is_current"))
+    closed = _change_where(flagged, "_hit", changes)
     return set_deleted(state, keys, reason, as_of, key), closed
 
 

@@ -24,10 +24,10 @@ from contrail.operators.lifecycle import (
     SUPPRESS_MINUTES,
     reactivate,
     vanish_events,
-    vanished,
+    with_vanished,
 )
 from contrail.operators.scd2 import scd2_step
-from contrail.operators.state import merge_current, set_deleted
+from contrail.operators.state import merge_current, set_flagged_deleted
 from contrail.plans import kpis, marts
 from contrail.sources.tables import NO_VERSION, Lake
 
@@ -73,7 +73,8 @@ def run_silver(
     mark = progress.agg(F.coalesce(F.max("mark"), epoch).alias("mark"))
     fresh = raw.filter(F.col("fetched_at") > mark.scalar())
 
-    lives = state.select("hex", "life")
+    # Only keys that have vanished before carry a life other than 0.
+    lives = state.filter("life > 0").select("hex", "life")
     clean = lookup(clean_observations(fresh, "N", as_of=as_of), lives, ["hex"]).withColumn(
         "life", F.coalesce("life", F.lit(0))
     )
@@ -82,20 +83,15 @@ def run_silver(
 
     woken, return_events = reactivate(state, fresh, as_of)
     merged = merge_current(woken, latest_observation(clean), as_of=as_of)
-    gone = vanished(merged, fresh, grace_minutes)
-    flagged = set_deleted(merged, gone, C.DISAPPEARED, as_of)
-    just_gone = F.col("is_deleted") & F.col("_gone")
-    lake.write_state(
-        "current",
-        flagged.join(gone.select("hex", F.lit(True).alias("_gone")), "hex", "left")
-        .withColumn("_gone", F.coalesce("_gone", F.lit(False)))
-        .withColumn("life", F.coalesce("life", F.lit(0)) + just_gone.cast("int"))
+    flagged = (
+        with_vanished(merged, fresh, grace_minutes)
+        .withColumn("life", F.coalesce("life", F.lit(0)) + F.col("_gone").cast("int"))
         .withColumn(
-            "vanished_in", F.when(just_gone, F.lit(batch_id)).otherwise(F.col("vanished_in"))
+            "vanished_in", F.when(F.col("_gone"), F.lit(batch_id)).otherwise(F.col("vanished_in"))
         )
-        .select(*STATE_N.names),
-        batch_id,
     )
+    new_state = set_flagged_deleted(flagged, "_gone", C.DISAPPEARED, as_of)
+    lake.write_state("current", new_state.select(*STATE_N.names), batch_id)
     new_state = lake.read_state("current", STATE_N, batch_id)
     gone = new_state.filter(F.col("vanished_in") == batch_id)
 

@@ -165,8 +165,7 @@ def ingest_enriched(spark: SparkSession, sf: str) -> DataFrame:
     parsed = snapshots.documents_from_text(
         docs, "document", F.concat(F.col("region"), F.lit("/landed.json"))
     )
-    roster = regions.roster(spark, "india")
-    enriched = snapshots.enrich_documents(parsed, roster, "feed://v2", AS_OF)
+    enriched = snapshots.enrich_documents(parsed, "feed://v2", "india", AS_OF)
     enriched = enriched.withColumn("ac", F.lit(None).cast("array<string>")).withColumn(
         "_file_name", F.lit("landed.json")
     )

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Column call sites cost a JVM round trip each and are wanted only in debugging.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

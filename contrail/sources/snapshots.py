@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamReader
 from contrail import schemas
 from contrail.functions import columns as C
 from contrail.functions.time import from_epoch_millis, instant, iso_text
+from contrail.sources.regions import with_region
 
 _PARENT_FOLDER = r"([^/=]+)/[^/]+$"  # "delhi/x.json" and "region=delhi/x.json" alike
 _FILE_NAME = r"([^/]+)$"
@@ -173,21 +174,18 @@ def _project(df: DataFrame, schema, picked: dict[str, Column], blank_is_null=Fal
 
 
 def enrich_documents(
-    docs: DataFrame, regions: DataFrame, base_url: str, as_of: datetime | None = None
+    docs: DataFrame, base_url: str, roster: str = "world", as_of: datetime | None = None
 ) -> DataFrame:
-    """API envelope to enriched envelope: poll metadata on the document and each element.
-
-    ``regions`` is a roster (region, centre_lat, centre_lon, radius_nm, label).
-    """
+    """API envelope to enriched envelope: poll metadata on the document and each element."""
     url = F.concat(
         F.lit(base_url.rstrip("/")),
         F.lit("/lat/"), F.col("centre_lat"),
         F.lit("/lon/"), F.col("centre_lon"),
         F.lit("/dist/"), F.col("radius_nm"),
     )
+    keyed = docs.withColumn("_region_key", F.coalesce("region", "_folder"))
     stamped = (
-        docs.withColumn("_region_key", F.coalesce("region", "_folder"))
-        .join(F.broadcast(regions.withColumnRenamed("region", "_region_key")), "_region_key", "left")
+        with_region(keyed, "_region_key", roster)
         .withColumn("_url", F.coalesce("api_url", url))
         .withColumn("_polled", iso_text(as_of))
     )
