@@ -34,6 +34,7 @@ def live_flights(
     limit: int = 200,
 ) -> DataFrame:
     """Current positions, newest first."""
+    limit = _at_most("limit", limit, MAX_LIVE)
     rows = _in_region(current, region)
     if emergency_only:
         rows = rows.filter("is_emergency = true")
@@ -42,7 +43,7 @@ def live_flights(
     return (
         rows.select("hex", *schemas.ATTRIBUTES_L, "last_seen", "updated_at")
         .orderBy(F.desc("last_seen"), "hex")
-        .limit(_at_most("limit", limit, MAX_LIVE))
+        .limit(limit)
     )
 
 
@@ -50,8 +51,9 @@ def page_clean(
     clean: DataFrame, region: str | None = None, limit: int = 500, offset: int = 0
 ) -> DataFrame:
     """One page of the clean log, newest first."""
+    limit = _at_most("limit", limit, MAX_PAGE)
     rows = _in_region(clean, region).orderBy(F.desc("ingested_at"), "hex")
-    return rows.offset(offset).limit(_at_most("limit", limit, MAX_PAGE))
+    return rows.offset(offset).limit(limit)
 
 
 def key_history(history: DataFrame, key: str) -> DataFrame:
@@ -63,7 +65,8 @@ def key_history(history: DataFrame, key: str) -> DataFrame:
 
 
 def aircraft(dim: DataFrame, limit: int = 100) -> DataFrame:
-    return dim.orderBy(F.desc("last_seen"), "hex").limit(_at_most("limit", limit, MAX_AIRCRAFT))
+    limit = _at_most("limit", limit, MAX_AIRCRAFT)
+    return dim.orderBy(F.desc("last_seen"), "hex").limit(limit)
 
 
 def airlines(dim: DataFrame) -> DataFrame:
@@ -107,8 +110,9 @@ def alerts(current: DataFrame) -> DataFrame:
 
 def cdc_like(cdc: DataFrame, text: str | None = None, limit: int = 200) -> DataFrame:
     """Change events whose kind contains the text, newest first."""
+    limit = _at_most("limit", limit, MAX_EVENTS)
     rows = cdc.filter(F.col("cdc_event").contains(text)) if text else cdc
-    return rows.orderBy(F.desc("detected_at"), "hex").limit(_at_most("limit", limit, MAX_EVENTS))
+    return rows.orderBy(F.desc("detected_at"), "hex").limit(limit)
 
 
 def regions(summary: DataFrame) -> DataFrame:
@@ -197,7 +201,8 @@ def measures(current: DataFrame) -> DataFrame:
     total = F.count(F.lit(1))
 
     def distinct_with_blank(name: str) -> Column:
-        return F.count_distinct(name) + F.max(F.col(name).isNull().cast("int"))
+        blank = F.max(F.col(name).isNull().cast("int"))
+        return F.count_distinct(name) + F.coalesce(blank, F.lit(0))
 
     return current.agg(
         total.alias("active_flights"),
