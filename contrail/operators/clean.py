@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from contrail import schemas
 from contrail.functions import columns as C
 from contrail.functions.time import instant, is_corrupt_time
-from contrail.operators.keyed import flag_duplicates, latest_per_key
+from contrail.operators.keyed import flag_duplicates, latest_per_key, lookup
 
 
 def clean_observations(
@@ -97,7 +97,7 @@ def _clean_l(raw: DataFrame) -> DataFrame:
 
 def new_keys_only(rows: DataFrame, known: DataFrame, key: str = "hex") -> DataFrame:
     """Rows whose key is not known yet."""
-    return rows.join(known.select(key).distinct(), key, "left_anti")
+    return lookup(rows, known.select(key).distinct(), [key], "left_anti")
 
 
 def live(df: DataFrame) -> DataFrame:

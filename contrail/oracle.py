@@ -586,6 +586,11 @@ _QUERIES = {
     "region_summary": "SELECT * FROM regions_l",
     "top_operators": "SELECT * FROM operators_l",
     "hourly_trend": "SELECT * FROM trend_l",
+    "updated_aircraft": "SELECT * FROM aircraft_l",
+    "updated_airlines": "SELECT * FROM airline_l",
+    "updated_regions": "SELECT * FROM regions_l",
+    "updated_minutes": "SELECT * FROM minutes_l",
+    "updated_hours": "SELECT * FROM trend_l",
     "live_flights": f"""
     SELECT hex, {_ATTR_L}, last_seen, updated_at FROM current_l WHERE region = 'delhi' AND NOT on_ground
     ORDER BY last_seen DESC, hex LIMIT 200""",

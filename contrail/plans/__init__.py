@@ -1,3 +1,3 @@
-from contrail.plans import kpis, marts, medallion, quality, serving
+from contrail.plans import kpis, marts, medallion, quality, rollups, serving
 
-__all__ = ["kpis", "marts", "medallion", "quality", "serving"]
+__all__ = ["kpis", "marts", "medallion", "quality", "rollups", "serving"]

@@ -109,12 +109,23 @@ def kpis(current: DataFrame, as_of: datetime | None = None) -> DataFrame:
     )
 
 
+def type_counts(clean: DataFrame) -> DataFrame:
+    """Clean rows per (region, type)."""
+    typed = clean.filter("region IS NOT NULL AND aircraft_type IS NOT NULL")
+    return typed.groupBy("region", "aircraft_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 def region_summary(
     current: DataFrame, clean: DataFrame, as_of: datetime | None = None
 ) -> DataFrame:
     """Per region: state counts and averages, and the commonest type in the clean log."""
-    typed = clean.filter("region IS NOT NULL AND aircraft_type IS NOT NULL")
-    counts = typed.groupBy("region", "aircraft_type").agg(F.count(F.lit(1)).alias("n"))
+    return region_summary_of(current, type_counts(clean), as_of)
+
+
+def region_summary_of(
+    current: DataFrame, counts: DataFrame, as_of: datetime | None = None
+) -> DataFrame:
+    """The region summary from type counts kept elsewhere."""
     commonest = latest_per_key(counts, ["region"], [F.desc("n"), F.col("aircraft_type")])
     totals = current.groupBy("region", "region_label").agg(
         F.count(F.lit(1)).alias("total_flights"),
@@ -129,18 +140,21 @@ def region_summary(
 def top_operators(
     clean: DataFrame, k: int = TOP_OPERATORS, as_of: datetime | None = None
 ) -> DataFrame:
-    """The k commonest prefixes with their rank; ties go by prefix.
+    """The k commonest prefixes with their rank; ties go by prefix."""
+    totals = _per_operator(clean).agg(F.count(F.lit(1)).alias("flight_count"), *_averages())
+    return rank_operators(totals, k, as_of)
+
 
-    The rank is taken over the k surviving rows only.
-    """
+def rank_operators(
+    totals: DataFrame, k: int = TOP_OPERATORS, as_of: datetime | None = None
+) -> DataFrame:
+    """Rank the k largest totals. The window sees only the k surviving rows."""
     order = [F.desc("flight_count"), F.col("operator")]
-    top = (
-        _per_operator(clean)
-        .agg(F.count(F.lit(1)).alias("flight_count"), *_averages())
-        .orderBy(*order)
+    ranked = (
+        totals.orderBy(*order)
         .limit(k)
+        .withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     )
-    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     return ranked.select(
         "rank", "operator", "flight_count", "avg_altitude_ft", "avg_speed_knots",
         instant(as_of).alias("computed_at"),

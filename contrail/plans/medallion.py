@@ -27,8 +27,8 @@ from contrail.operators.lifecycle import (
     with_vanished,
 )
 from contrail.operators.scd2 import scd2_step
-from contrail.operators.state import merge_current, set_flagged_deleted
-from contrail.plans import kpis, marts
+from contrail.operators.state import merge_current, restore, set_flagged_deleted, soft_delete
+from contrail.plans import kpis, marts, rollups
 from contrail.sources.tables import NO_VERSION, Lake
 
 _LIFE = T.StructField("life", T.IntegerType())
@@ -58,6 +58,7 @@ def run_silver(
     as_of: datetime,
     grace_minutes: int = GRACE_MINUTES,
     suppress_minutes: int = SUPPRESS_MINUTES,
+    source: str | None = None,
 ) -> None:
     """Take one batch of raw observations (profile N) through to a commit.
 
@@ -101,9 +102,7 @@ def run_silver(
         "N",
         as_of,
     )
-    versions.write.mode("overwrite").partitionBy("is_current").parquet(
-        f"{lake.path('history')}/version={batch_id}"
-    )
+    _write_versions(lake, "history", versions, batch_id)
 
     logged = lake.read_log("cdc", schemas.CDC_N, before)
     events = (
@@ -119,7 +118,48 @@ def run_silver(
     )
     reached = clean.agg(F.max("fetched_at").alias("mark")).unionByName(progress)
     lake.write_state("progress", reached.agg(F.max("mark").alias("mark")), batch_id)
-    lake.commit(batch_id, "BATCH", load_stats(clean), as_of)
+    lake.commit(batch_id, "BATCH", load_stats(clean), as_of, source)
+
+
+def soft_delete_keys(
+    lake: Lake, keys: DataFrame, as_of: datetime, reason: str = "MANUAL"
+) -> int:
+    """Soft-delete keys in the stored state and close their versions; gives the new version."""
+
+    def change(state: DataFrame, opened: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return soft_delete(state, opened, keys, reason, as_of)
+
+    return _change_stored(lake, "SOFT_DELETE", change, keys, as_of)
+
+
+def restore_keys(lake: Lake, keys: DataFrame, as_of: datetime) -> int:
+    """Bring soft-deleted keys back in the stored state; closed versions stay closed."""
+
+    def change(state: DataFrame, opened: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return restore(state, keys, as_of), opened
+
+    return _change_stored(lake, "RESTORE", change, keys, as_of)
+
+
+def _change_stored(lake: Lake, operation: str, change, keys: DataFrame, as_of: datetime) -> int:
+    before = lake.last_commit()
+    version = before + 1
+    state, opened = change(
+        lake.read_state("current", STATE_N, before),
+        _open_versions(lake, "history", schemas.HISTORY_N, before),
+    )
+    lake.write_state("current", state, version)
+    _write_versions(lake, "history", opened, version)
+    lake.write_state("progress", lake.read_state("progress", PROGRESS, before), version)
+    lake.commit(version, operation, keys.agg(F.count_distinct("hex").alias("keys")), as_of)
+    return version
+
+
+def _write_versions(lake: Lake, table: str, versions: DataFrame, version: int) -> None:
+    """Open and just-closed versions of one step, in one pass."""
+    versions.write.mode("overwrite").partitionBy("is_current").parquet(
+        f"{lake.path(table)}/version={version}"
+    )
 
 
 def _open_versions(lake: Lake, table: str, schema: T.StructType, version: int) -> DataFrame:
@@ -163,7 +203,9 @@ def read_current(lake: Lake) -> DataFrame:
     return lake.read_state("current", STATE_N).select(*schemas.CURRENT_N.names)
 
 
-def run_silver_local(lake: Lake, raw: DataFrame, batch_id: int, as_of: datetime) -> None:
+def run_silver_local(
+    lake: Lake, raw: DataFrame, batch_id: int, as_of: datetime, source: str | None = None
+) -> None:
     """Take one batch of raw observations (profile L) through to a commit.
 
     The newest observation per key is kept as state, so neither change events
@@ -195,9 +237,7 @@ def run_silver_local(lake: Lake, raw: DataFrame, batch_id: int, as_of: datetime)
     versions = scd2_step(
         _open_versions(lake, "history_l", schemas.HISTORY_L, before), latest, "L", as_of
     )
-    versions.write.mode("overwrite").partitionBy("is_current").parquet(
-        f"{lake.path('history_l')}/version={batch_id}"
-    )
+    _write_versions(lake, "history_l", versions, batch_id)
     opened = _open_versions(lake, "history_l", schemas.HISTORY_L, batch_id)
     lake.write_state(
         "current_l",
@@ -209,7 +249,7 @@ def run_silver_local(lake: Lake, raw: DataFrame, batch_id: int, as_of: datetime)
         ),
         batch_id,
     )
-    lake.commit(batch_id, "BATCH", clean.agg(F.count(F.lit(1)).alias("rows")), as_of)
+    lake.commit(batch_id, "BATCH", clean.agg(F.count(F.lit(1)).alias("rows")), as_of, source)
 
 
 def gold_n(current: DataFrame, clean: DataFrame, as_of: datetime) -> dict[str, DataFrame]:
@@ -233,7 +273,10 @@ def gold_l(current: DataFrame, clean: DataFrame, as_of: datetime) -> dict[str, D
 
 
 def run_gold(lake: Lake, as_of: datetime, profile: str = "N") -> list[str]:
-    """Write the marts of the last commit. Metrics and routes accumulate, the rest is replaced."""
+    """Write the marts of the last commit from the whole log.
+
+    Metrics and routes accumulate, the rest is replaced.
+    """
     version = lake.last_commit()
     if profile == "N":
         made = gold_n(read_current(lake), read_clean(lake), as_of)
@@ -251,6 +294,48 @@ def run_gold(lake: Lake, as_of: datetime, profile: str = "N") -> list[str]:
     return list(made)
 
 
+def update_gold_local(lake: Lake, as_of: datetime) -> list[str]:
+    """The profile L marts of the last commit, from those of the one before and its batch.
+
+    Call it once per commit; it gives what :func:`run_gold` gives.
+    """
+    version = lake.last_commit()
+    before = lake.last_commit(before=version)
+    batch = lake.read_batch("clean_l", schemas.CLEAN_L, version)
+    log = lake.read_log("clean_l", schemas.CLEAN_L).drop("batch_id")
+    current = lake.read_state("current_l", schemas.CURRENT_L)
+
+    def carry(table: str, schema: T.StructType, merge) -> DataFrame:
+        lake.write_state(table, merge(lake.read_state(table, schema, before), batch), version)
+        return lake.read_state(table, schema, version)
+
+    operators = carry("operator_totals", rollups.OPERATORS, rollups.merge_operators)
+    types = carry("type_counts", rollups.TYPES, rollups.merge_types)
+    aircraft = carry("aircraft_totals", rollups.AIRCRAFT, rollups.merge_aircraft)
+    airlines = rollups.airline_dim(operators, as_of)
+    empty_minutes, empty_hours = marts.minute_metrics(log).schema, marts.hourly_trend(log).schema
+    made = {
+        "aircraft_dim": rollups.aircraft_dim(aircraft, as_of),
+        "airline_dim": airlines,
+        "minute_metrics": rollups.refresh_buckets(
+            lake.read_state("minute_metrics", empty_minutes, before), log, batch, "minute",
+            "metric_time", marts.minute_metrics,
+        ),
+        "kpis": marts.kpis(current, as_of),
+        "region_summary": marts.region_summary_of(current, types, as_of),
+        "top_operators": marts.rank_operators(
+            airlines.withColumnRenamed("callsign_prefix", "operator"), as_of=as_of
+        ),
+        "hourly_trend": rollups.refresh_buckets(
+            lake.read_state("hourly_trend", empty_hours, before), log, batch, "hour",
+            "hour_bucket", marts.hourly_trend,
+        ),
+    }
+    for name, df in made.items():
+        lake.write_state(name, df, version)
+    return list(made)
+
+
 def run_all(
     spark: SparkSession, root: str, raw: DataFrame, batch_id: int, as_of: datetime, profile: str = "N"
 ) -> Lake:
@@ -260,5 +345,8 @@ def run_all(
         run_silver(lake, raw, batch_id, as_of)
     else:
         run_silver_local(lake, raw, batch_id, as_of)
-    run_gold(lake, as_of, profile)
+    if profile == "N":
+        run_gold(lake, as_of, "N")
+    else:
+        update_gold_local(lake, as_of)
     return lake

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from contrail import schemas, testbed
 from contrail.functions import columns as C
 from contrail.operators import cdc, clean, keyed, lifecycle, scd2, state
-from contrail.plans import kpis, marts, medallion, quality, serving
+from contrail.plans import kpis, marts, medallion, quality, rollups, serving
 from contrail.session import scratch_path
 from contrail.sources import regions, snapshots, tables
 from contrail.streaming import feeds
@@ -411,6 +411,46 @@ def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     return medallion.read_current(lake)
 
 
+# ---- marts kept up to date ---------------------------------------------------
+def _halves_l(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(all, first, second) clean rows, parted within a minute so that buckets overlap."""
+    rows = _clean_l(spark, sf)
+    parted = F.col("ingested_at") < F.lit("2024-01-16 12:30:30").cast("timestamp")
+    return rows, rows.filter(parted), rows.filter(~parted)
+
+
+def updated_aircraft(spark: SparkSession, sf: str) -> DataFrame:
+    _, first, second = _halves_l(spark, sf)
+    known = rollups.merge_aircraft(_empty(spark, rollups.AIRCRAFT), first)
+    return rollups.aircraft_dim(rollups.merge_aircraft(known, second), AS_OF)
+
+
+def updated_airlines(spark: SparkSession, sf: str) -> DataFrame:
+    _, first, second = _halves_l(spark, sf)
+    known = rollups.merge_operators(_empty(spark, rollups.OPERATORS), first)
+    return rollups.airline_dim(rollups.merge_operators(known, second), AS_OF)
+
+
+def updated_regions(spark: SparkSession, sf: str) -> DataFrame:
+    _, first, second = _halves_l(spark, sf)
+    counts = rollups.merge_types(rollups.merge_types(_empty(spark, rollups.TYPES), first), second)
+    return marts.region_summary_of(_current_l(spark, sf), counts, AS_OF)
+
+
+def updated_minutes(spark: SparkSession, sf: str) -> DataFrame:
+    rows, first, second = _halves_l(spark, sf)
+    known = marts.minute_metrics(first)
+    return rollups.refresh_buckets(
+        known, rows, second, "minute", "metric_time", marts.minute_metrics
+    )
+
+
+def updated_hours(spark: SparkSession, sf: str) -> DataFrame:
+    rows, first, second = _halves_l(spark, sf)
+    known = marts.hourly_trend(first)
+    return rollups.refresh_buckets(known, rows, second, "hour", "hour_bucket", marts.hourly_trend)
+
+
 # ---- the registry ------------------------------------------------------------
 def _on(make: Callable, *inputs: Callable, **params) -> Query:
     """A query that applies ``make`` to the named inputs."""
@@ -528,6 +568,11 @@ QUERIES: dict[str, Query] = {
     "region_summary": _region_summary,
     "top_operators": _top_operators,
     "hourly_trend": _trend,
+    "updated_aircraft": updated_aircraft,
+    "updated_airlines": updated_airlines,
+    "updated_regions": updated_regions,
+    "updated_minutes": updated_minutes,
+    "updated_hours": updated_hours,
     # query library
     "live_flights": _on(serving.live_flights, _current_l, region="delhi", airborne_only=True),
     "live_emergencies": _on(serving.live_flights, _current_l, emergency_only=True, limit=5000),

@@ -143,7 +143,8 @@ CDC_L = struct(
 MARKS = struct("hex STRING, life INT, deleted_at TIMESTAMP")
 
 COMMITS = struct(
-    "version BIGINT, committed_at TIMESTAMP, operation STRING, operation_metrics STRING"
+    "version BIGINT, committed_at TIMESTAMP, operation STRING, operation_metrics STRING, "
+    "source STRING"
 )
 
 METRICS_N = struct(

@@ -76,14 +76,24 @@ class Lake:
 
     # ---- commits ------------------------------------------------------------
     def commit(
-        self, version: int, operation: str, metrics: DataFrame, as_of: datetime | None = None
+        self,
+        version: int,
+        operation: str,
+        metrics: DataFrame,
+        as_of: datetime | None = None,
+        source: str | None = None,
     ) -> None:
-        """Publish a version. ``metrics`` is one row, kept as JSON text."""
+        """Publish a version. ``metrics`` is one row, kept as JSON text.
+
+        ``source`` names what the version was made from, so that a repeated
+        delivery can be recognised.
+        """
         row = metrics.select(
             F.lit(version).cast("bigint").alias("version"),
             instant(as_of).alias("committed_at"),
             F.lit(operation).alias("operation"),
             F.to_json(F.struct("*")).alias("operation_metrics"),
+            F.lit(source).cast("string").alias("source"),
         )
         self.write_log("commits", row.coalesce(1), version)
 
@@ -98,6 +108,9 @@ class Lake:
             done = done.filter(F.col("version") < before)
         return done.agg(F.coalesce(F.max("version"), F.lit(NO_VERSION))).first()[0]
 
+    def has_taken(self, source: str) -> bool:
+        return not self.commits().filter(F.col("source") == source).isEmpty()
+
     # ---- layers -------------------------------------------------------------
     def clear(self, tables: list[str], confirm: bool = False) -> list[str]:
         """Delete the named tables; does nothing unless confirmed."""

@@ -7,7 +7,7 @@ distinct counts need unbounded state, so streams report approximate ones.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,16 +113,19 @@ def write_silver(
 ) -> StreamingQuery:
     """Run the silver layer on every micro-batch.
 
-    The epoch is the batch id: a repeated epoch replaces its own folders and
-    starts from the version before it. ``clock`` supplies ``as_of``; by default
-    it is the wall clock.
+    The commit names the epoch it came from. An epoch delivered again after its
+    commit is skipped; one that failed before it is run again into the same
+    folders. ``clock`` supplies ``as_of``; by default it is the wall clock.
     """
     run = run_silver if profile == "N" else run_silver_local
     schema = schemas.RAW_N if profile == "N" else schemas.RAW_L
 
     def step(batch: DataFrame, epoch: int) -> None:
-        now = clock() if clock else datetime.utcnow()
-        run(lake, batch.select(*schema.names), epoch, now, **options)
+        source = f"{checkpoint}#{epoch}"
+        if lake.has_taken(source):
+            return
+        now = clock() if clock else datetime.now(timezone.utc)
+        run(lake, batch.select(*schema.names), lake.last_commit() + 1, now, source=source, **options)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (

@@ -22,7 +22,8 @@ def spark(tmp_path_factory):
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "2",
-            "spark.ui.enabled": "false",
+            "spark.default.parallelism": "2",
+            "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),

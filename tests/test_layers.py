@@ -91,7 +91,7 @@ def test_uncommitted_batch_is_invisible(spark, polls, tmp_path):
 def test_stream_runs_equal_batch_runs(spark, polls, tmp_path):
     batch, stream = Lake(spark, str(tmp_path / "b")), Lake(spark, str(tmp_path / "s"))
     landing, progress = str(tmp_path / "landing"), str(tmp_path / "progress")
-    for i, (at, raw) in enumerate(polls[:3]):
+    for i, (at, raw) in enumerate(polls[:2]):
         medallion.run_silver(batch, raw, i, at)
         raw.write.mode("append").parquet(landing)
         source = spark.readStream.schema(schemas.RAW_N).parquet(landing)
@@ -112,7 +112,16 @@ def test_local_profile_and_gold(spark, raw_l_rows, tmp_path):
     }
     events = lake.read_log("cdc_l", schemas.CDC_L).filter("batch_id = 1")
     assert {r.hex: r.cdc_event for r in events.collect()} == {"a": "ALT_CHANGE", "b": "UNCHANGED"}
-    assert spark.read.parquet(f"{lake.path('aircraft_dim')}/version=1").count() == 2
+    def marts_of_last():
+        out = {}
+        for name in medallion.GOLD_L:
+            df = spark.read.parquet(f"{lake.path(name)}/version=1")
+            out[name] = rows_of(df.select(*sorted(df.columns)))
+        return out
+
+    updated = marts_of_last()
+    assert medallion.run_gold(lake, NOW, "L") == medallion.GOLD_L
+    assert updated == marts_of_last() and all(updated.values())
 
 
 def test_gold_of_profile_n(spark, polls, tmp_path):
@@ -125,6 +134,28 @@ def test_gold_of_profile_n(spark, polls, tmp_path):
     assert [r.metric_value for r in active] == [2.0, 1.0]
 
 
+def test_manual_delete_and_restore_in_the_store(spark, polls, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    medallion.run_silver(lake, polls[0][1], 0, T0)
+    keys = spark.createDataFrame([("stay",)], "hex string")
+    assert medallion.soft_delete_keys(lake, keys, NOW, "TEST") == 1
+    gone = medallion.read_current(lake).filter("hex = 'stay'").first()
+    assert (gone.is_deleted, gone.deleted_reason) == (True, "TEST")
+    versions = {r.hex: r.is_current for r in medallion.read_history(lake).collect()}
+    assert versions == {"stay": False, "away": True}
+    assert medallion.restore_keys(lake, keys, NOW) == 2
+    assert not medallion.read_current(lake).filter("hex = 'stay'").first().is_deleted
+    medallion.run_silver(lake, polls[1][1], 3, polls[1][0])
+    rows = medallion.read_history(lake).filter("hex = 'stay'").orderBy("effective_from").collect()
+    assert [r.is_current for r in rows] == [False, True]
+
+
+def test_repeated_epoch_is_taken_once(spark, polls, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    medallion.run_silver(lake, polls[0][1], 0, T0, source="stream#0")
+    assert lake.has_taken("stream#0") and not lake.has_taken("stream#1")
+
+
 def test_clear_and_compact(spark, polls, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     medallion.run_silver(lake, polls[0][1].repartition(6), 0, polls[0][0])
