@@ -66,15 +66,30 @@ def _merged(spark: SparkSession, rows: DataFrame, as_of: datetime) -> DataFrame:
 def _state_1(spark: SparkSession, sf: str) -> DataFrame:
     """State after the first half, vanished keys flagged."""
     merged = _merged(spark, _before(_clean(spark, sf)), SPLIT)
-    gone = lifecycle.vanished(merged, _before(_raw(spark, sf)), GRACE)
-    return state.set_deleted(merged, gone, C.DISAPPEARED, SPLIT)
+    flagged = lifecycle.with_vanished(merged, _before(_raw(spark, sf)), GRACE)
+    return state.set_flagged_deleted(flagged, "_gone", C.DISAPPEARED, SPLIT)
 
 
 def _state(spark: SparkSession, sf: str) -> DataFrame:
     """State after everything in one batch, vanished keys flagged."""
     merged = _merged(spark, _clean(spark, sf), AS_OF)
-    gone = lifecycle.vanished(merged, _raw(spark, sf), GRACE)
-    return state.set_deleted(merged, gone, C.DISAPPEARED, AS_OF)
+    flagged = lifecycle.with_vanished(merged, _raw(spark, sf), GRACE)
+    return state.set_flagged_deleted(flagged, "_gone", C.DISAPPEARED, AS_OF)
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """Write an input that is read several times, as the layers do, and read it back."""
+    where = scratch_path(df.sparkSession, label)
+    df.write.parquet(where)
+    return df.sparkSession.read.schema(df.schema).parquet(where)
+
+
+def _stored_state(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(state, clean), both stored."""
+    rows, raw = _stored(_clean(spark, sf), "clean"), _raw(spark, sf)
+    flagged = lifecycle.with_vanished(_merged(spark, rows, AS_OF), raw, GRACE)
+    current = state.set_flagged_deleted(flagged, "_gone", C.DISAPPEARED, AS_OF)
+    return _stored(current, "state"), rows
 
 
 def _no_cdc(spark: SparkSession) -> DataFrame:
@@ -89,7 +104,7 @@ def _marked(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFra
 
 
 def _history(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _clean(spark, sf)
+    rows = _stored(_clean(spark, sf), "clean")
     first = scd2.scd2_apply(
         _empty(spark, schemas.HISTORY_N), _merged(spark, _before(rows), SPLIT), "N", SPLIT
     )
@@ -117,7 +132,7 @@ def _cdc_l(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return kpis.kpi_snapshot(_state(spark, sf), _clean(spark, sf), AS_OF)
+    return kpis.kpi_snapshot(*_stored_state(spark, sf), AS_OF)
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -250,8 +265,10 @@ def merge_current(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def change_feed(spark: SparkSession, sf: str) -> DataFrame:
-    after = clean.live(merge_current(spark, sf))
-    return state.change_feed(_state_1(spark, sf), after).select(
+    rows = _clean(spark, sf)
+    before = _stored(_state_1(spark, sf), "state")
+    merged = state.merge_current(before, clean.latest_observation(_after(rows)), as_of=AS_OF)
+    return state.change_feed(before, clean.live(merged)).select(
         "hex", "callsign", "lat", "lon", "last_seen_at", "is_deleted", "_change_type"
     )
 
@@ -262,18 +279,18 @@ def _some_keys(df: DataFrame) -> DataFrame:
 
 
 def soft_delete_state(spark: SparkSession, sf: str) -> DataFrame:
-    current = _state(spark, sf)
+    current = _stored(_state(spark, sf), "state")
     return state.soft_delete(current, _history(spark, sf), _some_keys(current), "MANUAL", AS_OF)[0]
 
 
 def soft_delete_history(spark: SparkSession, sf: str) -> DataFrame:
-    current = _state(spark, sf)
+    current = _stored(_state(spark, sf), "state")
     history = state.soft_delete(current, _history(spark, sf), _some_keys(current), "MANUAL", AS_OF)[1]
     return history.drop("flight_sk")
 
 
 def restore_state(spark: SparkSession, sf: str) -> DataFrame:
-    current = _state(spark, sf)
+    current = _stored(_state(spark, sf), "state")
     return state.restore(current, _some_keys(current), AS_OF)
 
 
@@ -285,10 +302,11 @@ def disappeared_clean(spark: SparkSession, sf: str) -> DataFrame:
 
 def event_suppression(spark: SparkSession, sf: str) -> DataFrame:
     """The events again, once those of live-emergency keys count as logged already."""
-    events = _marked(spark, sf)[2]
-    logged = events.join(_some_keys(_state(spark, sf)), "hex", "left_semi")
     raw = _raw(spark, sf)
-    gone = lifecycle.vanished(_merged(spark, _clean(spark, sf), AS_OF), raw, GRACE)
+    merged = _stored(_merged(spark, _clean(spark, sf), AS_OF), "state")
+    gone = lifecycle.vanished(merged, raw, GRACE)
+    events = lifecycle.vanish_events(gone, raw, _no_cdc(spark), as_of=AS_OF)
+    logged = events.join(_some_keys(merged), "hex", "left_semi")
     return lifecycle.vanish_events(gone, raw, logged, as_of=AS_OF)
 
 
@@ -302,8 +320,14 @@ def reactivated_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def by_minute(spark: SparkSession, sf: str) -> DataFrame:
     """Events stamped with the hour each key was last seen."""
-    events = _marked(spark, sf)[2].withColumn("detected_at", F.col("event_at"))
-    return lifecycle.disappearance_by_minute(events, _state(spark, sf), WINDOW, AS_OF)
+    raw = _raw(spark, sf)
+    merged = _stored(_merged(spark, _clean(spark, sf), AS_OF), "state")
+    flagged = lifecycle.with_vanished(merged, raw, GRACE)
+    current = state.set_flagged_deleted(flagged, "_gone", C.DISAPPEARED, AS_OF)
+    gone = lifecycle.vanished(merged, raw, GRACE)
+    events = lifecycle.vanish_events(gone, raw, _no_cdc(spark), as_of=AS_OF)
+    at_last_seen = events.withColumn("detected_at", F.col("event_at"))
+    return lifecycle.disappearance_by_minute(at_last_seen, current, WINDOW, AS_OF)
 
 
 # ---- events and versions -----------------------------------------------------
@@ -315,7 +339,7 @@ def cdc_since(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd2_not_null_safe(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _clean(spark, sf)
+    rows = _stored(_clean(spark, sf), "clean")
     first = scd2.scd2_apply(
         _empty(spark, schemas.HISTORY_N), _merged(spark, _before(rows), SPLIT), "N", SPLIT
     )
@@ -356,13 +380,10 @@ def commit_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def layer_profile(spark: SparkSession, sf: str) -> DataFrame:
+    current, rows = _stored_state(spark, sf)
+    history = _history(spark, sf)
     return tables.table_profile(
-        {
-            "raw": _raw(spark, sf),
-            "clean": _clean(spark, sf),
-            "current": _state(spark, sf),
-            "history": _history(spark, sf),
-        }
+        {"raw": _raw(spark, sf), "clean": rows, "current": current, "history": history}
     )
 
 
@@ -556,7 +577,7 @@ QUERIES: dict[str, Query] = {
     "stream_silver": stream_silver,
     # KPIs and marts
     "kpi_scalar": _on(kpis.scalar_kpis, _state),
-    "kpi_grouped": _on(kpis.grouped_kpis, _state, _clean),
+    "kpi_grouped": lambda s, sf: kpis.grouped_kpis(*_stored_state(s, sf)),
     "kpi_snapshot": _metrics,
     "route_frequency": _on(kpis.route_frequency, _clean),
     "route_summary": _routes,
