@@ -614,6 +614,14 @@ _QUERIES = {
     "region_shares": "SELECT region_label AS region, total_flights FROM regions_l",
     "operators": "SELECT operator, flight_count FROM operators_l WHERE rank <= 10",
     "trend_window": f"SELECT * FROM trend_l WHERE hour_bucket >= {AS_OF} - {HOURS}",
+    "geojson": """
+    SELECT hex, CAST(json_object('type', 'Feature',
+      'geometry', json_object('type', 'Point', 'coordinates', json_array(lon, lat)),
+      'properties', json_object('hex', hex, 'flight', flight, 'registration', registration,
+        'aircraft_type', aircraft_type, 'altitude_ft', altitude_ft, 'gs_knots', gs_knots,
+        'track_deg', track_deg, 'on_ground', on_ground, 'is_emergency', is_emergency,
+        'emergency', emergency, 'region', region)) AS VARCHAR) AS feature
+    FROM current_l WHERE lat IS NOT NULL AND lon IS NOT NULL""",
     "feature_count": """
     SELECT 'FeatureCollection' AS type, count(*) AS count FROM current_l
     WHERE lat IS NOT NULL AND lon IS NOT NULL""",
