@@ -326,6 +326,7 @@ def _apart(lists: DataFrame, at: DataFrame, reps: DataFrame, rule: Rule) -> Data
         out = []
         rows_ = list(zip(g.sid, g.component, g.own, g.n_shingles, g.ms, g.codes, strict=True))
         i, j, head = int(g.i.iloc[0]), int(g.j.iloc[0]), g["head"].iloc[0]
+        own_code, last = g["code"].iloc[0], np.iinfo(np.int64).max
         views: dict[int, list] = {}
         for r in rows_:
             start = 0
@@ -346,8 +347,10 @@ def _apart(lists: DataFrame, at: DataFrame, reps: DataFrame, rule: Rule) -> Data
                 ok &= rule.q * np.minimum(size, size[x_]) >= rule.p * np.maximum(size, size[x_])
                 if ok.any():
                     near = np.flatnonzero(ok)
-                    agree = (code[near] == code[x_]).sum(axis=1)
-                    for y_ in near[agree >= m - d[near]]:
+                    same = code[near] == code[x_]
+                    # Of all lists that a pair shares, only the one of the least code names it.
+                    least = np.where(same & (code[x_] != 0), code[x_], last).min(axis=1)
+                    for y_ in near[(same.sum(axis=1) >= m - d[near]) & (least == own_code)]:
                         a, b = sorted((int(sid[x_]), int(sid[y_])))
                         out.append((a, b))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from contrail.llm import language_id, toxicity
+from contrail.llm.mixing import mix_sources
 from contrail.llm.ngram_join import similar_groups
+from contrail.llm.packing import pack_documents
 from contrail.llm.scratch import ship_code
+from contrail.llm.sharding import shard_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,13 +22,68 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text, learned from two thirds of the labelled ones."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(~_held_out()))
+    named = language_id.identify(docs.select("doc_id", "text"), model).drop("text")
+    return named.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that link at 0.9 on three-word shingles."""
     return similar_groups(_table(spark, sf_dir, "documents"), words=3, p=90, q=100)
 
 
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often every document is taken so that sources meet their target weights."""
+    mixed = mix_sources(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, cap=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shuffled shards; the key decides the shard."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    digest = _table(spark, sf_dir, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
+    )
+    return shard_rows(digest, 40).select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
+    )
+
+
+def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    packed = pack_documents(_table(spark, sf_dir, "documents"))
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").cast("long").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from two thirds of the labelled ones."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(~_held_out()))
+    scored = toxicity.score(docs.select("doc_id", "text"), model).drop("text")
+    return scored.select(
+        "doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "score", "predicted",
+        "sentence_start", "sentence_end", "sentence_score", "sentences_flagged",
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op7_mix_sources": op7_mix_sources,
+    "op8_shard": op8_shard,
+    "op9_pack": op9_pack,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -103,12 +103,13 @@ def _pieces(data: np.ndarray, member: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def words(
-    data: np.ndarray, offsets: np.ndarray, member: np.ndarray = SOLID
+    data: np.ndarray, offsets: np.ndarray, member: np.ndarray = SOLID, first: int = 0
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, starts, ends, rows): the lower-cased words of texts laid end to end.
 
     ``rows`` has one more entry than there are texts: text i has the words
-    ``rows[i]`` to ``rows[i + 1]``.
+    ``rows[i]`` to ``rows[i + 1]``. With ``first``, hashes are of the first so
+    many bytes of each word, and 0 for words that are not longer.
     """
     hashes, starts, ends = [], [], []
     for lo, hi in _pieces(data, member):
@@ -117,7 +118,9 @@ def words(
         up, down = _powers(1 << max(20, int(hi - lo).bit_length()))
         sums = np.zeros(len(part) + 1, dtype=np.uint64)
         np.cumsum(_BYTES[part] * up[: len(part)], out=sums[1:])
-        hashes.append(mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)))
+        till = np.minimum(e, s + first) if first else e
+        value = mix((sums[till] - sums[s]) * down[s] + (till - s).astype(np.uint64))
+        hashes.append(np.where(e - s > first, mix(value + np.uint64(first)), np.uint64(0)) if first else value)
         starts.append(s + lo)
         ends.append(e + lo)
     if not hashes:
