@@ -8,11 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm import language_id, toxicity
+from contrail.llm.ann import nearest
+from contrail.llm.exact_topk import top_products
+from contrail.llm.html_text import main_text
 from contrail.llm.mixing import mix_sources
 from contrail.llm.ngram_join import similar_groups
 from contrail.llm.packing import pack_documents
 from contrail.llm.scratch import ship_code
 from contrail.llm.sharding import shard_rows
+from contrail.llm.token_counts import count_edited
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,11 +38,31 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every text before and after personal data is masked."""
+    return count_edited(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that link at 0.9 on three-word shingles."""
     return similar_groups(_table(spark, sf_dir, "documents"), words=3, p=90, q=100)
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth one."""
+    return nearest(_table(spark, sf_dir, "embeddings"), "id % 20 = 0", k=20)
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 largest integer products of every hundredth vector."""
+    return top_products(_table(spark, sf_dir, "embeddings"), "id % 100 = 0", k=10)
+
+
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often every document is taken so that sources meet their target weights."""
     mixed = mix_sources(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, cap=2.0)
@@ -79,11 +103,30 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op2_token_counts": op2_token_counts,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_nearest": op4_nearest,
+    "op5_exact_topk": op5_exact_topk,
+    "op6_main_text": op6_main_text,
     "op7_mix_sources": op7_mix_sources,
     "op8_shard": op8_shard,
     "op9_pack": op9_pack,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+OP5_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+p AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.e, c.e), z -> z[1] * z[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND q.vec_id % 100 = 0
+),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_exact_topk": OP5_SQL}
