@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from contrail.llm import textbytes as tb
 
 BITS = 18  # of the hashed vocabulary
-SAMPLE = 4000  # most labelled documents of either class that the model is fitted on
+SAMPLE = 2500  # most labelled documents of either class that the model is fitted on
 LEAST_DOCS = 4  # a word counts when so many documents of the sample have it
 STEPS = 150
 RATE = 0.15
@@ -109,7 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         seen[np.unique(x)] += 1
         s = s - s[0]
         slots.append(x)
-        sent.append(s.astype(np.int64) + base)
+        sent.append(s + np.int32(base))
         y += [r["toxic"]] * (int(s[-1]) + 1)
         base += int(s[-1]) + 1
         weight.append((int(s[-1]) + 1, r["toxic"]))
@@ -119,6 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     used = seen[slots] >= LEAST_DOCS
     slots, sent = slots[used], sent[used]
     words, slots = np.unique(slots, return_inverse=True)
+    slots = slots.astype(np.int32)
     doc = np.repeat(np.arange(len(counts)), counts)
     n_class = np.array([(y_all == 0).sum(), (y_all == 1).sum()])
     of_class = np.array([share[0] / n_class[0], share[1] / n_class[1]])
