@@ -102,7 +102,9 @@ def scd2_apply(
     if "is_deleted" in current.columns:
         current = current.filter("is_deleted = false")
     step = scd2_step(open_versions(history), current, profile, as_of, tracked, null_safe)
-    untouched = history.filter("NOT is_current")
+    # Exactly the rows that open_versions leaves out: closed, deleted, or without the flag.
+    deleted = "coalesce(is_deleted, false)" if "is_deleted" in history.columns else "false"
+    untouched = history.filter(f"NOT coalesce(is_current, false) OR {deleted}")
     return untouched.unionByName(step)
 
 

@@ -554,6 +554,17 @@ _QUERIES = {
     "scd2_l": "SELECT * FROM history_l",
     "current_from_history": "SELECT * FROM current_l",
     "lake_current": "SELECT * FROM state_2",
+    "lake_mixed_profiles": "SELECT * FROM state_2",
+    "lake_gold_after_gap": "SELECT * FROM airline_l",
+    "lake_late_rows": " UNION ALL ".join(
+        f"""SELECT '{late}' AS late, (SELECT count(*) FROM raw_n WHERE fetched_at < {SPLIT}) AS late_rows,
+        (SELECT count(*) FROM clean_n2) + {kept} AS clean_rows, {aside} AS quarantined"""
+        for late, kept, aside in (
+            ("drop", "0", "CAST(0 AS BIGINT)"),
+            ("keep", "(SELECT count(*) FROM clean_n1)", "CAST(0 AS BIGINT)"),
+            ("quarantine", "0", f"(SELECT count(*) FROM raw_n WHERE fetched_at < {SPLIT})"),
+        )
+    ),
     "lake_clean": _LAKE_CLEAN,
     "lake_history": _LAKE_HISTORY,
     "lake_events": _LAKE_EVENTS,
@@ -593,14 +604,14 @@ _QUERIES = {
     "updated_hours": "SELECT * FROM trend_l",
     "live_flights": f"""
     SELECT hex, {_ATTR_L}, last_seen, updated_at FROM current_l WHERE region = 'delhi' AND NOT on_ground
-    ORDER BY last_seen DESC, hex LIMIT 200""",
+""",
     "live_emergencies": f"""
     SELECT hex, {_ATTR_L}, last_seen, updated_at FROM current_l WHERE is_emergency
-    ORDER BY last_seen DESC, hex LIMIT 5000""",
+""",
     "page_clean": """
     SELECT * FROM clean_l WHERE region = 'mumbai' ORDER BY ingested_at DESC, hex LIMIT 100 OFFSET 50""",
     "key_history": "SELECT *, count(*) OVER () AS version_count FROM history_l WHERE hex = 'h7'",
-    "aircraft": "SELECT * FROM aircraft_l ORDER BY last_seen DESC, hex LIMIT 100",
+    "aircraft": "SELECT * FROM aircraft_l",
     "airlines": "SELECT * FROM airline_l",
     "metrics_window": f"""
     SELECT * FROM minutes_l WHERE region = 'delhi' AND metric_time >= {AS_OF} - {HOURS}""",
@@ -609,7 +620,7 @@ _QUERIES = {
     "alerts": """
     SELECT hex, flight, registration, aircraft_type, squawk, lat, lon, altitude_ft, gs_knots, emergency,
       region, region_label, last_seen FROM current_l WHERE is_emergency""",
-    "cdc_like": "SELECT * FROM cdc_l WHERE cdc_event LIKE '%ALT%' ORDER BY detected_at DESC, hex LIMIT 2000",
+    "cdc_like": "SELECT * FROM cdc_l WHERE cdc_event LIKE '%ALT%'",
     "regions": "SELECT * FROM regions_l",
     "region_shares": "SELECT region_label AS region, total_flights FROM regions_l",
     "operators": "SELECT operator, flight_count FROM operators_l WHERE rank <= 10",
@@ -630,7 +641,7 @@ _QUERIES = {
     "live_table": """
     SELECT hex, flight, registration, aircraft_type, round(lat, 4) AS lat, round(lon, 4) AS lon,
       altitude_ft, round(gs_knots, 0) AS speed_kts, track_deg, on_ground, emergency, region
-    FROM current_l ORDER BY last_seen DESC, hex LIMIT 100""",
+    FROM current_l""",
     "measures": """
     SELECT count(*) AS active_flights, avg(altitude_ft) AS avg_altitude_ft, avg(gs_knots) AS avg_speed_knots,
       count(*) FILTER (WHERE is_emergency) AS emergency_count,

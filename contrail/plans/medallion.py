@@ -59,12 +59,19 @@ def run_silver(
     grace_minutes: int = GRACE_MINUTES,
     suppress_minutes: int = SUPPRESS_MINUTES,
     source: str | None = None,
+    late: str = "drop",
 ) -> None:
     """Take one batch of raw observations (profile N) through to a commit.
 
+    ``late`` says what becomes of rows at or below the high-water mark: ``drop``,
+    ``keep`` (they are cleaned like the others) or ``quarantine`` (they go to the
+    log ``late``). The commit counts them as ``late_rows`` in any case.
+
     Order: reactivate, clean, merge, mark vanished, versions, events. Reads only
     the version before ``batch_id``, so running a batch again gives the same.
     """
+    if late not in ("drop", "keep", "quarantine"):
+        raise ValueError(f"late must be drop, keep or quarantine, got {late!r}")
     before = lake.last_commit(before=batch_id)
     lake.write_log("raw", raw, batch_id)
     raw = lake.read_batch("raw", schemas.RAW_N, batch_id)
@@ -72,7 +79,10 @@ def run_silver(
     progress = lake.read_state("progress", PROGRESS, before)
     epoch = instant(datetime(1970, 1, 1))
     mark = progress.agg(F.coalesce(F.max("mark"), epoch).alias("mark"))
-    fresh = raw.filter(F.col("fetched_at") > mark.scalar())
+    behind = raw.filter(F.col("fetched_at") <= mark.scalar())
+    fresh = raw if late == "keep" else raw.filter(F.col("fetched_at") > mark.scalar())
+    if late == "quarantine":
+        lake.write_log("late", behind, batch_id)
 
     # Only keys that have vanished before carry a life other than 0.
     lives = state.filter("life > 0").select("hex", "life")
@@ -118,7 +128,8 @@ def run_silver(
     )
     reached = clean.agg(F.max("fetched_at").alias("mark")).unionByName(progress)
     lake.write_state("progress", reached.agg(F.max("mark").alias("mark")), batch_id)
-    lake.commit(batch_id, "BATCH", load_stats(clean), as_of, source)
+    late_rows = behind.agg(F.count(F.lit(1)).alias("n")).scalar()
+    lake.commit(batch_id, "BATCH", load_stats(clean).withColumn("late_rows", late_rows), as_of, source)
 
 
 def soft_delete_keys(
@@ -160,6 +171,7 @@ def _write_versions(lake: Lake, table: str, versions: DataFrame, version: int) -
     versions.write.mode("overwrite").partitionBy("is_current").parquet(
         f"{lake.path(table)}/version={version}"
     )
+    lake.mark(table, version)
 
 
 def _open_versions(lake: Lake, table: str, schema: T.StructType, version: int) -> DataFrame:
@@ -168,8 +180,8 @@ def _open_versions(lake: Lake, table: str, schema: T.StructType, version: int) -
 
 def read_history(lake: Lake, table: str = "history", schema: T.StructType = schemas.HISTORY_N) -> DataFrame:
     """All closed versions plus the open ones of the last commit."""
-    last = lake.last_commit()
-    if last == NO_VERSION or not lake.exists(lake.path(table)):
+    last = lake.latest(table)
+    if last == NO_VERSION:
         return lake.empty(schema)
     with_version = T.StructType(schema.fields + [T.StructField("version", T.LongType())])
     rows = lake.spark.read.schema(with_version).parquet(lake.path(table))
@@ -295,13 +307,13 @@ def run_gold(lake: Lake, as_of: datetime, profile: str = "N") -> list[str]:
 
 
 def update_gold_local(lake: Lake, as_of: datetime) -> list[str]:
-    """The profile L marts of the last commit, from those of the one before and its batch.
+    """The profile L marts of the last commit, from the last ones and all batches since.
 
-    Call it once per commit; it gives what :func:`run_gold` gives.
+    It gives what :func:`run_gold` gives, whichever commits it was called for.
     """
     version = lake.last_commit()
-    before = lake.last_commit(before=version)
-    batch = lake.read_batch("clean_l", schemas.CLEAN_L, version)
+    before = lake.latest("operator_totals", version - 1)
+    batch = lake.read_batches("clean_l", schemas.CLEAN_L, before, version)
     log = lake.read_log("clean_l", schemas.CLEAN_L).drop("batch_id")
     current = lake.read_state("current_l", schemas.CURRENT_L)
 

@@ -105,11 +105,15 @@ def refresh_buckets(
     """A bucketed mart after a batch: touched buckets anew, the others kept.
 
     ``build`` makes the mart from clean rows; ``clean`` is the whole log with
-    the batch in it. The oldest touched bucket bounds the scan of the log.
+    the batch in it. The oldest touched bucket bounds the scan of the log. Rows
+    without a time have a bucket of their own, which a batch may touch like any.
     """
     bucket = F.date_trunc(unit, "ingested_at")
-    touched = batch.select(bucket.alias(time)).distinct()
+    never = F.lit("0001-01-01 00:00:00").cast("timestamp")  # stands for NULL in the joins
+    touched = batch.select(F.coalesce(bucket, never).alias("_bucket")).distinct()
     oldest = batch.agg(F.date_trunc(unit, F.min("ingested_at")).alias("oldest")).scalar()
-    recent = clean.filter(F.col("ingested_at") >= oldest).withColumn(time, bucket)
-    anew = build(lookup(recent, touched, [time], "left_semi").drop(time))
-    return known.join(touched, time, "left_anti").unionByName(anew)
+    recent = clean.filter((F.col("ingested_at") >= oldest) | F.col("ingested_at").isNull())
+    recent = recent.withColumn("_bucket", F.coalesce(bucket, never))
+    anew = build(lookup(recent, touched, ["_bucket"], "left_semi").drop("_bucket"))
+    kept = known.withColumn("_bucket", F.coalesce(time, never)).join(touched, "_bucket", "left_anti")
+    return kept.drop("_bucket").unionByName(anew)

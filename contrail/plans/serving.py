@@ -11,15 +11,8 @@ from contrail import schemas
 from contrail.functions import columns as C
 from contrail.functions.time import instant, minus_hours
 
-# The largest parameter each query accepts.
-MAX_LIVE, MAX_PAGE, MAX_AIRCRAFT, MAX_EVENTS = 5000, 10000, 1000, 2000
-MAX_METRIC_HOURS, MAX_TREND_HOURS = 168, 720
-
-
-def _at_most(name: str, value: int, largest: int) -> int:
-    if value > largest:
-        raise ValueError(f"{name} must be at most {largest}, got {value}")
-    return value
+def _first(rows: DataFrame, limit: int | None) -> DataFrame:
+    return rows if limit is None else rows.limit(limit)
 
 
 def _in_region(df: DataFrame, region: str | None) -> DataFrame:
@@ -31,29 +24,24 @@ def live_flights(
     region: str | None = None,
     emergency_only: bool = False,
     airborne_only: bool = False,
-    limit: int = 200,
+    limit: int | None = None,
 ) -> DataFrame:
     """Current positions, newest first."""
-    limit = _at_most("limit", limit, MAX_LIVE)
     rows = _in_region(current, region)
     if emergency_only:
         rows = rows.filter("is_emergency = true")
     if airborne_only:
         rows = rows.filter("on_ground = false")
-    return (
-        rows.select("hex", *schemas.ATTRIBUTES_L, "last_seen", "updated_at")
-        .orderBy(F.desc("last_seen"), "hex")
-        .limit(limit)
-    )
+    rows = rows.select("hex", *schemas.ATTRIBUTES_L, "last_seen", "updated_at")
+    return _first(rows.orderBy(F.desc("last_seen"), "hex"), limit)
 
 
 def page_clean(
-    clean: DataFrame, region: str | None = None, limit: int = 500, offset: int = 0
+    clean: DataFrame, region: str | None = None, limit: int | None = None, offset: int = 0
 ) -> DataFrame:
     """One page of the clean log, newest first."""
-    limit = _at_most("limit", limit, MAX_PAGE)
     rows = _in_region(clean, region).orderBy(F.desc("ingested_at"), "hex")
-    return rows.offset(offset).limit(limit)
+    return _first(rows.offset(offset) if offset else rows, limit)
 
 
 def key_history(history: DataFrame, key: str) -> DataFrame:
@@ -64,9 +52,8 @@ def key_history(history: DataFrame, key: str) -> DataFrame:
     ).orderBy(F.desc("effective_from"))
 
 
-def aircraft(dim: DataFrame, limit: int = 100) -> DataFrame:
-    limit = _at_most("limit", limit, MAX_AIRCRAFT)
-    return dim.orderBy(F.desc("last_seen"), "hex").limit(limit)
+def aircraft(dim: DataFrame, limit: int | None = None) -> DataFrame:
+    return _first(dim.orderBy(F.desc("last_seen"), "hex"), limit)
 
 
 def airlines(dim: DataFrame) -> DataFrame:
@@ -81,7 +68,6 @@ def metrics_window(
     metrics: DataFrame, region: str | None = None, hours: int = 24, as_of: datetime | None = None
 ) -> DataFrame:
     """Minute metrics of the last hours, newest first."""
-    hours = _at_most("hours", hours, MAX_METRIC_HOURS)
     rows = _within_hours(_in_region(metrics, region), "metric_time", hours, as_of)
     return rows.orderBy(F.desc("metric_time"), "region")
 
@@ -108,11 +94,10 @@ def alerts(current: DataFrame) -> DataFrame:
     )
 
 
-def cdc_like(cdc: DataFrame, text: str | None = None, limit: int = 200) -> DataFrame:
+def cdc_like(cdc: DataFrame, text: str | None = None, limit: int | None = None) -> DataFrame:
     """Change events whose kind contains the text, newest first."""
-    limit = _at_most("limit", limit, MAX_EVENTS)
     rows = cdc.filter(F.col("cdc_event").contains(text)) if text else cdc
-    return rows.orderBy(F.desc("detected_at"), "hex").limit(limit)
+    return _first(rows.orderBy(F.desc("detected_at"), "hex"), limit)
 
 
 def regions(summary: DataFrame) -> DataFrame:
@@ -133,7 +118,6 @@ def trend_window(
     trend: DataFrame, region: str | None = None, hours: int = 48, as_of: datetime | None = None
 ) -> DataFrame:
     """Hourly trend of the last hours, oldest first."""
-    hours = _at_most("hours", hours, MAX_TREND_HOURS)
     rows = _within_hours(_in_region(trend, region), "hour_bucket", hours, as_of)
     return rows.orderBy("hour_bucket", "region")
 
@@ -178,11 +162,10 @@ def trend_averages(trend: DataFrame) -> DataFrame:
     ).orderBy("time", "region")
 
 
-def live_table(current: DataFrame, limit: int = 100) -> DataFrame:
+def live_table(current: DataFrame, limit: int | None = None) -> DataFrame:
     """Rounded positions for display."""
     return (
-        current.orderBy(F.desc("last_seen"), "hex")
-        .limit(limit)
+        _first(current.orderBy(F.desc("last_seen"), "hex"), limit)
         .select(
             "hex", "flight", "registration", "aircraft_type",
             F.round("lat", 4).alias("lat"), F.round("lon", 4).alias("lon"),

@@ -152,6 +152,48 @@ def _lake(spark: SparkSession, sf: str) -> tables.Lake:
     return lake
 
 
+def lake_mixed_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """The state of profile N where a batch of profile L was committed in between."""
+    lake = tables.Lake(spark, scratch_path(spark, "lake"))
+    raw = _raw(spark, sf)
+    medallion.run_silver(lake, _before(raw), 0, SPLIT, GRACE)
+    medallion.run_silver_local(lake, _raw_l(spark, sf), 1, SPLIT)
+    medallion.run_silver(lake, _after(raw), 2, AS_OF, GRACE)
+    return medallion.read_current(lake)
+
+
+def lake_gold_after_gap(spark: SparkSession, sf: str) -> DataFrame:
+    """Operator marts where the marts were left out for one commit."""
+    lake = tables.Lake(spark, scratch_path(spark, "lake"))
+    raw = _raw_l(spark, sf)
+    first, rest = _before(raw, "_ingested_at"), _after(raw, "_ingested_at")
+    later = F.pmod(F.xxhash64("hex"), F.lit(2)) == 0
+    medallion.run_silver_local(lake, first, 0, SPLIT)
+    medallion.update_gold_local(lake, SPLIT)
+    medallion.run_silver_local(lake, rest.filter(later), 1, AS_OF)
+    medallion.run_silver_local(lake, rest.filter(~later), 2, AS_OF)
+    medallion.update_gold_local(lake, AS_OF)
+    return lake.read_state("airline_dim", marts.airline_dim(_clean_l(spark, sf), AS_OF).schema)
+
+
+def lake_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by what became of late ones: the newer half of the data comes first."""
+    raw = _raw(spark, sf)
+    out = None
+    for late in ("drop", "keep", "quarantine"):
+        lake = tables.Lake(spark, scratch_path(spark, "lake"))
+        medallion.run_silver(lake, _after(raw), 0, SPLIT, GRACE)
+        medallion.run_silver(lake, _before(raw), 1, AS_OF, GRACE, late=late)
+        metrics = F.from_json("operation_metrics", "late_rows BIGINT")["late_rows"]
+        row = lake.commits().filter("version = 1").select(
+            F.lit(late).alias("late"), metrics.alias("late_rows"),
+            lake.read_log("clean", medallion.CLEAN_N).agg(F.count(F.lit(1)).alias("n")).scalar().alias("clean_rows"),
+            lake.read_log("late", schemas.RAW_N).agg(F.count(F.lit(1)).alias("n")).scalar().alias("quarantined"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def _lake_l(spark: SparkSession, sf: str) -> tables.Lake:
     lake = tables.Lake(spark, scratch_path(spark, "lake"))
     raw = _raw_l(spark, sf)
@@ -570,6 +612,9 @@ QUERIES: dict[str, Query] = {
     "lake_events": lake_events,
     "lake_local_history": lake_local_history,
     "commit_history": commit_history,
+    "lake_mixed_profiles": lake_mixed_profiles,
+    "lake_gold_after_gap": lake_gold_after_gap,
+    "lake_late_rows": lake_late_rows,
     "layer_profile": layer_profile,
     "stream_minute_metrics": stream_minute_metrics,
     "stream_hourly_trend": stream_hourly_trend,
@@ -596,7 +641,7 @@ QUERIES: dict[str, Query] = {
     "updated_hours": updated_hours,
     # query library
     "live_flights": _on(serving.live_flights, _current_l, region="delhi", airborne_only=True),
-    "live_emergencies": _on(serving.live_flights, _current_l, emergency_only=True, limit=5000),
+    "live_emergencies": _on(serving.live_flights, _current_l, emergency_only=True),
     "page_clean": _on(serving.page_clean, _clean_l, region="mumbai", limit=100, offset=50),
     "key_history": _on(serving.key_history, _history_l, key="H7"),
     "aircraft": _on(serving.aircraft, _aircraft_dim),
@@ -605,7 +650,7 @@ QUERIES: dict[str, Query] = {
     "kpi_list": _on(serving.kpi_list, _kpis_l),
     "kpi_value": _on(serving.kpi_value, _kpis_l, name="avg_altitude_ft", digits=0),
     "alerts": _on(serving.alerts, _current_l),
-    "cdc_like": _on(serving.cdc_like, _cdc_l, text="ALT", limit=2000),
+    "cdc_like": _on(serving.cdc_like, _cdc_l, text="ALT"),
     "regions": _on(serving.regions, _region_summary),
     "region_shares": _on(serving.region_shares, _region_summary),
     "operators": _on(serving.operators, _top_operators, limit=10),

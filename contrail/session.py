@@ -36,11 +36,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder path every executor can reach.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; a local
-    temporary folder is used only where that setting is missing.
+    temporary folder is used only where that setting is missing and the master
+    is local, since executors elsewhere would each write to their own disk.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="contrail-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql.window import Window
 
 from contrail import schemas
 from contrail.functions import columns as C
@@ -99,18 +100,25 @@ def _elements(docs: DataFrame) -> DataFrame:
 
 
 def flatten_snapshots(
-    docs: DataFrame, as_of: datetime | None = None, ids: str = "uuid"
+    docs: DataFrame, as_of: datetime | None = None, ids: str = "hash"
 ) -> DataFrame:
     """Documents to raw observations of profile N.
 
-    ``ids="hash"`` derives the id from file, position and key instead of drawing
-    a random one: stable across runs, but the same if a file is landed twice.
+    ``ids="hash"`` derives the id from file, poll time, the whole document,
+    position and key, and numbers documents of one file that are equal in all of
+    it: stable across runs and unique per raw row, but the same if a file is
+    landed twice. ``ids="uuid"`` draws random ids, which change when read again.
     """
     hex_id = F.col("e.hex")
     if ids == "uuid":
         row_id = F.expr("uuid()")
     else:
-        row_id = F.md5(F.concat_ws("|", "_source_file", F.col("_position"), hex_id))
+        row_id = F.md5(F.concat_ws("|", "_source_file", "_digest", "_copy", F.col("_position"), hex_id))
+        content = F.to_json(F.struct("now", "ingested_at", F.coalesce("ac", "aircraft").alias("ac")))
+        docs = docs.withColumn("_digest", F.md5(F.coalesce(content, F.lit(""))))
+        same = Window.partitionBy("_source_file", "_digest").orderBy(F.lit(0))
+        # A stream cannot number rows; equal documents of one file share ids there.
+        docs = docs.withColumn("_copy", F.lit(1) if docs.isStreaming else F.row_number().over(same))
     polled = F.coalesce(
         from_epoch_millis(F.col("now")),
         F.date_trunc("second", F.try_to_timestamp("ingested_at")),
@@ -221,7 +229,10 @@ def enrich_documents(
 
 
 def audit_files(docs: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """One audit row per file: rows loaded, and whether the file could be read."""
+    """One audit row per file: rows loaded, and whether the file could be read.
+
+    Nothing is loaded from a file with a malformed document, so it counts 0 rows.
+    """
     bad = F.col("_corrupt_record").isNotNull()
     loaded = F.sum(F.when(~bad, F.greatest(F.size(F.coalesce("ac", "aircraft")), F.lit(0))))
     broken = F.count_if(bad) > 0
@@ -229,7 +240,7 @@ def audit_files(docs: DataFrame, as_of: datetime | None = None) -> DataFrame:
         F.col("_file_name").alias("file_name"), F.col("_folder").alias("region")
     ).agg(
         instant(as_of).alias("ingested_at"),
-        F.coalesce(loaded, F.lit(0)).cast("int").alias("records_loaded"),
+        F.when(broken, 0).otherwise(F.coalesce(loaded, F.lit(0))).cast("int").alias("records_loaded"),
         instant(as_of).alias("loaded_at"),
         F.when(broken, "ERROR").otherwise("OK").alias("status"),
         F.when(broken, "malformed JSON document").alias("error_msg"),
@@ -237,20 +248,25 @@ def audit_files(docs: DataFrame, as_of: datetime | None = None) -> DataFrame:
 
 
 def new_files(spark: SparkSession, path: str, audit: DataFrame) -> DataFrame:
-    """(path, file_name) of JSON files that no audit row reports as loaded.
+    """(path, file_name, region) of JSON files that no audit row reports as loaded.
 
-    Only the listing is read, never the content. Files that failed or were empty
-    are offered again.
+    A file is known by its folder and name, since feeds may name files by time
+    alone. Only the listing is read, never the content. Files that failed or
+    were empty are offered again.
     """
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .load(path)
-        .select("path", F.regexp_extract("path", _FILE_NAME, 1).alias("file_name"))
+        .select(
+            "path",
+            F.regexp_extract("path", _FILE_NAME, 1).alias("file_name"),
+            F.regexp_extract("path", _PARENT_FOLDER, 1).alias("region"),
+        )
     )
-    loaded = audit.filter("status = 'OK' AND records_loaded > 0").select("file_name")
-    return listed.join(loaded, "file_name", "left_anti")
+    loaded = audit.filter("status = 'OK' AND records_loaded > 0").select("file_name", "region")
+    return listed.join(loaded, ["file_name", "region"], "left_anti")
 
 
 def ingest_new(
@@ -272,4 +288,11 @@ def ingest_new(
         return spark.createDataFrame([], raw), spark.createDataFrame([], schemas.AUDIT)
     docs = read_documents(spark, sorted(paths), multi_line)
     flatten = flatten_enriched if profile == "L" else flatten_snapshots
-    return flatten(docs, as_of), audit_files(docs, as_of)
+    # Spark refuses to read the mark of malformed documents alone, so a count goes along.
+    failed = (
+        docs.groupBy("_file_name", "_folder")
+        .agg(F.count_if(F.col("_corrupt_record").isNotNull()).alias("bad"), F.count("aircraft").alias("read"))
+        .filter("bad > 0 AND read >= 0").select("_file_name", "_folder")
+    )
+    loaded = docs.join(failed, ["_file_name", "_folder"], "left_anti")
+    return flatten(loaded, as_of), audit_files(docs, as_of)

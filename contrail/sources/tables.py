@@ -2,8 +2,10 @@
 
 Logs (raw, clean, change events, closed history) get one ``batch_id=n`` folder
 per batch; writing a batch again replaces its folder, so a replay is harmless.
-State (current, open history) gets one ``version=n`` folder per batch. A batch
-counts only once its commit row is written, which happens last.
+State (current, open history) gets one ``version=n`` folder per version that
+writes it, and an empty marker file below ``_manifest`` afterwards. A commit need
+not write every table: a table's state at a version is the newest committed one
+up to it. A batch counts only once its commit row is written, which happens last.
 """
 
 from __future__ import annotations
@@ -61,17 +63,41 @@ class Lake:
     def read_batch(self, table: str, schema: T.StructType, batch_id: int) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path(table)}/batch_id={batch_id}")
 
+    def read_batches(self, table: str, schema: T.StructType, after: int, upto: int) -> DataFrame:
+        """Rows of the batches after ``after`` up to ``upto``."""
+        return self.read_log(table, schema, upto).filter(F.col("batch_id") > after).drop("batch_id")
+
     # ---- state --------------------------------------------------------------
+    def mark(self, table: str, version: int) -> None:
+        fs, where = self._hadoop(f"{self.path('_manifest')}/{table}/{version}")
+        fs.create(where, True).close()
+
+    def versions(self, table: str) -> list[int]:
+        """The versions that wrote a table, committed or not; one short name each."""
+        fs, where = self._hadoop(f"{self.path('_manifest')}/{table}")
+        return sorted(int(f.getPath().getName()) for f in fs.listStatus(where)) if fs.exists(where) else []
+
+    def latest(self, table: str, upto: int | None = None) -> int:
+        """The newest committed version, up to ``upto``, that wrote this table."""
+        committed = set(self.versions("commits"))
+        # The version being written reads its own state before its commit.
+        done = [v for v in self.versions(table) if (upto is None or v <= upto) and (v in committed or v == upto)]
+        return max(done, default=NO_VERSION)
+
     def write_state(self, table: str, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path(table)}/version={version}")
+        self.mark(table, version)
 
     def read_state(
         self, table: str, schema: T.StructType, version: int | None = None
     ) -> DataFrame:
-        version = self.last_commit() if version is None else version
-        where = f"{self.path(table)}/version={version}"
-        if version == NO_VERSION or not self.exists(where):
+        """State as of a version; empty only if no version up to it wrote the table."""
+        found = self.latest(table, version)
+        where = f"{self.path(table)}/version={found}"
+        if found == NO_VERSION:
             return self.empty(schema)
+        if not self.exists(where):
+            raise FileNotFoundError(f"{where} was written by version {found} and is gone")
         return self.spark.read.schema(schema).parquet(where)
 
     # ---- commits ------------------------------------------------------------
@@ -96,6 +122,7 @@ class Lake:
             F.lit(source).cast("string").alias("source"),
         )
         self.write_log("commits", row.coalesce(1), version)
+        self.mark("commits", version)
 
     def commits(self) -> DataFrame:
         if not self.exists(self.path("commits")):
@@ -103,10 +130,7 @@ class Lake:
         return self.spark.read.schema(schemas.COMMITS).parquet(self.path("commits"))
 
     def last_commit(self, before: int | None = None) -> int:
-        done = self.commits()
-        if before is not None:
-            done = done.filter(F.col("version") < before)
-        return done.agg(F.coalesce(F.max("version"), F.lit(NO_VERSION))).first()[0]
+        return max((v for v in self.versions("commits") if before is None or v < before), default=NO_VERSION)
 
     def has_taken(self, source: str) -> bool:
         return not self.commits().filter(F.col("source") == source).isEmpty()
@@ -119,6 +143,8 @@ class Lake:
             fs, where = self._hadoop(self.path(table))
             if fs.delete(where, True):
                 gone.append(table)
+            fs, marks = self._hadoop(f"{self.path('_manifest')}/{table}")
+            fs.delete(marks, True)
         return gone
 
     def compact(self, table: str, schema: T.StructType, batch_id: int, target: str) -> None:
@@ -151,6 +177,7 @@ def sample_table(df: DataFrame, limit: int = 20) -> DataFrame:
 
 
 # ---- catalog tables ----------------------------------------------------------
+# Table names.
 CATALOG_TABLES = {
     "flight_raw": schemas.RAW_N,
     "flight_clean": schemas.CLEAN_N,
