@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 20  # bytes worked on at a time
+PIECE = 1 << 19  # bytes worked on at a time
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SEED = 20240607
@@ -115,7 +115,7 @@ def words(
     for lo, hi in _pieces(data, member):
         part = LOWER[data[lo:hi]]
         s, e = runs(part, member, offsets - lo)
-        up, down = _powers(1 << max(20, int(hi - lo).bit_length()))
+        up, down = _powers(1 << max(19, int(hi - lo).bit_length()))
         sums = np.zeros(len(part) + 1, dtype=np.uint64)
         np.cumsum(_BYTES[part] * up[: len(part)], out=sums[1:])
         till = np.minimum(e, s + first) if first else e
