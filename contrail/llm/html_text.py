@@ -20,9 +20,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contrail.llm.scratch import store
+
 RUN = 8  # tokens of the shortest repeat that counts
 COVERED = 0.5  # share of a loose block that makes it boilerplate
-PART_BYTES = 6 << 20  # html of a host that is laid end to end
+PART_BYTES = 2 << 20  # html of a host that is laid end to end
+BROADCAST_HOSTS = 1_000_000  # most hosts whose part counts are sent to all executors
 
 NAMED, LOOSE, CORE = 0, 1, 2
 
@@ -230,6 +233,10 @@ def main_text(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
         F.ceil((F.sum(F.coalesce(F.length("html"), F.lit(0))) + 1) / part_bytes).cast("int").alias("parts")
     )
 
+    parts = store(parts, "hosts")
+    if parts.count() <= BROADCAST_HOSTS:
+        parts = F.broadcast(parts)  # the html stays where it is read
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [blocks(x) for x in b["html"]]
