@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from contrail.llm import textbytes as tb
 
 BITS = 18  # of the hashed vocabulary
-SAMPLE = 2500  # most labelled documents of either class that the model is fitted on
+SAMPLE = 1500  # most labelled documents of either class that the model is fitted on
 LEAST_DOCS = 4  # a word counts when so many documents of the sample have it
 STEPS = 150
 RATE = 0.15
