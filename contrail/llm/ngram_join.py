@@ -10,9 +10,10 @@ copies cost one row. Then
   member without comparing pairs;
 * *heavy* sets scan inverted lists. A set is dealt into ``m`` hash ranges, and
   the content of each range is a list entry. One differing element spoils one
-  range, so a linked pair must meet in at least ``m - d`` lists, where ``d`` is
-  the largest difference a link allows. ``m`` comes from the sizes of both, so
-  a set scans the lists of every ``m`` its partners may have. Each list is
+  range, so a linked pair agrees in at least ``m - d`` ranges, where ``d`` is
+  the largest difference a link allows, and meets in the lists of any ``d + 1``
+  ranges: a set enters the lists of its first ``d + 1`` ranges with content. ``m``
+  comes from the sizes of both, so a set serves every ``m`` its partners may have. Each list is
   first compared with its smallest member only. Members still apart after that
   are compared with each other: short lists by a join, long ones block by block
   inside tasks, which emit only pairs whose ranges agree often enough.
@@ -73,7 +74,7 @@ class Rule:
         """Ranges for a pair that may differ in ``d`` elements, from a coarse grid."""
         need, m = d + d // 4 + 4, 4
         while m < need:
-            m += m // 2
+            m *= 2
         return m
 
     @lru_cache(maxsize=100_000)  # noqa: B019
@@ -99,7 +100,10 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def range_codes(u: np.ndarray, rule: Rule) -> tuple[list[int], np.ndarray]:
-    """The list entries of a sorted set, for every ``m``; 0 for a range to leave out."""
+    """The range codes of a sorted set, for every ``m``.
+
+    A code is odd where the set enters the list of the range, and even elsewhere.
+    """
     spread = tb.mix(u ^ np.uint64(0x5851F42D4C957F2D))
     sums = np.zeros(len(u) + 1, dtype=np.uint64)
     np.cumsum(spread, out=sums[1:])
@@ -112,8 +116,8 @@ def range_codes(u: np.ndarray, rule: Rule) -> tuple[list[int], np.ndarray]:
             ^ tb.mix(np.arange(m, dtype=np.uint64) + np.uint64(m << 32))
         ) | np.uint64(1)
         empty = at[1:] == at[:-1]
-        if empty.sum() < m - d:  # an agreeing range with content is certain
-            code[empty] = 0
+        if empty.sum() < m - d:  # an agreeing range with content is certain, among any d + 1 of them
+            code[empty | (np.cumsum(~empty) > d + 1)] ^= np.uint64(1)
         ms.append(m)
         parts.append(code)
     return ms, np.concatenate(parts) if parts else np.zeros(0, np.uint64)
@@ -166,7 +170,7 @@ def boundary(sizes: DataFrame, rule: Rule) -> int:
     light, heavy = {}, {}
     for n, c in counts.items():
         light[n] = c * rule.subsets(n)
-        heavy[n] = c * (sum(m for m, _ in rule.grid(n)) + VERIFY)
+        heavy[n] = c * (sum(d + 1 for _, d in rule.grid(n)) + VERIFY)
     price = {
         x: sum(v for n, v in light.items() if n <= x) + sum(v for n, v in heavy.items() if n > x)
         for x in range(SMALL + 1)
@@ -221,7 +225,7 @@ def _agreeing(rule: Rule, na: int, ms_a, codes_a, nb: int, ms_b, codes_b) -> int
         start = 0
         for x in ms:
             if x == m:
-                views.append(codes[start : start + m])
+                views.append(codes[start : start + m] | 1)
                 break
             start += x
     if len(views) < 2:
@@ -347,9 +351,9 @@ def _apart(lists: DataFrame, at: DataFrame, reps: DataFrame, rule: Rule) -> Data
                 ok &= rule.q * np.minimum(size, size[x_]) >= rule.p * np.maximum(size, size[x_])
                 if ok.any():
                     near = np.flatnonzero(ok)
-                    same = code[near] == code[x_]
+                    same = (code[near] | 1) == (code[x_] | 1)
                     # Of all lists that a pair shares, only the one of the least code names it.
-                    least = np.where(same & (code[x_] != 0), code[x_], last).min(axis=1)
+                    least = np.where(same & (code[near] & code[x_] & 1 == 1), code[x_], last).min(axis=1)
                     for y_ in near[(same.sum(axis=1) >= m - d[near]) & (least == own_code)]:
                         a, b = sorted((int(sid[x_]), int(sid[y_])))
                         out.append((a, b))
@@ -388,7 +392,7 @@ def similar_groups(docs: DataFrame, words: int = 5, p: int = 8, q: int = 10) ->
     light = _light_links(classes, rule, limit)
 
     heavy = classes.filter(F.floor(q * F.col("n_shingles") / p) > limit)
-    entries = heavy.select("sid", F.explode("codes").alias("code")).filter("code <> 0")
+    entries = heavy.select("sid", F.explode(F.filter("codes", lambda c: c.bitwiseAND(F.lit(1)) == 1)).alias("code"))
     heads = entries.groupBy("code").agg(F.min("sid").alias("head"), F.count(F.lit(1)).alias("c"))
     lists = store(entries.join(heads.filter("c > 1").select("code", "head"), "code"), "lists")
     reps = heavy.join(lists.select("sid").distinct(), "sid", "left_semi").select("sid", "h1", "n_shingles", "ms", "codes")
