@@ -116,6 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     counts = np.array([w[0] for w in weight])
     label = np.array([w[1] for w in weight], dtype=float)
     slots, sent = np.concatenate(slots), np.concatenate(sent)
+    del got, rows, r, x  # the driver's memory holds the sample once
     used = seen[slots] >= LEAST_DOCS
     slots, sent = slots[used], sent[used]
     words, slots = np.unique(slots, return_inverse=True)
