@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from contrail.llm import textbytes as tb
-from contrail.llm.components import connected
+from contrail.llm.components import connected, extended
 from contrail.llm.scratch import store
 
 SMALL = 64  # sizes for which both sides are priced
@@ -419,7 +419,7 @@ def similar_groups(docs: DataFrame, words: int = 5, p: int = 8, q: int = 10) ->
     rest = store(later.unionByName(rest).distinct(), "rest")
     more = store(_verified(rest, docs, reps, words, rule, repeated), "links")
     if not more.isEmpty():
-        at = connected(links.unionByName(more))
+        at = extended(at, more)
 
     named = classes.select(*same, "sid").join(
         at.select(F.col("node").alias("sid"), "component"), "sid", "left"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm import html_text, language_id, mixing, packing, sharding, token_counts, toxicity
 from contrail.llm.ann import nearest
-from contrail.llm.components import connected
+from contrail.llm.components import connected, extended
 from contrail.llm.exact_topk import top_products
 from contrail.llm.ngram_join import similar_groups
 from contrail.llm.scratch import ship_code, store
@@ -81,6 +81,22 @@ def test_components_of_chains_and_stars(spark):
     assert {got[i] for i in range(100, 141)} == {100} and {got[j] for j in range(5, 60)} == {5} and len(got) == 96
 
 
+def test_components_after_more_edges(spark):
+    rnd = random.Random(5)
+    for n, few, more in ((40, 25, 20), (300, 250, 40)):
+        first = [(rnd.randrange(n), rnd.randrange(n)) for _ in range(few)]
+        second = [(rnd.randrange(n), rnd.randrange(n + 5)) for _ in range(more)]
+        at = {x: x for e in first + second for x in e}
+        for _ in at:
+            for a, b in first + second:
+                at[a] = at[b] = min(at[a], at[b])
+        frames = [spark.createDataFrame(e, "a long, b long") for e in (first, second)]
+        got = {r.node: r.component for r in extended(connected(frames[0]), frames[1]).collect()}
+        loops = {a for a, b in first + second if a == b}
+        assert {k: got.get(k, k) for k in at} == at
+        assert set(at) - set(got) <= loops
+
+
 def vectors(spark):
     rng = np.random.default_rng(0)
     made = [(i, [float(x) for x in rng.normal(size=16) * (1 + i % 5)], "z") for i in range(120)]
