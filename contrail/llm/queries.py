@@ -15,8 +15,9 @@ from contrail.llm.mixing import mix_sources
 from contrail.llm.ngram_join import similar_groups
 from contrail.llm.packing import pack_documents
 from contrail.llm.scratch import ship_code
-from contrail.llm.sharding import shard_rows
+from contrail.llm.sharding import shard_rows, write_shards
 from contrail.llm.token_counts import count_edited
+from contrail.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,15 +71,15 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in 40 shuffled shards; the key decides the shard."""
+    """All documents, written as 40 shuffled shards; the key decides the shard. Returns a digest of the written rows."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    digest = _table(spark, sf_dir, "documents").select(
-        "doc_id",
-        (F.octet_length(text) + 16).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
-    )
-    return shard_rows(digest, 40).select(
-        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
+    size = (F.octet_length(text) + 16).cast("long")
+    number = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+    docs = _table(spark, sf_dir, "documents").select("*", *[c.alias(n) for n, c in number.items()]).withColumn("size", size)
+    shards = write_shards(shard_rows(docs, 40, number=[*number]), scratch_path(spark, "shards"))
+    return shards.select(
+        "doc_id", size.alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
+        F.lit("key").alias("law"), "shard", "slot", "grown_shard",
     )
 
 

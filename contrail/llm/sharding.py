@@ -1,13 +1,16 @@
 """Sharding by a two-pass external shuffle, without Python tasks.
 
-Pass one scatters the records by seeded hashes into buckets that fit in memory
-and writes them. Pass two reads one bucket at a time, permutes it (Spark's
-``shuffle`` of an array is a Fisher-Yates shuffle) and numbers its slots from
-where the bucket starts in its shard.
+Pass one scatters the whole records by seeded hashes into buckets that fit in
+memory; Spark's exchange writes them, one partition a bucket. Pass two reads one
+bucket at a time, permutes it (Spark's ``shuffle`` of an array is a Fisher-Yates
+shuffle), numbers its slots from where the bucket starts in its shard, and
+writes the shards.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,7 +31,7 @@ def shard_of(key: Column, shards: int, seed: int) -> Column:
 
 def shard_rows(
     docs: DataFrame, shards: int, key: str = "doc_id", size: str = "size", seed: int = 8,
-    bucket_bytes: int = BUCKET_BYTES,
+    bucket_bytes: int = BUCKET_BYTES, number: Sequence[str] = (),
 ) -> DataFrame:
     """All columns of ``docs`` plus ``shard``, ``slot`` and ``grown_shard``.
 
@@ -36,29 +39,37 @@ def shard_rows(
     other); ``grown_shard`` is the shard with one more. Slots count from 0
     without gaps in random order. ``size`` says how large a record is. Columns
     named like the results are replaced. Equal rows are kept. An empty table
-    gives no rows. Buckets are split by the whole record, so records of one key
-    do not have to share one.
+    gives no rows. ``number`` names the columns that tell rows apart, such as
+    file and row index; they are not returned. Without it the table is stored
+    first and numbered by that. A row's number decides its bucket, so records
+    of one key, equal ones too, do not have to share one.
     """
     made = ["shard", "slot", "grown_shard"]
-    kept = [c for c in docs.columns if c not in made]
+    kept = [c for c in docs.columns if c not in (*made, *number)]
+    if not number:
+        number = ["_file", "_row"]
+        docs = store(docs.select(*kept), "records").select(
+            *kept, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+        )
     best, grown = shard_of(F.col(key), shards, seed), shard_of(F.col(key), shards + 1, seed)
-    held = docs.select(*kept).withColumn("_best", best).withColumn("_grown", grown["shard"])
-    held = held.withColumn("_shard", F.col("_best.shard")).drop("_best")
-    first = store(held, "records")
-    total = first.agg(F.coalesce(F.sum(F.col(size) + 64), F.lit(0))).first()[0]
-    buckets = max(1, -(-int(total) // (shards * bucket_bytes)))
-    spread = F.pmod(F.xxhash64(F.lit(seed + 1), *[F.col(c) for c in kept]), F.lit(buckets)).cast("int")
-    first = store(first.withColumn("_bucket", spread).repartition("_shard", "_bucket"), "scattered")
+    held = docs.withColumn("_shard", best["shard"])
+    bytes_of = dict(held.groupBy("_shard").agg(F.sum(F.coalesce(F.col(size), F.lit(0)) + 64).cast("long")).collect())
+    buckets = [max(1, -(-bytes_of.get(i, 0) // bucket_bytes)) for i in range(shards)]
+    # Cells count the buckets of all shards in order; each is a partition of its own.
+    firsts = [sum(buckets[:i]) for i in range(shards)]
+    of_shard = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("_shard") + 1)
+    spread = F.pmod(F.xxhash64(F.lit(seed + 1), *number), of_shard(buckets))
+    held = held.withColumn("_cell", (of_shard(firsts) + spread).cast("int"))
 
-    at = ["_shard", "_bucket"]
-    before = Window.partitionBy("_shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_shard").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        first.groupBy(*at).agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+        held.groupBy("_shard", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n", "_shard")
     )
-    rows = F.sort_array(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 2), *kept).alias("_h"), *kept, "_grown")))
+    scattered = held.withColumn("_grown", grown["shard"]).repartitionById(sum(buckets), F.col("_cell"))
+    rows = F.sort_array(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 2), *number).alias("_h"), *number, *kept, "_grown")))
     # Nothing is exchanged after the permutation, so a task that runs again replaces it whole.
-    held = first.groupBy(*at).agg(rows.alias("_rows")).join(starts, at)
+    held = scattered.groupBy("_cell").agg(F.first("_shard").alias("_shard"), rows.alias("_rows")).join(F.broadcast(starts), "_cell")
     out = held.select("_shard", "_start", F.posexplode(F.shuffle("_rows", F.lit(seed))).alias("_pos", "_r"))
     return out.select(
         *[F.col("_r")[c].alias(c) for c in kept],
@@ -68,6 +79,7 @@ def shard_rows(
     )
 
 
-def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder a shard, its files in slot order."""
-    sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(sharded: DataFrame, path: str) -> DataFrame:
+    """One folder a shard, its files in slot order; the written rows."""
+    sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    return sharded.sparkSession.read.schema(sharded.schema).parquet(path).select(*sharded.columns)

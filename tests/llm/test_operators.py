@@ -5,12 +5,13 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from contrail.llm import html_text, language_id, mixing, packing, sharding, token_counts, toxicity
+from contrail.llm import html_text, language_id, mixing, packing, queries, sharding, token_counts, toxicity
 from contrail.llm.ann import nearest
 from contrail.llm.components import connected, extended
 from contrail.llm.exact_topk import top_products
@@ -173,6 +174,31 @@ def test_shards_are_gapless_and_grow(docs, rows):
     assert all(six[r.doc_id] == r.grown_shard for r in got)
 
 
+def test_written_shards_hold_whole_documents(spark, docs, rows, tmp_path):
+    repeated = docs.unionByName(docs.filter("doc_id = 1").crossJoin(spark.range(400)).drop("id"))
+    df = repeated.withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    sharded = sharding.shard_rows(df, 5, bucket_bytes=4000)
+    cells = sharded.select("doc_id", "text", F.spark_partition_id().alias("cell")).filter("doc_id = 1").distinct()
+    assert cells.count() > 1  # equal rows spread
+    written = sharding.write_shards(sharded, str(tmp_path / "shards"))
+    kept = [c for c in df.columns if c != "slot"]  # replaced by the result
+    assert sorted(map(str, written.select(*kept).collect())) == sorted(map(str, df.select(*kept).collect()))
+    for s in range(5):
+        files = sorted((tmp_path / "shards" / f"shard={s}").glob("*.parquet"))
+        slots = [x.slot for f in files for x in spark.read.parquet(str(f)).select("slot", "_metadata.row_index").orderBy("row_index").collect()]
+        assert slots == list(range(written.filter(F.col("shard") == s).count()))
+
+
+def test_shard_query_writes_whole_documents(spark, docs, tmp_path):
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    docs.drop("size").write.parquet(str(tmp_path / "documents.parquet"))
+    before = set(Path(base).glob("shards-*"))
+    got = queries.op8_shard(spark, str(tmp_path)).collect()
+    (made,) = set(Path(base).glob("shards-*")) - before
+    text = {(r.doc_id, zlib.crc32((r.text or "").encode())) for r in spark.read.parquet(str(made)).collect()}
+    assert {(r.doc_id, r.text_crc32) for r in got} == text and len(got) == docs.count()
+
+
 def test_differencing_known_case():
     assert sorted(packing.differencing(np.array([8, 7, 6, 5, 4]), 2)[1].tolist()) == [14, 16]
 
