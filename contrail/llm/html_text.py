@@ -4,9 +4,10 @@ A page is read into blocks: inside an article element (or main), inside a part
 that markup names (menus, footers, adverts, ...), or loose. The token streams
 of a host's pages are laid end to end and their suffixes sorted by prefix
 doubling; runs of at least ``RUN`` tokens that occur on different pages are the
-host's repeats. Loose blocks that repeats cover are boilerplate, the others are
-kept. Blocks inside an article stay even where they repeat: on hosts that show
-one article on several pages, repeats alone would remove the article.
+host's repeats. They are cut out of the article, or of the loose blocks of a
+page without one; the runs between them stay. Pages that are copies of one
+another count as one page, so an article that a host shows on several pages
+stays.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from contrail.llm.scratch import store
 
 RUN = 8  # tokens of the shortest repeat that counts
 COVERED = 0.5  # share of a loose block that makes it boilerplate
+COPY_PART, COPY_OF = 2, 3  # share of both pages' windows that makes them copies
 PART_BYTES = 2 << 20  # html of a host that is laid end to end
 BROADCAST_HOSTS = 1_000_000  # most hosts whose part counts are sent to all executors
 
 NAMED, LOOSE, CORE = 0, 1, 2
+RESULT = "page_id long, url string, text string, n_chars long, n_repeated long"
 
 # Element and attribute names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -147,18 +150,9 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
     return out
 
 
-def repeats(tokens: np.ndarray, pages: np.ndarray, run: int = RUN) -> np.ndarray:
-    """Which tokens lie in a run of at least ``run`` tokens that occurs on different pages.
-
-    Suffixes are ranked by their first 1, 2, 4, ... tokens until the rank
-    covers ``run`` of them; suffixes of one rank are an interval of the suffix
-    array whose common prefixes are long enough. Negative tokens end blocks and
-    differ from each other, so no run crosses a block.
-    """
+def _ranks(tokens: np.ndarray, run: int) -> np.ndarray:
+    """Ranks of all suffixes by their first ``run`` tokens."""
     n = len(tokens)
-    covered = np.zeros(n, dtype=bool)
-    if n < run:
-        return covered
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
     depth = 1
     while depth < run:
@@ -167,52 +161,128 @@ def repeats(tokens: np.ndarray, pages: np.ndarray, run: int = RUN) -> np.ndarray
         after[: n - step] = rank[step:] + 1
         rank = np.unique(rank * (n + 2) + after, return_inverse=True)[1].astype(np.int64)
         depth += step
+    return rank
+
+
+def _spread(begins: np.ndarray, n: int, run: int) -> np.ndarray:
+    """Which of ``n`` tokens lie in the runs that begin there."""
+    edge = np.zeros(n + 1, dtype=np.int64)
+    np.add.at(edge, begins, 1)
+    np.add.at(edge, begins + run, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def repeats(tokens: np.ndarray, pages: np.ndarray, run: int = RUN, rank: np.ndarray | None = None) -> np.ndarray:
+    """Which tokens lie in a run of at least ``run`` tokens that occurs on different pages.
+
+    Suffixes are ranked by their first 1, 2, 4, ... tokens until the rank
+    covers ``run`` of them; suffixes of one rank are an interval of the suffix
+    array whose common prefixes are long enough. Negative tokens end blocks and
+    differ from each other, so no run crosses a block.
+    """
+    n = len(tokens)
+    if n < run:
+        return np.zeros(n, dtype=bool)
+    if rank is None:
+        rank = _ranks(tokens, run)
     order = np.argsort(rank, kind="stable")  # the suffix array, to that depth
     ranks, where = rank[order], pages[order]
     starts = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]])
     low, high = np.minimum.reduceat(where, starts), np.maximum.reduceat(where, starts)
     shared = np.repeat(low != high, np.diff(np.r_[starts, n]))
     begins = order[shared]
-    begins = begins[begins + run <= n]
-    edge = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(edge, begins, 1)
-    np.add.at(edge, begins + run, -1)
-    return np.cumsum(edge[:-1]) > 0
+    return _spread(begins[begins + run <= n], n, run)
+
+
+def copies(windows: np.ndarray, pages: np.ndarray, count: int) -> np.ndarray:
+    """The group of each of ``count`` pages: the least page that it is a copy of, or itself.
+
+    A window belongs to the least page that has it. Of the other pages whose
+    windows a page has, the one with most of them is its original if these are
+    two thirds of what either page has besides the windows of third pages.
+    """
+    group = np.arange(count)
+    if not len(windows):
+        return group
+    pairs = np.unique(np.stack([windows, pages]), axis=1)
+    first = np.r_[True, pairs[0, 1:] != pairs[0, :-1]]
+    owner = pairs[1][np.flatnonzero(first)][np.cumsum(first) - 1]
+    own = np.bincount(pairs[1][owner == pairs[1]], minlength=count)
+    far = owner != pairs[1]
+    (page, at), n = np.unique(np.stack([pairs[1][far], owner[far]]), axis=1, return_counts=True)
+    best: dict[int, tuple[int, int]] = {}
+    for p, o, k in zip(page.tolist(), at.tolist(), n.tolist(), strict=True):
+        best[p] = max(best.get(p, (0, 0)), (k, -o))
+    for p in sorted(best):  # originals are lower, so their groups are known
+        k, o = best[p][0], -best[p][1]
+        if COPY_OF * k >= COPY_PART * (k + own[p]) and COPY_OF * k >= COPY_PART * own[o]:
+            group[p] = group[o]
+    return group
+
+
+def _page_text(kinds, texts, marks) -> tuple[str, int]:
+    """Text and number of repeated tokens of a page; ``marks`` tells of each block which tokens repeat, and whether a short one does."""
+    whole = CORE if CORE in kinds else LOOSE
+    kept, repeated = [], 0
+    for kind, text, (covered, plate) in zip(kinds, texts, marks, strict=True):
+        hit = int(covered.sum())
+        repeated += hit
+        if kind != whole or (kind != CORE and (plate or hit >= COVERED * len(covered))):
+            continue
+        if hit and kind == CORE:
+            text = " ".join(w for w, c in zip(text.split(" "), covered.tolist(), strict=True) if not c)
+        if text:
+            kept.append(text)
+    return " ".join(kept), repeated
 
 
 def _clean(group: pd.DataFrame) -> pd.DataFrame:
     """Main texts of pages of one host."""
     ids: dict[str, int] = {}
-    pages = pd.factorize(group["page_id"].astype("string").fillna("") + " " + group["url"].fillna(""))[0]
-    tokens, of_page, spans, stop, same = [], [], [], -1, {}
-    for page, texts in zip(pages, group["blocks"], strict=True):
-        for text in texts:
+    short: dict[str, int] = {}
+    names, pages = np.unique(group["page"].to_numpy(), return_inverse=True)
+    tokens, of_page, main, spans, shorts, stop = [], [], [], [], [], -1
+    for page, kinds, texts in zip(pages, group["kinds"], group["blocks"], strict=True):
+        whole = CORE if CORE in kinds else LOOSE
+        for kind, text in zip(kinds, texts, strict=True):
             words = [ids.setdefault(w, len(ids)) for w in text.split(" ")]
             spans.append((len(tokens), len(tokens) + len(words)))
+            if len(words) < RUN:  # runs never hold a block's end, so it repeats as a whole
+                shorts.append((short.setdefault(text, len(short)), page, kind == whole))
+            # windows begin where the block has RUN tokens left
+            main += [kind == whole and len(words) - i >= RUN for i in range(len(words))] + [False]
             tokens += [*words, stop]
             of_page += [page] * (len(words) + 1)
             stop -= 1
-            first = same.setdefault(text, page)
-            if first != page:
-                same[text] = -1
-    # Runs never hold a block's end, so blocks of fewer tokens repeat as a whole.
-    covered = np.r_[0, np.cumsum(repeats(np.array(tokens, dtype=np.int64), np.array(of_page)))]
+    tokens, of_page = np.array(tokens, dtype=np.int64), np.array(of_page, dtype=np.int64)
+    rank = _ranks(tokens, RUN) if len(tokens) >= RUN else np.zeros(len(tokens), np.int64)
+    begins = np.flatnonzero(np.array(main, dtype=bool))
+    whole_shorts = [(-1 - w, p) for w, p, m in shorts if m]
+    of_group = copies(
+        np.r_[rank[begins], np.array([w for w, _ in whole_shorts], np.int64)],
+        np.r_[of_page[begins], np.array([p for _, p in whole_shorts], np.int64)],
+        len(names),
+    )
+    covered = repeats(tokens, of_group[of_page] if len(of_page) else of_page, rank=rank)
+    seen: dict[int, int] = {}
+    for w, p, _ in shorts:
+        if seen.setdefault(w, of_group[p]) != of_group[p]:
+            seen[w] = -1
     rows, at = [], 0
     for kinds, texts in zip(group["kinds"], group["blocks"], strict=True):
-        whole = CORE if CORE in kinds else LOOSE
-        kept, repeated = [], 0
-        for kind, text in zip(kinds, texts, strict=True):
+        marks = []
+        for text in texts:
             lo, hi = spans[at]
             at += 1
-            share = (covered[hi] - covered[lo]) / (hi - lo)
-            repeated += int(covered[hi] - covered[lo])
-            plate = share >= COVERED or (hi - lo < RUN and same[text] == -1)
-            if kind == whole and (kind == CORE or not plate):
-                kept.append(text)
-        rows.append((" ".join(kept), repeated))
+            marks.append((covered[lo:hi], hi - lo < RUN and seen[short[text]] == -1))
+        rows.append(_page_text(kinds, texts, marks))
+    return _result(group, rows)
+
+
+def _result(pages: pd.DataFrame, rows: list[tuple[str, int]]) -> pd.DataFrame:
     text = [r[0] for r in rows]
     return pd.DataFrame(
-        {"page_id": group["page_id"], "url": group["url"], "text": text, "n_chars": [len(t) for t in text], "n_repeated": [r[1] for r in rows]}
+        {"page_id": pages["page_id"], "url": pages["url"], "text": text, "n_chars": [len(t) for t in text], "n_repeated": [r[1] for r in rows]}
     )
 
 
@@ -234,18 +304,19 @@ def main_text(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     )
 
     parts = store(parts, "hosts")
-    if parts.count() <= BROADCAST_HOSTS:
-        parts = F.broadcast(parts)  # the html stays where it is read
+    hosts = parts.count()
+    sent = F.broadcast if hosts <= BROADCAST_HOSTS else lambda x: x  # the html stays where it is read
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [blocks(x) for x in b["html"]]
-            yield b[["page_id", "url", "host", "part"]].assign(
+            yield b[["page_id", "url", "host", "part", "page"]].assign(
                 kinds=[[k for k, _ in f] for f in found], blocks=[[t for _, t in f] for f in found]
             )
 
-    dealt = rows.join(parts, "host").select(
-        "page_id", "url", "html", "host", F.pmod(F.xxhash64("page_id", "url"), F.col("parts")).cast("int").alias("part")
+    dealt = rows.join(sent(parts), "host").select(
+        "page_id", "url", "html", "host", F.xxhash64("page_id", "url").alias("page"),
+        F.pmod(F.xxhash64("page_id", "url"), F.col("parts")).cast("int").alias("part"),
     )
-    read = dealt.mapInPandas(run, "page_id long, url string, host string, part int, kinds array<int>, blocks array<string>")
-    return read.groupBy("host", "part").applyInPandas(_clean, "page_id long, url string, text string, n_chars long, n_repeated long")
+    read = dealt.mapInPandas(run, "page_id long, url string, host string, part int, page long, kinds array<int>, blocks array<string>")
+    return read.groupBy("host", "part").applyInPandas(_clean, RESULT)
