@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from contrail.llm.scratch import store
 
 RUN = 8  # tokens of the shortest repeat that counts
-COVERED = 0.5  # share of a loose block that makes it boilerplate
 COPY_PART, COPY_OF = 2, 3  # share of both pages' windows that makes them copies
 PART_BYTES = 2 << 20  # html of a host that is laid end to end
 BROADCAST_HOSTS = 1_000_000  # most hosts whose part counts are sent to all executors
@@ -227,9 +226,9 @@ def _page_text(kinds, texts, marks) -> tuple[str, int]:
     for kind, text, (covered, plate) in zip(kinds, texts, marks, strict=True):
         hit = int(covered.sum())
         repeated += hit
-        if kind != whole or (kind != CORE and (plate or hit >= COVERED * len(covered))):
+        if kind != whole or (plate and kind != CORE):
             continue
-        if hit and kind == CORE:
+        if hit:
             text = " ".join(w for w, c in zip(text.split(" "), covered.tolist(), strict=True) if not c)
         if text:
             kept.append(text)

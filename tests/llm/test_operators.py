@@ -269,14 +269,15 @@ def test_article_of_a_page(spark):
 def test_repeats_cut_inside_articles(spark):
     rnd = random.Random(11)
     say = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n))
-    plate = say(12)
-    article = [say(40) for _ in range(6)]
+    plate, passage = say(12), say(14)
+    article, own = [say(40) for _ in range(6)], [say(6) for _ in range(6)]
     pages = [(i, f"http://h/{i}", f"<article><p>{article[i]}</p><p>{plate}</p></article>") for i in range(4)]
     pages += [(10 + i, f"http://h/copy{i}", f"<article><p>{article[0]}</p><p>{plate}</p></article>") for i in range(3)]
+    pages += [(20 + i, f"http://h/l{i}", f"<div>{article[4 + i]} {passage} {own[i]}</div>") for i in range(2)]
     pages += [(30 + i, f"http://k/{i}", f"<div>{article[5]}</div><div>Short line</div>") for i in range(2)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     want = {i: article[i] for i in range(4)} | {10 + i: article[0] for i in range(3)}
-    want |= {30 + i: f"{article[5]} Short line" for i in range(2)}
+    want |= {20 + i: f"{article[4 + i]} {own[i]}" for i in range(2)} | {30 + i: f"{article[5]} Short line" for i in range(2)}
     assert {r.page_id: r.text for r in html_text.main_text(df).collect()} == want
 
 
