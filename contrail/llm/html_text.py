@@ -14,14 +14,19 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from contrail.llm.components import connected
 from contrail.llm.scratch import store
+from contrail.llm.textbytes import mix
 
 RUN = 8  # tokens of the shortest repeat that counts
 COPY_PART, COPY_OF = 2, 3  # share of both pages' windows that makes them copies
@@ -285,13 +290,94 @@ def _result(pages: pd.DataFrame, rows: list[tuple[str, int]]) -> pd.DataFrame:
     )
 
 
+@lru_cache(maxsize=1 << 20)
+def _hash(word: str) -> int:
+    return int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+def windows(host: str, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, begins, blocks): of a host and the runs of ``RUN`` tokens of each block, or all of it if it has fewer.
+
+    ``begins`` counts the tokens of the blocks laid end to end.
+    """
+    words = [text.split(" ") for text in texts]
+    sizes = np.array([len(w) for w in words], dtype=np.int64)
+    tokens = np.array([_hash(w) for ws in words for w in ws], dtype=np.uint64)
+    block = np.repeat(np.arange(len(words)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(tokens))
+    begins = np.flatnonzero((left >= RUN) | ((left == sizes[block]) & (left < RUN)))
+    held = np.minimum(left[begins], RUN)
+    out = mix(np.uint64(_hash(host)) + held.astype(np.uint64))
+    for j in range(RUN):
+        on = held > j
+        out = np.where(on, mix(out + tokens[np.minimum(begins + j, len(tokens) - 1)]), out) if len(out) else out
+    return out.view(np.int64), begins, block[begins]
+
+
+def _large(pages: DataFrame) -> DataFrame:
+    """Main texts of hosts of any size: what ``_clean`` finds in memory, by joins over the hashes of windows."""
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for host, page, kinds, texts in zip(b["host"], b["page"], b["kinds"], b["blocks"], strict=True):
+                h, _, block = windows(host, texts)
+                main = (np.asarray(kinds) == (CORE if CORE in kinds else LOOSE))[block] if len(h) else np.zeros(0, bool)
+                of_main = np.unique(h[main])
+                for hashes, is_main in ((of_main, True), (np.setdiff1d(h, of_main), False)):
+                    if len(hashes):
+                        yield pd.DataFrame({"h": hashes, "page": page, "main": is_main, "n": len(of_main)})
+
+    # All pages of a window meet once, and windows of a single page go no further.
+    held = pages.mapInPandas(emit, "h long, page long, main boolean, n int").repartition("h")
+    held = held.groupBy("h", "page").agg(F.max("main").alias("main"), F.max("n").alias("n"))
+    both = Window.partitionBy("h")
+    held = held.withColumns({"_a": F.min("page").over(both), "_b": F.max("page").over(both)})
+    held = store(held.filter("_a <> _b").drop("_a", "_b"), "windows")
+    main = held.filter("main").select("h", "page")
+    owners = main.groupBy("h").agg(F.min("page").alias("owner"), F.max("page").alias("_last")).filter("owner <> _last").drop("_last")
+    pairs = store(main.join(owners, "h").filter("page <> owner").groupBy("page", "owner").agg(F.count(F.lit(1)).alias("n")), "pairs")
+    own = (
+        held.groupBy("page").agg(F.max("n").alias("_all"))
+        .join(pairs.groupBy("page").agg(F.sum("n").alias("_far")), "page", "left")
+        .select("page", (F.col("_all") - F.coalesce("_far", F.lit(0))).alias("own"))
+    )
+    best = pairs.groupBy("page").agg(F.max(F.struct("n", -F.col("owner"), "owner")).alias("_b")).select("page", "_b.owner", "_b.n")
+    edges = (
+        best.join(own, "page").join(own.select(F.col("page").alias("owner"), F.col("own").alias("theirs")), "owner")
+        .filter((COPY_OF * F.col("n") >= COPY_PART * (F.col("n") + F.col("own"))) & (COPY_OF * F.col("n") >= COPY_PART * F.col("theirs")))
+    )
+    groups = connected(edges.select(F.col("page").alias("a"), F.col("owner").alias("b")))
+    grouped = held.join(groups.withColumnRenamed("node", "page"), "page", "left").select("h", F.coalesce("component", "page").alias("g"))
+    shared = grouped.groupBy("h").agg(F.min("g").alias("_a"), F.max("g").alias("_b")).filter("_a <> _b").select("h")
+    plates = held.select("h", "page").join(shared, "h").groupBy("page").agg(F.collect_list("h").alias("plates"))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for host, kinds, texts, plates in zip(b["host"], b["kinds"], b["blocks"], b["plates"], strict=True):
+                known = np.array([] if plates is None else plates, dtype=np.int64)
+                h, begins, block = windows(host, texts)
+                hit = np.isin(h, known)
+                sizes = [text.count(" ") + 1 for text in texts]
+                short = np.array(sizes, dtype=np.int64) < RUN
+                runs = hit & ~short[block] if len(h) else hit
+                covered = _spread(begins[runs], sum(sizes), RUN)
+                plates_of = set(block[hit].tolist())
+                ends = np.cumsum(sizes).tolist()
+                marks = [(covered[e - n : e], n < RUN and i in plates_of) for i, (e, n) in enumerate(zip(ends, sizes, strict=True))]
+                rows.append(_page_text(kinds, texts, marks))
+            yield _result(b, rows)
+
+    return pages.join(plates, "page", "left").select("page_id", "url", "host", "kinds", "blocks", "plates").mapInPandas(cut, RESULT)
+
+
 def main_text(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """(page_id, url, text, n_chars, n_repeated), one row per row of ``pages``.
 
     Null and empty pages, and pages without an article or unique loose text,
     have an empty text. ``n_repeated`` counts tokens in the host's repeats.
-    Large hosts are dealt by hash into parts of about ``part_bytes`` of html,
-    since boilerplate repeats in each; a null url is a host of its own. Rows
+    Hosts of up to ``part_bytes`` of html are laid end to end in memory; larger
+    ones find the same repeats by joins. A null url is a host of its own. Rows
     that repeat a page are one page when repeats are looked for. Other columns
     are ignored; an empty table gives no rows.
     """
@@ -303,19 +389,19 @@ def main_text(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     )
 
     parts = store(parts, "hosts")
-    hosts = parts.count()
+    hosts, large = parts.agg(F.count(F.lit(1)), F.count_if(F.col("parts") > 1)).first()
     sent = F.broadcast if hosts <= BROADCAST_HOSTS else lambda x: x  # the html stays where it is read
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [blocks(x) for x in b["html"]]
-            yield b[["page_id", "url", "host", "part", "page"]].assign(
+            yield b[["page_id", "url", "host", "page"]].assign(
                 kinds=[[k for k, _ in f] for f in found], blocks=[[t for _, t in f] for f in found]
             )
 
-    dealt = rows.join(sent(parts), "host").select(
-        "page_id", "url", "html", "host", F.xxhash64("page_id", "url").alias("page"),
-        F.pmod(F.xxhash64("page_id", "url"), F.col("parts")).cast("int").alias("part"),
-    )
-    read = dealt.mapInPandas(run, "page_id long, url string, host string, part int, page long, kinds array<int>, blocks array<string>")
-    return read.groupBy("host", "part").applyInPandas(_clean, RESULT)
+    def read(which: Column) -> DataFrame:
+        dealt = rows.join(sent(parts.filter(which).select("host")), "host").select("page_id", "url", "html", "host", F.xxhash64("page_id", "url").alias("page"))
+        return dealt.mapInPandas(run, "page_id long, url string, host string, page long, kinds array<int>, blocks array<string>")
+
+    out = read(F.col("parts") <= 1).groupBy("host").applyInPandas(_clean, RESULT)
+    return out.unionByName(_large(read(F.col("parts") > 1))) if large else out

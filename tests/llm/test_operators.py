@@ -279,6 +279,8 @@ def test_repeats_cut_inside_articles(spark):
     want = {i: article[i] for i in range(4)} | {10 + i: article[0] for i in range(3)}
     want |= {20 + i: f"{article[4 + i]} {own[i]}" for i in range(2)} | {30 + i: f"{article[5]} Short line" for i in range(2)}
     assert {r.page_id: r.text for r in html_text.main_text(df).collect()} == want
+    small = html_text.main_text(df, part_bytes=300)  # every host is larger than a part
+    assert sorted(map(str, small.collect())) == sorted(map(str, html_text.main_text(df).collect()))
 
 
 def test_repeats_equal_brute_force():
