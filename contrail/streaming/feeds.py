@@ -12,6 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from contrail import schemas
 from contrail.operators.clean import clean_observations
@@ -102,6 +103,31 @@ def write_parquet(
     )
 
 
+def write_newest(
+    df: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Write the touched rows of each batch, open windows too; an epoch run again replaces its folder."""
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        df.writeStream.foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("update")
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def read_newest(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> DataFrame:
+    """What ``write_newest`` wrote: the row of the last epoch per key."""
+    rows = spark.read.schema(StructType([*schema, StructField("epoch", LongType())])).parquet(path)
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*schema.names), "epoch").alias("r"))
+    return newest.select("r.*")
+
+
 def write_silver(
     raw: DataFrame,
     lake: Lake,
