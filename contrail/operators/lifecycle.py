@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions import columns as C
@@ -77,8 +77,12 @@ def vanish_events(
         (F.col("change_type") == C.DISAPPEARED)
         & (F.col("detected_at") >= minus_minutes(latest_fetch(raw), suppress_minutes))
     )
-    fresh = gone.join(logged.select("hex").distinct(), "hex", "left_anti")
-    return fresh.select(
+    return vanish_rows(gone.join(logged.select("hex").distinct(), "hex", "left_anti"), as_of)
+
+
+def vanish_rows(gone: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """A DISAPPEARED event for each of the keys."""
+    return gone.select(
         "hex",
         "callsign",
         F.lit(C.DISAPPEARED).alias("change_type"),
@@ -89,6 +93,12 @@ def vanish_events(
     )
 
 
+def logged_recently(raw: DataFrame, suppress_minutes: int = SUPPRESS_MINUTES) -> Column:
+    """Was the key's last DISAPPEARED event (``logged_at`` of the state) logged shortly before the latest poll?"""
+    since = minus_minutes(latest_fetch(raw), suppress_minutes)
+    return F.coalesce(F.col("logged_at") >= since, F.lit(False))
+
+
 def cascade_deleted(
     clean: DataFrame, gone: DataFrame, reason: str = C.DISAPPEARED, as_of: datetime | None = None
 ) -> DataFrame:

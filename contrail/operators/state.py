@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from contrail import schemas
 from contrail.functions.time import instant
+from contrail.sources.parted import PartedTable
 
 
 def merge_current(
@@ -41,6 +42,19 @@ def merge_current(
     )
 
 
+def merge_buckets(
+    table: PartedTable, latest: DataFrame, batch: int, as_of: datetime | None = None
+) -> list[str]:
+    """Upsert into state kept in hash buckets; gives the buckets it rewrote.
+
+    Only buckets that hold a key of ``latest`` are read and written. Upserting
+    the same rows again changes nothing, so a batch may be run again. Rows
+    without a key are left out.
+    """
+    arrived = latest.filter(F.col("hex").isNotNull())
+    return table.change(arrived, lambda known, rows: merge_current(known, rows, as_of=as_of), batch)
+
+
 def set_deleted(
     state: DataFrame, keys: DataFrame, reason: str, as_of: datetime | None = None, key: str = "hex"
 ) -> DataFrame:

@@ -438,6 +438,28 @@ _LAKE_EVENTS = f"""
       UNION ALL SELECT 'NEW' FROM returned)
     GROUP BY 1"""
 
+# Live rows of the stored layer after both batches.
+_LAKE_LIVE = f"""(SELECT * FROM clean_n WHERE NOT is_deleted AND hex NOT IN (SELECT hex FROM gone_2)
+    AND NOT (fetched_at < {SPLIT} AND hex IN (SELECT hex FROM gone_1)))"""
+
+
+def _vanish_events(gone: str, at: str) -> str:
+    return f"""
+    SELECT hex, callsign, strftime(last_seen_at, '%Y-%m-%d %H:%M:%S') AS old_value, last_seen_at AS event_at,
+      {at} AS detected_at FROM {gone}"""
+
+
+# One measure per row of every mart: key columns, and the sum of some measures.
+_MEASURED = {
+    "aircraft_dim": ("aircraft_l", "hex first_seen last_seen", "total_observations"),
+    "airline_dim": ("airline_l", "callsign_prefix last_seen", "flight_count avg_altitude_ft"),
+    "minute_metrics": ("minutes_l", "metric_time region", "total_flights on_ground airborne unique_aircraft unique_airlines"),
+    "kpis": ("kpis_l", "kpi_name kpi_label", "kpi_value"),
+    "region_summary": ("regions_l", "region top_aircraft_type", "total_flights emergency_count"),
+    "top_operators": ("operators_l", "operator rank", "flight_count"),
+    "hourly_trend": ("trend_l", "hour_bucket region", "flight_count emergency_count"),
+}
+
 _FEED_COLS = "callsign, lat, lon, last_seen_at, is_deleted"
 _SAME = " AND ".join(
     f"o.{c.strip()} IS NOT DISTINCT FROM n.{c.strip()}"
@@ -565,6 +587,19 @@ _QUERIES = {
             ("quarantine", "0", f"(SELECT count(*) FROM raw_n WHERE fetched_at < {SPLIT})"),
         )
     ),
+    "lake_gold_after_crash": " UNION ALL ".join(
+        f"""SELECT '{mart}' AS mart, concat_ws('|', {", ".join(f"CAST({k} AS VARCHAR)" for k in keys.split())}) AS key,
+        {" + ".join(f"COALESCE(CAST({m} AS DOUBLE), 0)" for m in measures.split())} AS value FROM {table}"""
+        for mart, (table, keys, measures) in _MEASURED.items()
+    ),
+    "bucketed_current": f"""
+    SELECT hex, {_ATTR_N}, last_seen_at, FALSE AS is_deleted, CAST(NULL AS TIMESTAMP) AS deleted_at,
+      CAST(NULL AS VARCHAR) AS deleted_reason, TIMESTAMP '2024-01-01' + INTERVAL 36 HOUR * CAST(
+        1 + date_diff('hour', TIMESTAMP '2024-01-01', last_seen_at) // 36 AS INTEGER) AS _updated_at
+    FROM latest_n""",
+    "event_suppression_stored": f"""
+    {_vanish_events('gone_1', SPLIT)} UNION ALL
+    {_vanish_events('(SELECT * FROM gone_2 WHERE hex NOT IN (SELECT hex FROM gone_1))', AS_OF)}""",
     "lake_clean": _LAKE_CLEAN,
     "lake_history": _LAKE_HISTORY,
     "lake_events": _LAKE_EVENTS,
@@ -602,6 +637,17 @@ _QUERIES = {
     "updated_regions": "SELECT * FROM regions_l",
     "updated_minutes": "SELECT * FROM minutes_l",
     "updated_hours": "SELECT * FROM trend_l",
+    "updated_routes": f"""
+    SELECT callsign, airline_icao, aircraft_type, count(*) AS total_observations,
+      round(avg(alt_baro), 0) AS avg_altitude, round(avg(gs), 1) AS avg_speed,
+      min(lat) AS min_lat, max(lat) AS max_lat, min(lon) AS min_lon, max(lon) AS max_lon,
+      string_agg(DISTINCT source_region, ', ' ORDER BY source_region) AS regions_seen,
+      {AS_OF} AS computed_at
+    FROM {_LAKE_LIVE} WHERE callsign <> 'UNKNOWN' GROUP BY 1, 2, 3""",
+    "updated_route_frequency": f"""
+    SELECT 'route_frequency' AS metric_name, 'callsign' AS dimension, callsign AS dimension_value,
+      CAST(count(*) AS DOUBLE) AS metric_value
+    FROM {_LAKE_LIVE} WHERE callsign <> 'UNKNOWN' GROUP BY 3 ORDER BY 4 DESC, 3 LIMIT 20""",
     "live_flights": f"""
     SELECT hex, {_ATTR_L}, last_seen, updated_at FROM current_l WHERE region = 'delhi' AND NOT on_ground
 """,

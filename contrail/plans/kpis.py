@@ -60,6 +60,11 @@ def _top(df: DataFrame, k: int) -> DataFrame:
 
 
 def grouped_kpis(current: DataFrame, clean: DataFrame) -> DataFrame:
+    """Groups of the state, and the commonest callsigns of the clean log."""
+    return grouped_kpis_of(current, route_frequency(clean))
+
+
+def grouped_kpis_of(current: DataFrame, routes: DataFrame) -> DataFrame:
     """Counts per airline, type, region, grid cell, altitude band and emergency code.
 
     All but the two top lists come from one pass over the state: each row emits
@@ -93,7 +98,7 @@ def grouped_kpis(current: DataFrame, clean: DataFrame) -> DataFrame:
     )
     airline = F.coalesce("airline_icao", unknown)
     operators = _top(_group_count(rows, "top_operators", "airline_icao", airline), TOP_OPERATORS)
-    return counted.unionByName(operators).unionByName(route_frequency(clean))
+    return counted.unionByName(operators).unionByName(routes)
 
 
 def route_frequency(clean: DataFrame, k: int = TOP_ROUTES) -> DataFrame:
@@ -105,13 +110,20 @@ def kpi_snapshot(
     current: DataFrame, clean: DataFrame, as_of: datetime | None = None
 ) -> DataFrame:
     """All KPIs as narrow (metric, dimension, value) rows of one moment; NULL is 0."""
+    return kpi_snapshot_of(current, route_frequency(clean), as_of)
+
+
+def kpi_snapshot_of(
+    current: DataFrame, routes: DataFrame, as_of: datetime | None = None
+) -> DataFrame:
+    """The snapshot with the commonest callsigns kept elsewhere."""
     scalars = unpivot_row(scalar_kpis(current), "metric_name", "metric_value").select(
         "metric_name",
         F.lit(None).cast("string").alias("dimension"),
         F.lit(None).cast("string").alias("dimension_value"),
         F.coalesce("metric_value", F.lit(0.0)).alias("metric_value"),
     )
-    facts = scalars.unionByName(grouped_kpis(current, clean))
+    facts = scalars.unionByName(grouped_kpis_of(current, routes))
     return facts.withColumn("snapshot_at", F.date_trunc("second", instant(as_of))).select(
         *schemas.METRICS_N.names
     )

@@ -22,19 +22,22 @@ from contrail.operators.keyed import latest_per_key, lookup
 from contrail.operators.lifecycle import (
     GRACE_MINUTES,
     SUPPRESS_MINUTES,
+    logged_recently,
     reactivate,
-    vanish_events,
+    vanish_rows,
     with_vanished,
 )
 from contrail.operators.scd2 import scd2_step
 from contrail.operators.state import merge_current, restore, set_flagged_deleted, soft_delete
-from contrail.plans import kpis, marts, rollups
+from contrail.plans import kpis, marts, rollups, routes
 from contrail.sources.tables import NO_VERSION, Lake
 
 _LIFE = T.StructField("life", T.IntegerType())
 # ``life`` counts how often a key has vanished; ``vanished_in`` is the last batch it did.
+# ``logged_at`` and ``logged_in`` are time and batch of its last DISAPPEARED event.
 STATE_N = T.StructType(
-    schemas.CURRENT_N.fields + [_LIFE, T.StructField("vanished_in", T.LongType())]
+    schemas.CURRENT_N.fields
+    + [_LIFE, *schemas.struct("vanished_in BIGINT, logged_at TIMESTAMP, logged_in BIGINT").fields]
 )
 CLEAN_N = T.StructType(schemas.CLEAN_N.fields + [_LIFE])
 PROGRESS = schemas.struct("mark TIMESTAMP")
@@ -94,13 +97,15 @@ def run_silver(
 
     woken, return_events = reactivate(state, fresh, as_of)
     merged = merge_current(woken, latest_observation(clean), as_of=as_of)
-    flagged = (
-        with_vanished(merged, fresh, grace_minutes)
-        .withColumn("life", F.coalesce("life", F.lit(0)) + F.col("_gone").cast("int"))
-        .withColumn(
-            "vanished_in", F.when(F.col("_gone"), F.lit(batch_id)).otherwise(F.col("vanished_in"))
-        )
-    )
+    # The time of a key's last event is part of the state, so the event log stays closed.
+    logs = F.col("_gone") & ~logged_recently(fresh, suppress_minutes)
+    noted = {
+        "life": F.coalesce("life", F.lit(0)) + F.col("_gone").cast("int"),
+        "vanished_in": F.when(F.col("_gone"), F.lit(batch_id)).otherwise(F.col("vanished_in")),
+        "logged_at": F.when(logs, instant(as_of)).otherwise(F.col("logged_at")),
+        "logged_in": F.when(logs, F.lit(batch_id)).otherwise(F.col("logged_in")),
+    }
+    flagged = with_vanished(merged, fresh, grace_minutes).withColumns(noted)
     new_state = set_flagged_deleted(flagged, "_gone", C.DISAPPEARED, as_of)
     lake.write_state("current", new_state.select(*STATE_N.names), batch_id)
     new_state = lake.read_state("current", STATE_N, batch_id)
@@ -114,11 +119,10 @@ def run_silver(
     )
     _write_versions(lake, "history", versions, batch_id)
 
-    logged = lake.read_log("cdc", schemas.CDC_N, before)
     events = (
         changes.cdc_long(changes.with_previous_state(clean, state), as_of=as_of)
         .unionByName(return_events)
-        .unionByName(vanish_events(gone, fresh, logged, suppress_minutes, as_of))
+        .unionByName(vanish_rows(gone.filter(F.col("logged_in") == batch_id), as_of))
     )
     lake.write_log("cdc", events.select(*schemas.CDC_N.names), batch_id)
     lake.write_log(
@@ -306,45 +310,98 @@ def run_gold(lake: Lake, as_of: datetime, profile: str = "N") -> list[str]:
     return list(made)
 
 
+class _Carry:
+    """State tables brought to a version, each from its own last version and the batches since.
+
+    A run that died half way has written some tables and not others. So every
+    table goes by itself: what a table has is never added again, and what it
+    lacks is not lost, whichever commits were skipped.
+    """
+
+    def __init__(self, lake: Lake, version: int):
+        self.lake, self.version = lake, version
+
+    def before(self, table: str) -> int:
+        return self.lake.latest(table, self.version - 1)
+
+    def batches(self, table: str, log: str, schema: T.StructType) -> DataFrame:
+        """Rows of a log that the table has not seen."""
+        return self.lake.read_batches(log, schema, self.before(table), self.version)
+
+    def known(self, table: str, schema: T.StructType) -> DataFrame:
+        return self.lake.read_state(table, schema, self.before(table))
+
+    def write(self, table: str, df: DataFrame) -> DataFrame:
+        self.lake.write_state(table, df, self.version)
+        return self.lake.read_state(table, df.schema, self.version)
+
+
+def update_gold(lake: Lake, as_of: datetime) -> list[str]:
+    """The profile N marts of the last commit, from the last ones and all batches since.
+
+    It gives what :func:`run_gold` gives. Routes follow by signed deltas, so
+    neither the clean log nor earlier marks are read. The deltas of a version are
+    stored before the totals take them.
+    """
+    carry = _Carry(lake, lake.last_commit())
+    known = carry.known("route_lives", routes.LIVES)
+    batch = carry.batches("route_lives", "clean", CLEAN_N)
+    marks = carry.batches("route_lives", "marks", schemas.MARKS)
+    folded = routes.fold_lives(known, batch, marks)
+    lake.write_log("route_deltas", routes.route_deltas(known, batch, folded), carry.version)
+    lives = carry.write("route_lives", folded.filter("NOT fallen").drop("fallen"))
+    # Deltas of a run that died before its lives were written are made again with the next ones.
+    whole = [v for v in lake.versions("route_lives") if carry.before("route_totals") < v <= carry.version]
+    deltas = lake.read_log("route_deltas", routes.DELTAS, carry.version).filter(F.col("batch_id").isin(whole)).drop("batch_id")
+    totals = carry.write("route_totals", routes.apply_deltas(carry.known("route_totals", routes.TOTALS), deltas, lives))
+    current = read_current(lake)
+    made = {
+        "metrics": kpis.kpi_snapshot_of(current, routes.route_frequency(totals), as_of),
+        "route_summary": routes.route_summary(totals, as_of),
+        "hotspots": kpis.hotspots(current, as_of=as_of),
+    }
+    for name, df in made.items():
+        if name == "hotspots":
+            lake.write_state(name, df, carry.version)
+        else:
+            lake.write_log(name, df, carry.version)
+    return list(made)
+
+
 def update_gold_local(lake: Lake, as_of: datetime) -> list[str]:
     """The profile L marts of the last commit, from the last ones and all batches since.
 
-    It gives what :func:`run_gold` gives, whichever commits it was called for.
+    It gives what :func:`run_gold` gives, whichever commits it was called for and
+    wherever an earlier call died.
     """
-    version = lake.last_commit()
-    before = lake.latest("operator_totals", version - 1)
-    batch = lake.read_batches("clean_l", schemas.CLEAN_L, before, version)
+    carry = _Carry(lake, lake.last_commit())
     log = lake.read_log("clean_l", schemas.CLEAN_L).drop("batch_id")
     current = lake.read_state("current_l", schemas.CURRENT_L)
 
-    def carry(table: str, schema: T.StructType, merge) -> DataFrame:
-        lake.write_state(table, merge(lake.read_state(table, schema, before), batch), version)
-        return lake.read_state(table, schema, version)
+    def merged(table: str, schema: T.StructType, merge) -> DataFrame:
+        return carry.write(table, merge(carry.known(table, schema), carry.batches(table, "clean_l", schemas.CLEAN_L)))
 
-    operators = carry("operator_totals", rollups.OPERATORS, rollups.merge_operators)
-    types = carry("type_counts", rollups.TYPES, rollups.merge_types)
-    aircraft = carry("aircraft_totals", rollups.AIRCRAFT, rollups.merge_aircraft)
+    def refreshed(table: str, unit: str, time: str, build) -> DataFrame:
+        known = carry.known(table, build(log).schema)
+        return rollups.refresh_buckets(known, log, carry.batches(table, "clean_l", schemas.CLEAN_L), unit, time, build)
+
+    operators = merged("operator_totals", rollups.OPERATORS, rollups.merge_operators)
+    types = merged("type_counts", rollups.TYPES, rollups.merge_types)
+    aircraft = merged("aircraft_totals", rollups.AIRCRAFT, rollups.merge_aircraft)
     airlines = rollups.airline_dim(operators, as_of)
-    empty_minutes, empty_hours = marts.minute_metrics(log).schema, marts.hourly_trend(log).schema
     made = {
         "aircraft_dim": rollups.aircraft_dim(aircraft, as_of),
         "airline_dim": airlines,
-        "minute_metrics": rollups.refresh_buckets(
-            lake.read_state("minute_metrics", empty_minutes, before), log, batch, "minute",
-            "metric_time", marts.minute_metrics,
-        ),
+        "minute_metrics": refreshed("minute_metrics", "minute", "metric_time", marts.minute_metrics),
         "kpis": marts.kpis(current, as_of),
         "region_summary": marts.region_summary_of(current, types, as_of),
         "top_operators": marts.rank_operators(
             airlines.withColumnRenamed("callsign_prefix", "operator"), as_of=as_of
         ),
-        "hourly_trend": rollups.refresh_buckets(
-            lake.read_state("hourly_trend", empty_hours, before), log, batch, "hour",
-            "hour_bucket", marts.hourly_trend,
-        ),
+        "hourly_trend": refreshed("hourly_trend", "hour", "hour_bucket", marts.hourly_trend),
     }
     for name, df in made.items():
-        lake.write_state(name, df, version)
+        lake.write_state(name, df, carry.version)
     return list(made)
 
 
@@ -358,7 +415,7 @@ def run_all(
     else:
         run_silver_local(lake, raw, batch_id, as_of)
     if profile == "N":
-        run_gold(lake, as_of, "N")
+        update_gold(lake, as_of)
     else:
         update_gold_local(lake, as_of)
     return lake

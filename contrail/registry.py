@@ -7,17 +7,18 @@ observations from ``events``. Times are fixed so that results repeat.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail import schemas, testbed
 from contrail.functions import columns as C
+from contrail.functions.time import instant
 from contrail.operators import cdc, clean, keyed, lifecycle, scd2, state
 from contrail.plans import kpis, marts, medallion, quality, rollups, serving
 from contrail.session import scratch_path
-from contrail.sources import regions, snapshots, tables
+from contrail.sources import parted, regions, snapshots, tables
 from contrail.streaming import feeds
 
 SPLIT = datetime(2024, 1, 16)
@@ -25,6 +26,7 @@ AS_OF = datetime(2024, 1, 31)
 GRACE = 720  # minutes; polls of the test bed are an hour apart
 WINDOW = 14400  # minutes
 HOURS = 100
+BATCH = timedelta(hours=36)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -194,6 +196,94 @@ def lake_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def bucketed_current(spark: SparkSession, sf: str) -> DataFrame:
+    """State in hash buckets after twenty batches of 36 hours, each stamped with its end."""
+    rows = _stored(_clean(spark, sf), "clean")
+    table = parted.bucketed(spark, scratch_path(spark, "state"), schemas.CURRENT_N, 8, "hex")
+    for i in range(20):
+        start = datetime(2024, 1, 1) + i * BATCH
+        inside = (F.col("fetched_at") >= instant(start)) & (F.col("fetched_at") < instant(start + BATCH))
+        state.merge_buckets(table, clean.latest_observation(rows.filter(inside)), i, start + BATCH)
+    return table.read()
+
+
+def _lake_routes(spark: SparkSession, sf: str) -> tables.Lake:
+    lake = tables.Lake(spark, scratch_path(spark, "lake"))
+    raw = _raw(spark, sf)
+    for batch, (rows, at) in enumerate(((_before(raw), SPLIT), (_after(raw), AS_OF))):
+        medallion.run_silver(lake, rows, batch, at, GRACE)
+        medallion.update_gold(lake, at)
+    return lake
+
+
+def updated_routes(spark: SparkSession, sf: str) -> DataFrame:
+    """Routes by signed deltas, where keys vanish after the first batch and return in the second."""
+    return _lake_routes(spark, sf).read_log("route_summary", schemas.ROUTES_N).filter("batch_id = 1").drop("batch_id")
+
+
+def updated_route_frequency(spark: SparkSession, sf: str) -> DataFrame:
+    metrics = _lake_routes(spark, sf).read_log("metrics", schemas.METRICS_N)
+    return metrics.filter("batch_id = 1 AND metric_name = 'route_frequency'").drop("batch_id", "snapshot_at")
+
+
+def event_suppression_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """DISAPPEARED events of two batches, none twice for a key; the state remembers what was logged."""
+    lake = tables.Lake(spark, scratch_path(spark, "lake"))
+    raw = _raw(spark, sf)
+    for batch, (rows, at) in enumerate(((_before(raw), SPLIT), (_after(raw), AS_OF))):
+        medallion.run_silver(lake, rows, batch, at, GRACE, suppress_minutes=60 * 24 * 60)
+    events = lake.read_log("cdc", schemas.CDC_N).filter("change_type = 'DISAPPEARED'")
+    return events.select("hex", "callsign", "old_value", "event_at", "detected_at")
+
+
+class _Stopping(tables.Lake):
+    """A store whose writes of state stop after so many, as if the run had died."""
+
+    def __init__(self, spark: SparkSession, root: str, writes: int):
+        super().__init__(spark, root)
+        self.left = writes
+
+    def write_state(self, table: str, df: DataFrame, version: int) -> None:
+        if not self.left:
+            raise InterruptedError(table)
+        self.left -= 1
+        super().write_state(table, df, version)
+
+
+def lake_gold_after_crash(spark: SparkSession, sf: str) -> DataFrame:
+    """One measure per row of all seven marts, after a run of the marts that died half way and one more batch."""
+    lake = tables.Lake(spark, scratch_path(spark, "lake"))
+    raw = _raw_l(spark, sf)
+    first, rest = _before(raw, "_ingested_at"), _after(raw, "_ingested_at")
+    medallion.run_silver_local(lake, first, 0, SPLIT)
+    try:
+        medallion.update_gold_local(_Stopping(spark, lake.root, 4), SPLIT)
+    except InterruptedError:
+        pass
+    medallion.run_silver_local(lake, rest, 1, AS_OF)
+    medallion.update_gold_local(lake, AS_OF)
+    made = medallion.gold_l(_current_l(spark, sf), _clean_l(spark, sf), AS_OF)
+    out = None
+    for mart, (keys, measures) in _MEASURED.items():
+        rows = lake.read_state(mart, made[mart].schema)
+        key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys.split()])
+        value = sum((F.coalesce(F.col(m).cast("double"), F.lit(0.0)) for m in measures.split()), F.lit(0.0))
+        part = rows.select(F.lit(mart).alias("mart"), key.alias("key"), value.alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_MEASURED = {
+    "aircraft_dim": ("hex first_seen last_seen", "total_observations"),
+    "airline_dim": ("callsign_prefix last_seen", "flight_count avg_altitude_ft"),
+    "minute_metrics": ("metric_time region", "total_flights on_ground airborne unique_aircraft unique_airlines"),
+    "kpis": ("kpi_name kpi_label", "kpi_value"),
+    "region_summary": ("region top_aircraft_type", "total_flights emergency_count"),
+    "top_operators": ("operator rank", "flight_count"),
+    "hourly_trend": ("hour_bucket region", "flight_count emergency_count"),
+}
+
+
 def _lake_l(spark: SparkSession, sf: str) -> tables.Lake:
     lake = tables.Lake(spark, scratch_path(spark, "lake"))
     raw = _raw_l(spark, sf)
@@ -615,6 +705,9 @@ QUERIES: dict[str, Query] = {
     "lake_mixed_profiles": lake_mixed_profiles,
     "lake_gold_after_gap": lake_gold_after_gap,
     "lake_late_rows": lake_late_rows,
+    "lake_gold_after_crash": lake_gold_after_crash,
+    "bucketed_current": bucketed_current,
+    "event_suppression_stored": event_suppression_stored,
     "layer_profile": layer_profile,
     "stream_minute_metrics": stream_minute_metrics,
     "stream_hourly_trend": stream_hourly_trend,
@@ -639,6 +732,8 @@ QUERIES: dict[str, Query] = {
     "updated_regions": updated_regions,
     "updated_minutes": updated_minutes,
     "updated_hours": updated_hours,
+    "updated_routes": updated_routes,
+    "updated_route_frequency": updated_route_frequency,
     # query library
     "live_flights": _on(serving.live_flights, _current_l, region="delhi", airborne_only=True),
     "live_emergencies": _on(serving.live_flights, _current_l, emergency_only=True),

@@ -152,6 +152,12 @@ METRICS_N = struct(
     "metric_value DOUBLE"
 )
 
+ROUTES_N = struct(
+    "callsign STRING, airline_icao STRING, aircraft_type STRING, total_observations BIGINT, "
+    "avg_altitude DOUBLE, avg_speed DOUBLE, min_lat DOUBLE, max_lat DOUBLE, min_lon DOUBLE, "
+    "max_lon DOUBLE, regions_seen STRING, computed_at TIMESTAMP"
+)
+
 # Columns that must never be NULL, per table.
 REQUIRED = {
     "clean": ("hex", "fetched_at"),
