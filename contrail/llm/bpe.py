@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from contrail.llm import textbytes as tb
 
 VOCABULARY = "byte_bpe_50k.json"
-BLOCK = 1 << 21  # characters worked on together; a longer word stands alone
+BLOCK = 1 << 20  # characters worked on together; a longer word stands alone
 CACHE = 1 << 24  # bytes of pre-tokens with known ids in a task
 FEW = 24  # fewer positions are merged one by one
 GONE = -1  # no symbol
@@ -377,24 +377,39 @@ def vocabulary(path: str | None = None) -> Vocabulary:
 
 
 # ---- Spark -----------------------------------------------------------------------
-def encode_texts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Rows of about a block of a string column; a longer text stands alone."""
+    _, offsets = tb.columns(batch.column(column))
+    at = 0
+    while at < len(batch):
+        end = int(np.searchsorted(offsets, offsets[at] + BLOCK, side="right")) - 1
+        end = min(max(end, at + 1), len(batch))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def encode_texts(docs: DataFrame, tokenizer: str | None = None, decoded: str | None = None) -> DataFrame:
     """(doc_id, ids) of every row: the ids of its whole text, little-endian unsigned 32-bit values.
 
-    A null text is empty and has no ids. Repeated rows and ids, and null ids,
-    stay rows of their own; other columns are dropped, whatever their names.
+    With ``decoded`` also a column of that name, decoded from the ids in the same
+    task. A null text is empty and has no ids. Repeated rows and ids, and null
+    ids, stay rows of their own; other columns are dropped, whatever their names.
     ``tokenizer`` is a path on the executors; by default the installed public
     50k byte vocabulary.
     """
+    names = ["doc_id", "ids", *([decoded] if decoded else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, cache = vocabulary(tokenizer), Cache()
         for batch in batches:
-            ids = [x.tobytes() for x in known.encode(batch.column("text").to_pylist(), cache)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            for part in _slices(batch, "text"):
+                ids = [x.tobytes() for x in known.encode(part.column("text").to_pylist(), cache)]
+                more = [pa.array(map(known.decode, ids), pa.string())] if decoded else []
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary()), *more], names=names)
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, ids binary" + (f", `{decoded}` string" if decoded else ""))
 
 
 def decode_ids(encoded: DataFrame, tokenizer: str | None = None, column: str = "ids", to: str = "decoded") -> DataFrame:

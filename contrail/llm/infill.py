@@ -23,6 +23,7 @@ from contrail.llm import textbytes as tb
 from contrail.llm.scratch import store
 
 PIECE = 1 << 16  # most bytes of a piece
+ROWS = 256  # rows taken out of a batch at a time
 # Markers, and the parts of either form in output order (0 prefix, 1 middle, 2 suffix).
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
 FORMS = {
@@ -127,7 +128,8 @@ def fim_pieces(
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        yield from zip(*[c.to_pylist() for c in batch.columns], strict=True)
+        for at in range(0, len(batch), ROWS):
+            yield from zip(*[c.to_pylist() for c in batch.slice(at, ROWS).columns], strict=True)
 
 
 def _batched(rows: Iterator[tuple], names: list[str], kinds: list[pa.DataType], size: int = 8 * PIECE) -> Iterator[pa.RecordBatch]:

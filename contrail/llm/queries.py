@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm import language_id, toxicity
 from contrail.llm.ann import nearest
-from contrail.llm.bpe import decode_ids, encode_texts
+from contrail.llm.bpe import encode_texts
 from contrail.llm.exact_topk import top_products
 from contrail.llm.html_text import main_text
 from contrail.llm.infill import assemble, fim_pieces
@@ -119,7 +119,7 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded again, as digests."""
-    both = decode_ids(encode_texts(_table(spark, sf_dir, "documents")))
+    both = encode_texts(_table(spark, sf_dir, "documents"), decoded="decoded")
     return both.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

@@ -92,6 +92,7 @@ def test_ids_equal_the_library(spark, texts, library):
         ids = library.encode(r.text or "", add_special_tokens=False).ids
         want.append((r.doc_id, np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False)))
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    assert sorted(map(repr, map(tuple, bpe.encode_texts(docs, decoded="text").collect()))) == sorted(map(repr, want))
     assert bpe.encode_texts(docs.limit(0)).count() == 0
 
 
