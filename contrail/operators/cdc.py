@@ -27,7 +27,7 @@ class Thresholds:
 THRESHOLDS_N = Thresholds(position=0.001, altitude=100, speed=10, heading=5)
 THRESHOLDS_L = Thresholds(position=0.001, altitude=50, speed=5, heading=2)
 
-_MEASURES = ["callsign", "lat", "lon", "alt_baro", "gs", "track"]
+MEASURES = ["callsign", "lat", "lon", "alt_baro", "gs", "track"]
 
 
 def cdc_long(
@@ -45,16 +45,23 @@ def cdc_long(
     """
     pairs = latest_with_previous(
         clean.filter("is_deleted = false").select(
-            "hex", *_MEASURES, "fetched_at", "ingestion_id"
+            "hex", *MEASURES, "fetched_at", "ingestion_id"
         ),
         ["hex"],
         [F.desc("fetched_at"), F.col("ingestion_id")],
-        _MEASURES,
+        MEASURES,
     )
     if since is not None:
         mark = instant(since) if isinstance(since, datetime) else since
         pairs = pairs.filter(F.col("fetched_at") > mark)
 
+    return pair_events(pairs, thresholds, as_of, wrap_heading)
+
+
+def pair_events(
+    pairs: DataFrame, thresholds: Thresholds, as_of: datetime | None = None, wrap_heading: bool = False
+) -> DataFrame:
+    """Events of observations paired with the one before (``prev_`` columns and ``has_prev``)."""
     seen = F.col("has_prev")
 
     def gap(name: str) -> Column:
@@ -106,7 +113,7 @@ def with_previous_state(batch: DataFrame, state: DataFrame) -> DataFrame:
         state.filter("NOT (is_deleted AND deleted_reason <=> 'DISAPPEARED')")
         .join(live_keys(batch), "hex", "left_semi")
         .select(
-            "hex", *_MEASURES,
+            "hex", *MEASURES,
             F.col("last_seen_at").alias("fetched_at"),
             F.lit("").alias("ingestion_id"),
             F.lit(False).alias("is_deleted"),

@@ -467,9 +467,34 @@ _SAME = " AND ".join(
 )
 _AFTER_FEED = f"(SELECT * FROM ({_merge('state_1', 'latest_n2', AS_OF)}) WHERE NOT is_deleted)"
 
+_FEED = f"""
+    SELECT o.hex, {_prefixed('o', _FEED_COLS)},
+      CASE WHEN n.hex IS NULL THEN 'delete' ELSE 'update_preimage' END AS _change_type
+    FROM state_1 o LEFT JOIN {_AFTER_FEED} n ON o.hex = n.hex WHERE n.hex IS NULL OR NOT ({_SAME})
+    UNION ALL
+    SELECT n.hex, {_prefixed('n', _FEED_COLS)},
+      CASE WHEN o.hex IS NULL THEN 'insert' ELSE 'update_postimage' END
+    FROM {_AFTER_FEED} n LEFT JOIN state_1 o ON o.hex = n.hex WHERE o.hex IS NULL OR NOT ({_SAME})"""
+
+_PRESENCE = """
+    SELECT hex, min(ingested_at) AS seen_from, max(ingested_at) AS seen_to, count(*) AS observations FROM (
+      SELECT hex, ingested_at, sum(opens) OVER (PARTITION BY hex ORDER BY ingested_at ROWS UNBOUNDED PRECEDING) AS island FROM (
+        SELECT hex, ingested_at, CASE WHEN ingested_at - lag(ingested_at) OVER (PARTITION BY hex ORDER BY ingested_at)
+          <= INTERVAL 12 HOUR THEN 0 ELSE 1 END AS opens FROM clean_l))
+    GROUP BY hex, island"""
+
 _DOCS = "SELECT *, min(date_trunc('second', event_ts)) OVER (PARTITION BY region, event_id // 200) AS polled FROM base"
 
-_CLOSED = "(SELECT max(event_ts) FROM e) - INTERVAL 10 MINUTE"
+_LIVE_ROWS = """(SELECT *, row_number() OVER (PARTITION BY hex ORDER BY fetched_at, ingestion_id DESC) AS i
+    FROM clean_n WHERE NOT is_deleted)"""
+_EVERY_PAIR = f"{_LIVE_ROWS} c LEFT JOIN {_LIVE_ROWS} p ON c.hex = p.hex AND p.i = c.i - 1"
+
+# Islands: rows whose tracked columns differ from the row before, and the next such row.
+_VERSIONS = f"""
+    SELECT *, row_number() OVER k AS version, lead(fetched_at) OVER k AS effective_to FROM (
+      SELECT c.hex, {_prefixed('c', _HIST_N)}, c.fetched_at, p.hex IS NULL AS opens,
+        concat_ws(',', {", ".join(f"CASE WHEN c.{n} IS DISTINCT FROM p.{n} THEN '{n}' END" for n in _TRACK_N)}) AS cols
+      FROM {_EVERY_PAIR}) WHERE opens OR cols <> '' WINDOW k AS (PARTITION BY hex ORDER BY fetched_at)"""
 
 _QUERIES = {
     "ingest_snapshots": r"""
@@ -487,6 +512,10 @@ _QUERIES = {
     FROM base""",
     "ingest_audit": f"""
     SELECT region, 'OK' AS status, count(*) AS records_loaded, {AS_OF} AS loaded_at FROM base GROUP BY 1""",
+    "ingest_new_rounds": f"""
+    SELECT CAST(polled >= {SPLIT} AS BIGINT) AS epoch, region, 'OK' AS status, count(*) AS records_loaded,
+      CAST(0 AS BIGINT) AS failed, count(*) AS raw_rows FROM ({_DOCS}) GROUP BY 1, 2
+    UNION ALL SELECT 1, 'delhi', 'ERROR', 0, 1, 0""",
     "raw_landing": f"""
     SELECT {AS_OF} AS ingestion_time, count(DISTINCT region || '/' || (event_id // 200)) AS documents,
       count(*) AS elements FROM base""",
@@ -519,14 +548,8 @@ _QUERIES = {
     "latest_per_key_l": "SELECT * FROM latest_l",
     "latest_two": "SELECT hex, fetched_at, callsign, CAST(r AS INTEGER) AS rn FROM two",
     "merge_current": _merge("state_1", "latest_n2", AS_OF),
-    "change_feed": f"""
-    SELECT o.hex, {_prefixed('o', _FEED_COLS)},
-      CASE WHEN n.hex IS NULL THEN 'delete' ELSE 'update_preimage' END AS _change_type
-    FROM state_1 o LEFT JOIN {_AFTER_FEED} n ON o.hex = n.hex WHERE n.hex IS NULL OR NOT ({_SAME})
-    UNION ALL
-    SELECT n.hex, {_prefixed('n', _FEED_COLS)},
-      CASE WHEN o.hex IS NULL THEN 'insert' ELSE 'update_postimage' END
-    FROM {_AFTER_FEED} n LEFT JOIN state_1 o ON o.hex = n.hex WHERE o.hex IS NULL OR NOT ({_SAME})""",
+    "change_feed": _FEED,
+    "change_feed_digest": _FEED,
     "soft_delete_state": _set_state(
         "state_n", "(SELECT hex FROM state_n WHERE is_emergency)", "TRUE", "'MANUAL'", AS_OF
     ),
@@ -574,6 +597,13 @@ _QUERIES = {
     "scd2_n": "SELECT * FROM history_n",
     "scd2_not_null_safe": _history_n(_DIFFERS_PLAIN),
     "scd2_l": "SELECT * FROM history_l",
+    "scd2_from_log": f"""
+    SELECT hex, {_HIST_N}, fetched_at AS effective_from, effective_to, effective_to IS NULL AS is_current, version,
+      CASE WHEN opens THEN 'INITIAL_LOAD' ELSE 'CHANGED:' || cols END AS change_reason FROM ({_VERSIONS})""",
+    "scd2_from_batches": f"""
+    SELECT hex, {_HIST_N}, fetched_at AS effective_from, effective_to, effective_to IS NULL AS is_current
+    FROM ({_VERSIONS})""",
+    "cdc_from_log": _cdc(_EVERY_PAIR, AS_OF, _PLAIN_HEADING),
     "current_from_history": "SELECT * FROM current_l",
     "lake_current": "SELECT * FROM state_2",
     "lake_mixed_profiles": "SELECT * FROM state_2",
@@ -612,13 +642,19 @@ _QUERIES = {
     SELECT 'raw' AS table_name, count(*) AS row_count FROM raw_n
     UNION ALL SELECT 'clean', count(*) FROM clean_n UNION ALL SELECT 'current', count(*) FROM state_n
     UNION ALL SELECT 'history', count(*) FROM history_n""",
-    "stream_minute_metrics": f"""
-    SELECT * EXCLUDE (unique_aircraft, unique_airlines) FROM minutes_l
-    WHERE metric_time + INTERVAL 1 MINUTE <= {_CLOSED}""",
-    "stream_hourly_trend": f"""
-    SELECT * EXCLUDE (flight_count) FROM trend_l WHERE hour_bucket + INTERVAL 1 HOUR <= {_CLOSED}""",
+    "stream_minute_metrics": "SELECT * FROM minutes_l",
+    "stream_hourly_trend": "SELECT * FROM trend_l",
     "stream_dedup": "SELECT DISTINCT hex, fetched_at FROM raw_n",
     "stream_silver": "SELECT * FROM state_2",
+    "stream_dedup_best": "SELECT hex, fetched_at, ingestion_id, seen, lat, gs FROM ranked WHERE rn = 1",
+    "stream_late_rows": """
+    SELECT epoch, on_time_rows, late_rows, on_time_rows AS on_time_stored, late_rows AS late_stored FROM (
+      SELECT CAST(0 AS BIGINT) AS epoch, count(*) AS on_time_rows, CAST(0 AS BIGINT) AS late_rows FROM raw_n2
+      UNION ALL
+      SELECT 1, count(*) FILTER (WHERE NOT late), count(*) FILTER (WHERE late) FROM (
+        SELECT fetched_at < (SELECT max(fetched_at) FROM raw_n2) - INTERVAL 20 DAY AS late FROM raw_n1))""",
+    "presence_intervals": _PRESENCE,
+    "stream_presence": _PRESENCE,
     "kpi_scalar": "SELECT * FROM kpi_n",
     "kpi_grouped": "SELECT * FROM grouped_n",
     "kpi_snapshot": "SELECT * FROM metrics_n",
@@ -637,6 +673,8 @@ _QUERIES = {
     "updated_regions": "SELECT * FROM regions_l",
     "updated_minutes": "SELECT * FROM minutes_l",
     "updated_hours": "SELECT * FROM trend_l",
+    "bitmap_minutes": "SELECT * FROM minutes_l",
+    "bitmap_hours": "SELECT * FROM trend_l",
     "updated_routes": f"""
     SELECT callsign, airline_icao, aircraft_type, count(*) AS total_observations,
       round(avg(alt_baro), 0) AS avg_altitude, round(avg(gs), 1) AS avg_speed,
@@ -656,6 +694,8 @@ _QUERIES = {
 """,
     "page_clean": """
     SELECT * FROM clean_l WHERE region = 'mumbai' ORDER BY ingested_at DESC, hex LIMIT 100 OFFSET 50""",
+    "page_after": """
+    SELECT * FROM clean_l WHERE region = 'mumbai' ORDER BY ingested_at DESC, hex LIMIT 50 OFFSET 100""",
     "key_history": "SELECT *, count(*) OVER () AS version_count FROM history_l WHERE hex = 'h7'",
     "aircraft": "SELECT * FROM aircraft_l",
     "airlines": "SELECT * FROM airline_l",

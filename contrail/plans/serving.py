@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail import schemas
 from contrail.functions import columns as C
-from contrail.functions.time import instant, minus_hours
+from contrail.functions.time import instant, micros, minus_hours
 
 def _first(rows: DataFrame, limit: int | None) -> DataFrame:
     return rows if limit is None else rows.limit(limit)
@@ -44,6 +44,58 @@ def page_clean(
     return _first(rows.offset(offset) if offset else rows, limit)
 
 
+def log_by_time(clean: DataFrame) -> DataFrame:
+    """The clean log for paging: ranges of time, sorted, with ``row_no`` telling apart rows of one time and key.
+
+    Written as it is, every file and row group holds a short stretch of time.
+    """
+    tie = F.xxhash64(*[c for c in clean.columns if c not in ("ingested_at", "hex")])
+    same = Window.partitionBy("ingested_at", "hex").orderBy(tie)
+    numbered = clean.withColumn("row_no", F.row_number().over(same))
+    return numbered.repartitionByRange("ingested_at").sortWithinPartitions(F.desc("ingested_at"), "hex", "row_no")
+
+
+def page_after(
+    log: DataFrame,
+    cursor: tuple[datetime, str, int] | None = None,
+    limit: int = 100,
+    region: str | None = None,
+    counts: DataFrame | None = None,
+) -> DataFrame:
+    """The ``limit`` rows behind the cursor, newest first, whatever the depth.
+
+    ``log`` is the stored :func:`log_by_time`; the cursor is (ingested_at, hex,
+    row_no) of the last row of the page before, None for the first page. Rows
+    without a time are on no page. ``counts`` (metric_time, region, total_flights),
+    the minute mart, bounds the scan below as well: the page cannot reach further
+    back than the minutes that hold ``limit`` rows. Both bounds reach the row groups.
+    """
+    rows = _in_region(log, region).filter("ingested_at IS NOT NULL")
+    if cursor:
+        at, key, number = F.lit(micros(cursor[0])), F.lit(cursor[1]), F.lit(cursor[2])
+        at = F.timestamp_micros(at)
+        later = (F.col("hex") > key) | ((F.col("hex") == key) & (F.col("row_no") > number))
+        rows = rows.filter((F.col("ingested_at") < at) | ((F.col("ingested_at") == at) & later))
+        rows = rows.filter(F.col("ingested_at") <= at)  # by itself, so that it is pushed down
+    if counts is not None:
+        rows = rows.filter(F.col("ingested_at") >= _page_floor(_in_region(counts, region), cursor, limit))
+    return rows.orderBy(F.desc("ingested_at"), "hex", "row_no").limit(limit)
+
+
+def _page_floor(counts: DataFrame, cursor: tuple | None, limit: int) -> Column:
+    """Start of the newest minutes that hold ``limit`` rows before the cursor's; NULL-free."""
+    per = counts.filter("metric_time IS NOT NULL").groupBy("metric_time").agg(F.sum("total_flights").alias("n"))
+    if cursor:
+        # The cursor's own minute may be read in part, so it counts for nothing.
+        per = per.filter(F.col("metric_time") < F.date_trunc("minute", F.timestamp_micros(F.lit(micros(cursor[0])))))
+    # No more than ``limit`` minutes with a row can be needed.
+    newest = per.filter("n > 0").orderBy(F.desc("metric_time")).limit(limit)
+    running = F.sum("n").over(Window.orderBy(F.desc("metric_time")))
+    enough = newest.withColumn("upto", running).filter(F.col("upto") >= limit).agg(F.max("metric_time").alias("t"))
+    least = F.lit("0001-01-01 00:00:00").cast("timestamp")
+    return enough.select(F.coalesce("t", least).alias("t")).scalar()
+
+
 def key_history(history: DataFrame, key: str) -> DataFrame:
     """All versions of one key, newest first, with their number."""
     rows = history.filter(F.col("hex") == key.lower())

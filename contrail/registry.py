@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from contrail import schemas, testbed
 from contrail.functions import columns as C
 from contrail.functions.time import instant
-from contrail.operators import cdc, clean, keyed, lifecycle, scd2, state
-from contrail.plans import kpis, marts, medallion, quality, rollups, serving
+from contrail.operators import cdc, clean, islands, keyed, lifecycle, scd2, state
+from contrail.plans import bitmaps, kpis, marts, medallion, quality, rollups, serving
 from contrail.session import scratch_path
 from contrail.sources import parted, regions, snapshots, tables
 from contrail.streaming import feeds
@@ -405,6 +405,29 @@ def change_feed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def change_feed_digest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same feed from two versions in hash buckets, joined only where their digests differ."""
+    rows = _clean(spark, sf)
+    old, new = (parted.bucketed(spark, scratch_path(spark, n), schemas.CURRENT_N, 16, "hex") for n in ("old", "new"))
+    old.replace(_state_1(spark, sf), 0)
+    merged = state.merge_current(old.read(), clean.latest_observation(_after(rows)), as_of=AS_OF)
+    new.replace(clean.live(merged), 1)
+    return state.change_feed_digest(old, new).select(
+        "hex", "callsign", "lat", "lon", "last_seen_at", "is_deleted", "_change_type"
+    )
+
+
+def page_after(spark: SparkSession, sf: str) -> DataFrame:
+    """The third page of fifty rows, reached by cursors."""
+    rows = _clean_l(spark, sf)
+    log, counts = _stored(serving.log_by_time(rows), "log"), _stored(marts.minute_metrics(rows), "minutes")
+    cursor = None
+    for _ in range(2):
+        last = serving.page_after(log, cursor, 50, "mumbai", counts).orderBy("ingested_at", F.desc("hex"), F.desc("row_no")).first()
+        cursor = (last.ingested_at, last.hex, last.row_no) if last else cursor
+    return serving.page_after(log, cursor, 50, "mumbai", counts).drop("row_no")
+
+
 def _some_keys(df: DataFrame) -> DataFrame:
     """Keys with an emergency in the state."""
     return df.filter("is_emergency").select("hex")
@@ -533,15 +556,20 @@ def _run_stream(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(out)
 
 
-def stream_minute_metrics(spark: SparkSession, sf: str) -> DataFrame:
+def _streamed_buckets(spark: SparkSession, sf: str, unit: str) -> bitmaps.Store:
+    """The whole stream folded into bitmap marts, open windows and late rows too."""
+    store = bitmaps.Store(spark, scratch_path(spark, "marts"), unit)
     rows = feeds.clean_stream(testbed.raw_l(_event_stream(spark, sf)))
-    closed = _run_stream(feeds.minute_metrics(rows), "minutes")
-    return closed.drop("unique_aircraft_approx", "unique_airlines_approx")
+    feeds.write_buckets(rows, store, scratch_path(spark, "progress")).awaitTermination()
+    return store
+
+
+def stream_minute_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return bitmaps.minute_metrics(_streamed_buckets(spark, sf, "minute"))
 
 
 def stream_hourly_trend(spark: SparkSession, sf: str) -> DataFrame:
-    rows = feeds.clean_stream(testbed.raw_l(_event_stream(spark, sf)))
-    return _run_stream(feeds.hourly_trend(rows), "hours").drop("flight_count_approx")
+    return bitmaps.hourly_trend(_streamed_buckets(spark, sf, "hour"))
 
 
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -564,6 +592,78 @@ def stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     return medallion.read_current(lake)
 
 
+def stream_dedup_best(spark: SparkSession, sf: str) -> DataFrame:
+    """The best row per key and poll, read from a stream of several micro-batches."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "best")
+    _raw(spark, sf).repartition(4).write.parquet(landing)
+    source = spark.readStream.schema(schemas.RAW_N).option("maxFilesPerTrigger", 2).parquet(landing)
+    # The newest poll comes in any file, so nothing may count as late.
+    best = feeds.best_rows(source, lateness="365 days").select("hex", "fetched_at", "ingestion_id", "seen", "lat", "gs")
+    feeds.write_newest(best, out, scratch_path(spark, "progress")).awaitTermination()
+    return feeds.read_newest(spark, out, best.schema, ["hex", "fetched_at"])
+
+
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The newer half lands first; of the older half, rows behind by more than twenty days are late."""
+    lake = tables.Lake(spark, scratch_path(spark, "lake"))
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "progress")
+    raw = _raw(spark, sf)
+    for half in (_after(raw), _before(raw)):
+        half.write.mode("append").parquet(landing)
+        source = spark.readStream.schema(schemas.RAW_N).parquet(landing)
+        feeds.write_with_late(source, lake, checkpoint, lateness_minutes=20 * 24 * 60).awaitTermination()
+    metrics = F.from_json("operation_metrics", "on_time_rows BIGINT, late_rows BIGINT")
+    counted = lake.commits().select(F.col("version").alias("epoch"), metrics.alias("m")).select("epoch", "m.*")
+    logs = [lake.read_log(n, schemas.RAW_N).groupBy("batch_id").agg(F.count(F.lit(1)).alias(f"{n}_stored")) for n in ("on_time", "late")]
+    for log in logs:
+        counted = counted.join(log.withColumnRenamed("batch_id", "epoch"), "epoch", "left")
+    return counted.fillna(0)
+
+
+def presence_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    return feeds.presence_intervals(_clean_l(spark, sf), "12 hours")
+
+
+def stream_presence(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from a stream; a later heartbeat of a key of its own lets the last stretches end."""
+    landing, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "presence", "progress"))
+    rows = _clean_l(spark, sf)
+    beat = rows.agg((F.max("ingested_at") + F.expr("INTERVAL 2 DAYS")).alias("ingested_at")).withColumn("hex", F.lit("heartbeat"))
+    for part in (rows.select("ingested_at", "hex"), beat):
+        part.write.mode("append").parquet(landing)
+        source = spark.readStream.schema("ingested_at TIMESTAMP, hex STRING").parquet(landing)
+        found = feeds.presence_intervals(source, "12 hours")
+        feeds.write_parquet(found, out, checkpoint).awaitTermination()
+    return spark.read.schema(found.schema).parquet(out).filter("hex <> 'heartbeat'")
+
+
+def ingest_new_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs of the intake: half of the documents, nothing new, the rest with a malformed file.
+
+    Documents lie two levels below the landing folder, under equal file names in all regions.
+    """
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "progress")
+    lake = tables.Lake(spark, scratch_path(spark, "lake"))
+    polled = F.timestamp_millis(F.get_json_object("document", "$.now").cast("bigint"))
+    docs = testbed.snapshot_documents(testbed.read_events(spark, sf)).withColumn("day", F.date_format(polled, "yyyy-MM-dd"))
+    docs = _stored(docs.withColumn("first", polled < instant(SPLIT)), "documents")
+    broken = docs.limit(1).select(F.lit("delhi").alias("region"), F.lit('{"now": 1, "ac": [').alias("document"), F.lit("broken").alias("day"))
+    rest = docs.filter("NOT first").drop("first").unionByName(broken)
+    for landed in (docs.filter("first").drop("first"), None, rest):
+        if landed is not None:
+            landed.coalesce(1).write.mode("append").partitionBy("region", "day").text(landing)
+        snapshots.ingest_stream(
+            spark, landing, lake, checkpoint, "N", multi_line=False, pattern="*.txt", region_level=2, clock=lambda: AS_OF
+        ).awaitTermination()
+    audit = lake.read_log("audit", schemas.AUDIT).groupBy(F.col("batch_id").alias("epoch"), "region", "status").agg(
+        F.sum("records_loaded").alias("records_loaded"), F.count_if(F.col("error_msg").isNotNull()).alias("failed")
+    )
+    loaded = lake.read_log("raw", schemas.RAW_N).groupBy(F.col("batch_id").alias("epoch"), F.col("source_region").alias("region")).agg(
+        F.count(F.lit(1)).alias("raw_rows")
+    )
+    return audit.join(loaded.withColumn("status", F.lit("OK")), ["epoch", "region", "status"], "left").fillna(0, ["raw_rows"])
+
+
 # ---- marts kept up to date ---------------------------------------------------
 def _halves_l(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(all, first, second) clean rows, parted within a minute so that buckets overlap."""
@@ -604,6 +704,40 @@ def updated_hours(spark: SparkSession, sf: str) -> DataFrame:
     return rollups.refresh_buckets(known, rows, second, "hour", "hour_bucket", marts.hourly_trend)
 
 
+def _folded(spark: SparkSession, sf: str, unit: str) -> bitmaps.Store:
+    """Two batches that share minutes; the newer one comes first."""
+    _, first, second = _halves_l(spark, sf)
+    store = bitmaps.Store(spark, scratch_path(spark, "marts"), unit)
+    for batch, rows in enumerate((second, first)):
+        bitmaps.fold(store, rows, batch)
+    return store
+
+
+def bitmap_minutes(spark: SparkSession, sf: str) -> DataFrame:
+    return bitmaps.minute_metrics(_folded(spark, sf, "minute"))
+
+
+def bitmap_hours(spark: SparkSession, sf: str) -> DataFrame:
+    return bitmaps.hourly_trend(_folded(spark, sf, "hour"))
+
+
+# ---- every change of a log ---------------------------------------------------
+def scd2_from_log(spark: SparkSession, sf: str) -> DataFrame:
+    return islands.scd2_from_log(_clean(spark, sf))
+
+
+def scd2_from_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The open versions of the first half gone on with by the second."""
+    rows = _stored(_clean(spark, sf), "clean")
+    first = _stored(islands.scd2_from_log(_before(rows)), "versions")
+    second = islands.scd2_from_log(_after(rows), opened=first.filter("is_current"))
+    return first.filter("NOT is_current").unionByName(second).drop("version", "change_reason")
+
+
+def cdc_from_log(spark: SparkSession, sf: str) -> DataFrame:
+    return islands.cdc_from_log(_clean(spark, sf), as_of=AS_OF)
+
+
 # ---- the registry ------------------------------------------------------------
 def _on(make: Callable, *inputs: Callable, **params) -> Query:
     """A query that applies ``make`` to the named inputs."""
@@ -656,6 +790,7 @@ QUERIES: dict[str, Query] = {
     "ingest_snapshots": ingest_snapshots,
     "ingest_enriched": ingest_enriched,
     "ingest_audit": ingest_audit,
+    "ingest_new_rounds": ingest_new_rounds,
     "raw_landing": raw_landing,
     "region_lookup": region_lookup,
     # cleaning
@@ -673,6 +808,7 @@ QUERIES: dict[str, Query] = {
     "latest_two": latest_two,
     "merge_current": merge_current,
     "change_feed": change_feed,
+    "change_feed_digest": change_feed_digest,
     "soft_delete_state": soft_delete_state,
     "soft_delete_history": soft_delete_history,
     "restore_state": restore_state,
@@ -694,6 +830,9 @@ QUERIES: dict[str, Query] = {
     "scd2_n": lambda s, sf: _history(s, sf).drop("flight_sk"),
     "scd2_not_null_safe": scd2_not_null_safe,
     "scd2_l": _history_l,
+    "scd2_from_log": scd2_from_log,
+    "scd2_from_batches": scd2_from_batches,
+    "cdc_from_log": cdc_from_log,
     "current_from_history": _current_l,
     # stored layers and streams
     "lake_current": lake_current,
@@ -713,6 +852,10 @@ QUERIES: dict[str, Query] = {
     "stream_hourly_trend": stream_hourly_trend,
     "stream_dedup": stream_dedup,
     "stream_silver": stream_silver,
+    "stream_dedup_best": stream_dedup_best,
+    "stream_late_rows": stream_late_rows,
+    "presence_intervals": presence_intervals,
+    "stream_presence": stream_presence,
     # KPIs and marts
     "kpi_scalar": _on(kpis.scalar_kpis, _state),
     "kpi_grouped": lambda s, sf: kpis.grouped_kpis(*_stored_state(s, sf)),
@@ -732,12 +875,15 @@ QUERIES: dict[str, Query] = {
     "updated_regions": updated_regions,
     "updated_minutes": updated_minutes,
     "updated_hours": updated_hours,
+    "bitmap_minutes": bitmap_minutes,
+    "bitmap_hours": bitmap_hours,
     "updated_routes": updated_routes,
     "updated_route_frequency": updated_route_frequency,
     # query library
     "live_flights": _on(serving.live_flights, _current_l, region="delhi", airborne_only=True),
     "live_emergencies": _on(serving.live_flights, _current_l, emergency_only=True),
     "page_clean": _on(serving.page_clean, _clean_l, region="mumbai", limit=100, offset=50),
+    "page_after": page_after,
     "key_history": _on(serving.key_history, _history_l, key="H7"),
     "aircraft": _on(serving.aircraft, _aircraft_dim),
     "airlines": _on(serving.airlines, _airline_dim),

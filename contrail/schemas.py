@@ -13,6 +13,7 @@ _TYPES = {
     "BOOLEAN": T.BooleanType(),
     "TIMESTAMP": T.TimestampType(),
     "ARRAY<STRING>": T.ArrayType(T.StringType()),
+    "BINARY": T.BinaryType(),
 }
 
 
@@ -64,7 +65,7 @@ LANDING = struct("raw_json STRING, ingestion_time TIMESTAMP")
 
 AUDIT = struct(
     "file_name STRING, region STRING, ingested_at TIMESTAMP, records_loaded INT, "
-    "loaded_at TIMESTAMP, status STRING, error_msg STRING"
+    "loaded_at TIMESTAMP, status STRING, error_msg STRING, file_path STRING"
 )
 
 CLEAN_N = struct(

@@ -7,31 +7,44 @@ The schema is explicit, so no inference pass runs and an empty array is harmless
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
 from contrail import schemas
 from contrail.functions import columns as C
 from contrail.functions.time import from_epoch_millis, instant, iso_text
 from contrail.sources.regions import with_region
+from contrail.sources.tables import Lake
 
 _PARENT_FOLDER = r"([^/=]+)/[^/]+$"  # "delhi/x.json" and "region=delhi/x.json" alike
 _FILE_NAME = r"([^/]+)$"
 
 
+def _folder(path: str, level: int) -> Column:
+    """The name of the folder ``level`` steps above a file; "region=delhi" is delhi."""
+    if level == 1:
+        return F.regexp_extract(path, _PARENT_FOLDER, 1)
+    name = F.coalesce(F.try_element_at(F.split(path, "/"), F.lit(-1 - level)), F.lit(""))
+    return F.regexp_replace(name, "^[^=]*=", "")
+
+
 def read_documents(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True, pattern: str = "*.json"
+    spark: SparkSession, path: str | list[str], multi_line: bool = True, pattern: str = "*.json", region_level: int = 1
 ) -> DataFrame:
     """One row per document, with its file and folder.
 
+    The folder names the region of documents that do not; ``region_level`` says
+    how many steps above the file it lies, 2 for "delhi/2026-06-08/0700.json".
+
     ``multi_line`` suits one pretty-printed document per file; turn it off for
     line-delimited landings, whose files Spark can split.
     """
-    return _documents(_json(spark.read, multi_line, pattern).load(path))
+    return _documents(_json(spark.read, multi_line, pattern).load(path), region_level)
 
 
 def stream_documents(
@@ -40,19 +53,19 @@ def stream_documents(
     multi_line: bool = True,
     max_files: int | None = None,
     pattern: str = "*.json",
+    region_level: int = 1,
 ) -> DataFrame:
     """The same rows as a file-source stream; its checkpoint remembers seen files."""
     reader = _json(spark.readStream, multi_line, pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return _documents(reader.load(path))
+    return _documents(reader.load(path), region_level)
 
 
 def _json(reader, multi_line: bool, pattern: str):
-    if not isinstance(reader, DataStreamReader):
-        reader = reader.option("recursiveFileLookup", True)
     return (
-        reader.format("json")
+        reader.option("recursiveFileLookup", True)
+        .format("json")
         .schema(schemas.DOCUMENT)
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
@@ -61,12 +74,12 @@ def _json(reader, multi_line: bool, pattern: str):
     )
 
 
-def _documents(df: DataFrame) -> DataFrame:
+def _documents(df: DataFrame, region_level: int) -> DataFrame:
     return df.select(
         "*",
         F.col("_metadata.file_path").alias("_source_file"),
         F.col("_metadata.file_name").alias("_file_name"),
-        F.regexp_extract("_metadata.file_path", _PARENT_FOLDER, 1).alias("_folder"),
+        _folder("_metadata.file_path", region_level).alias("_folder"),
     )
 
 
@@ -237,36 +250,54 @@ def audit_files(docs: DataFrame, as_of: datetime | None = None) -> DataFrame:
     loaded = F.sum(F.when(~bad, F.greatest(F.size(F.coalesce("ac", "aircraft")), F.lit(0))))
     broken = F.count_if(bad) > 0
     return docs.groupBy(
-        F.col("_file_name").alias("file_name"), F.col("_folder").alias("region")
+        F.col("_file_name").alias("file_name"), F.col("_folder").alias("region"),
+        F.col("_source_file").alias("file_path"),
     ).agg(
         instant(as_of).alias("ingested_at"),
         F.when(broken, 0).otherwise(F.coalesce(loaded, F.lit(0))).cast("int").alias("records_loaded"),
         instant(as_of).alias("loaded_at"),
         F.when(broken, "ERROR").otherwise("OK").alias("status"),
         F.when(broken, "malformed JSON document").alias("error_msg"),
-    )
+    ).select(*schemas.AUDIT.names)
 
 
-def new_files(spark: SparkSession, path: str, audit: DataFrame) -> DataFrame:
-    """(path, file_name, region) of JSON files that no audit row reports as loaded.
+def new_files(
+    spark: SparkSession, path: str, audit: DataFrame, pattern: str = "*.json", region_level: int = 1
+) -> DataFrame:
+    """(path, file_name, region) of files that no audit row reports as loaded.
 
-    A file is known by its folder and name, since feeds may name files by time
-    alone. Only the listing is read, never the content. Files that failed or
+    A file is known by its whole path, since feeds may use one name in many
+    folders; audit rows without a path, from before it was kept, by name and
+    folder. Only the listing is read, never the content. Files that failed or
     were empty are offered again.
     """
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
         .load(path)
+        .select(F.col("_metadata.file_path").alias("path"))
         .select(
             "path",
             F.regexp_extract("path", _FILE_NAME, 1).alias("file_name"),
-            F.regexp_extract("path", _PARENT_FOLDER, 1).alias("region"),
+            _folder("path", region_level).alias("region"),
         )
     )
-    loaded = audit.filter("status = 'OK' AND records_loaded > 0").select("file_name", "region")
-    return listed.join(loaded, ["file_name", "region"], "left_anti")
+    loaded = audit.filter("status = 'OK' AND records_loaded > 0")
+    paths = loaded.filter("file_path IS NOT NULL").select(F.col("file_path").alias("path"))
+    names = loaded.filter("file_path IS NULL").select("file_name", "region")
+    return listed.join(paths, "path", "left_anti").join(names, ["file_name", "region"], "left_anti")
+
+
+def _readable(docs: DataFrame) -> DataFrame:
+    """Documents of files without a malformed one; nothing is loaded from the others."""
+    # Spark refuses to read the mark of malformed documents alone, so a count goes along.
+    failed = (
+        docs.groupBy("_source_file")
+        .agg(F.count_if(F.col("_corrupt_record").isNotNull()).alias("bad"), F.count("aircraft").alias("read"))
+        .filter("bad > 0 AND read >= 0").select("_source_file")
+    )
+    return docs.join(failed, "_source_file", "left_anti")
 
 
 def ingest_new(
@@ -276,23 +307,60 @@ def ingest_new(
     as_of: datetime | None = None,
     profile: str = "L",
     multi_line: bool = True,
+    region_level: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """(raw rows, audit rows) of the files not loaded yet.
 
-    The new paths go through the driver, as in any file listing Spark does; for
-    an unattended feed use :func:`stream_documents`, which tracks them itself.
+    For runs by hand, and to try failed files again: the new paths go through the
+    driver, as in any file listing Spark does. Feeds use :func:`ingest_stream`,
+    which tracks files itself.
     """
-    paths = [row.path for row in new_files(spark, path, audit).select("path").toLocalIterator()]
+    found = new_files(spark, path, audit, region_level=region_level)
+    paths = [row.path for row in found.select("path").toLocalIterator()]
     if not paths:
         raw = schemas.RAW_L if profile == "L" else schemas.RAW_N
         return spark.createDataFrame([], raw), spark.createDataFrame([], schemas.AUDIT)
-    docs = read_documents(spark, sorted(paths), multi_line)
+    docs = read_documents(spark, sorted(paths), multi_line, region_level=region_level)
     flatten = flatten_enriched if profile == "L" else flatten_snapshots
-    # Spark refuses to read the mark of malformed documents alone, so a count goes along.
-    failed = (
-        docs.groupBy("_file_name", "_folder")
-        .agg(F.count_if(F.col("_corrupt_record").isNotNull()).alias("bad"), F.count("aircraft").alias("read"))
-        .filter("bad > 0 AND read >= 0").select("_file_name", "_folder")
-    )
-    loaded = docs.join(failed, ["_file_name", "_folder"], "left_anti")
-    return flatten(loaded, as_of), audit_files(docs, as_of)
+    return flatten(_readable(docs), as_of), audit_files(docs, as_of)
+
+
+def ingest_stream(
+    spark: SparkSession,
+    path: str,
+    lake: Lake,
+    checkpoint: str,
+    profile: str = "L",
+    multi_line: bool = True,
+    pattern: str = "*.json",
+    region_level: int = 1,
+    max_files: int | None = None,
+    every: str | None = None,
+    clock: Callable[[], datetime] | None = None,
+) -> StreamingQuery:
+    """Load and audit the files that arrived since the last run, or at every interval.
+
+    The file source keeps the list of files by whole path in the checkpoint; no
+    list passes through the driver's Python. Each micro-batch writes the raw rows
+    of its readable files and one audit row per file, below its epoch, and then
+    commits; an epoch delivered again replaces its own folders. Files that failed
+    are in the audit as ERROR and can be tried again with :func:`ingest_new`.
+    """
+    table = "raw_l" if profile == "L" else "raw"
+    flatten = flatten_enriched if profile == "L" else flatten_snapshots
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        now = clock() if clock else datetime.now(timezone.utc)
+        docs = batch.persist()  # read once; partitions lost with an executor are read again
+        try:
+            lake.write_log("audit", audit_files(docs, now), epoch)
+            lake.write_log(table, flatten(_readable(docs), now), epoch)
+        finally:
+            docs.unpersist()
+        audit = lake.read_batch("audit", schemas.AUDIT, epoch)
+        counts = audit.agg(F.count(F.lit(1)).alias("files"), F.sum("records_loaded").alias("rows"))
+        lake.commit(epoch, "INGEST", counts, now, f"{checkpoint}#{epoch}")
+
+    docs = stream_documents(spark, path, multi_line, max_files, pattern, region_level)
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return docs.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger).start()

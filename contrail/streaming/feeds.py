@@ -9,13 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from contrail import schemas
+from contrail.functions.time import minus_minutes
 from contrail.operators.clean import clean_observations
+from contrail.plans import bitmaps
 from contrail.plans.medallion import run_silver, run_silver_local
 from contrail.sources.snapshots import flatten_enriched, flatten_snapshots, stream_documents
 from contrail.sources.tables import Lake
@@ -42,6 +44,37 @@ def drop_repeats(
     return raw.withWatermark("fetched_at", lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
+def best_rows(
+    raw: DataFrame, lateness: str = LATENESS, keys: tuple[str, ...] = ("hex", "fetched_at")
+) -> DataFrame:
+    """The best row per key, not the first to arrive: smallest ``seen``, NULL last, then smallest id.
+
+    State holds one row per key until the watermark passes it. Write it with
+    :func:`write_newest`: a better row that comes later replaces the earlier one.
+    """
+    standing = F.struct(F.col("seen").isNull(), "seen", "ingestion_id")
+    others = [c for c in raw.columns if c not in keys]
+    best = F.min_by(F.struct(*others), standing).alias("best")
+    kept = raw.withWatermark("fetched_at", lateness).groupBy(*keys).agg(best)
+    return kept.select(*[F.col(c) if c in keys else F.col(f"best.{c}") for c in raw.columns])
+
+
+def presence_intervals(clean: DataFrame, gap: str = "30 minutes", lateness: str = LATENESS) -> DataFrame:
+    """Stretches in which a key was seen again within ``gap``: (hex, seen_from, seen_to, observations).
+
+    A batch gives all; a stream gives a stretch in append mode once the watermark
+    has passed its end.
+    """
+    rows = clean.filter("hex IS NOT NULL AND ingested_at IS NOT NULL")
+    if clean.isStreaming:
+        rows = rows.withWatermark("ingested_at", lateness)
+    return (
+        rows.groupBy("hex", F.session_window("ingested_at", gap).alias("w"))
+        .agg(F.min("ingested_at").alias("seen_from"), F.max("ingested_at").alias("seen_to"), F.count(F.lit(1)).alias("observations"))
+        .drop("w")
+    )
+
+
 def clean_stream(raw: DataFrame) -> DataFrame:
     """Profile L has no duplicate rule, so it cleans row by row on a stream too."""
     return clean_observations(raw, "L")
@@ -128,6 +161,63 @@ def read_newest(spark: SparkSession, path: str, schema: StructType, keys: list[s
     return newest.select("r.*")
 
 
+def write_with_late(
+    raw: DataFrame, lake: Lake, checkpoint: str, lateness_minutes: int = 10, time: str = "fetched_at", every: str | None = None
+) -> StreamingQuery:
+    """Append every micro-batch to the log ``on_time`` or ``late``; no row is dropped.
+
+    A row is late if it is older than the newest time of the epochs before, less
+    the lateness; rows without a time are on time. The counts of an epoch are
+    observed while its rows are written and stand in its commit, and the newest
+    time goes on as state, so an epoch delivered again is split the same way.
+    """
+    progress = schemas.struct("newest TIMESTAMP")
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        before = lake.last_commit(before=epoch)
+        known = lake.read_state("newest", progress, before)
+        mark = known.agg(F.max("newest").alias("newest")).scalar()
+        late = F.coalesce(F.col(time) < minus_minutes(mark, lateness_minutes), F.lit(False))
+        seen = Observation(f"epoch {epoch}")
+        counts = F.count_if("_late").alias("late_rows"), F.count_if(~F.col("_late")).alias("on_time_rows")
+        split = batch.withColumn("_late", late).persist()
+        try:
+            watched = split.observe(seen, *counts, F.max(time).alias("newest"))
+            lake.write_log("on_time", watched.filter("NOT _late").drop("_late"), epoch)
+            lake.write_log("late", split.filter("_late").drop("_late"), epoch)
+        finally:
+            split.unpersist()
+        found = seen.get
+        newest = split.sparkSession.createDataFrame([(found["newest"],)], progress)
+        lake.write_state("newest", known.unionByName(newest).agg(F.max("newest").alias("newest")), epoch)
+        metrics = newest.select(*[F.lit(found[n]).alias(n) for n in ("on_time_rows", "late_rows")])
+        lake.commit(epoch, "SPLIT", metrics, datetime.now(timezone.utc), f"{checkpoint}#{epoch}")
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return raw.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def write_buckets(
+    clean: DataFrame, store: bitmaps.Store, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Fold every micro-batch of clean rows into exact minute or hour marts.
+
+    No watermark is needed: open buckets and late rows are added like any other,
+    and an epoch delivered again reaches only the days that lack it.
+    """
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        bitmaps.fold(store, batch, epoch)
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        clean.writeStream.foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def write_silver(
     raw: DataFrame,
     lake: Lake,
