@@ -46,9 +46,7 @@ SHORT_LIST = 48  # longest list whose members are paired by a join
 BLOCK = 256  # rows of a block of a longer list
 BROADCAST_IDS = 1_000_000  # most document ids sent to all executors
 
-SETS = (
-    "doc_id long, n_shingles int, h1 long, h2 long, small array<long>, ms array<int>, codes array<long>"
-)
+SETS = "doc_id long, n_shingles int, h1 long, h2 long, small array<long>"
 
 
 class Rule:
@@ -123,41 +121,89 @@ def range_codes(u: np.ndarray, rule: Rule) -> tuple[list[int], np.ndarray]:
     return ms, np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def shingle_sets(docs: DataFrame, words: int, rule: Rule) -> DataFrame:
-    """One row per document: set size, two set hashes, list entries; small sets in full."""
+def _hashes(u: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a set; 0 for the empty one."""
+    if not len(u):
+        return 0, 0
+    with np.errstate(over="ignore"):
+        both = np.add.reduce(tb.mix(u)), np.add.reduce(tb.mix(u ^ np.uint64(0xD6E8FEB86659FD93)))
+    return tuple(int(x.view(np.int64)) for x in both)
+
+
+def _each_set(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """(first row, last row, sets) of stretches of a batch with a text column."""
+    data, offsets = tb.columns(batch.column("text"))
+    for lo, hi in tb.chunks(offsets):
+        hashes, _, _, rows = tb.words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        yield lo, hi, list(tb.shingles(hashes, rows, words))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """One row per document: set size and two set hashes; small sets in full."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = tb.columns(batch.column("text"))
-            for lo, hi in tb.chunks(offsets):
-                part = offsets[lo : hi + 1] - offsets[lo]
-                hashes, _, _, rows = tb.words(data[offsets[lo] : offsets[hi]], part)
-                out: dict[str, list] = {k: [] for k in ("n", "h1", "h2", "small", "ms", "codes")}
-                for u in tb.shingles(hashes, rows, words):
-                    out["n"].append(len(u))
-                    with np.errstate(over="ignore"):
-                        first = np.add.reduce(tb.mix(u))
-                        second = np.add.reduce(tb.mix(u ^ np.uint64(0xD6E8FEB86659FD93)))
-                    out["h1"].append(first.view(np.int64) if len(u) else 0)
-                    out["h2"].append(second.view(np.int64) if len(u) else 0)
-                    out["small"].append(_signed(u) if len(u) <= SMALL else None)
-                    ms, codes = range_codes(u, rule) if len(u) else ([], np.zeros(0, np.uint64))
-                    out["ms"].append(ms)
-                    out["codes"].append(_signed(codes))
+            for lo, hi, sets in _each_set(batch, words):
+                both = [_hashes(u) for u in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(lo, hi - lo).cast(pa.int64()),
-                        pa.array(out["n"], pa.int32()),
-                        pa.array(out["h1"], pa.int64()),
-                        pa.array(out["h2"], pa.int64()),
-                        pa.array(out["small"], pa.list_(pa.int64())),
-                        pa.array(out["ms"], pa.list_(pa.int32())),
-                        pa.array(out["codes"], pa.list_(pa.int64())),
+                        pa.array([len(u) for u in sets], pa.int32()),
+                        pa.array([h for h, _ in both], pa.int64()),
+                        pa.array([h for _, h in both], pa.int64()),
+                        pa.array([_signed(u) if len(u) <= SMALL else None for u in sets], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "h1", "h2", "small", "ms", "codes"],
+                    names=["doc_id", "n_shingles", "h1", "h2", "small"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SETS)
+    return _texts(docs).mapInArrow(run, SETS)
+
+
+def _named_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(sid, h1, text) of the texts of ``ids`` (sid, h1); with a repeated id, other texts may come along."""
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return _texts(docs).withColumnRenamed("doc_id", "sid").join(ids, "sid")
+
+
+def list_entries(docs: DataFrame, ids: DataFrame, words: int, rule: Rule) -> DataFrame:
+    """(sid, code): the lists that the sets of ``ids`` (sid, h1) enter, straight from their texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, sets in _each_set(batch, words):
+                sid, h1 = (batch.column(c).slice(lo, hi - lo).to_numpy() for c in ("sid", "h1"))
+                found = [range_codes(u, rule)[1] if len(u) and _hashes(u)[0] == h else np.zeros(0, np.uint64) for u, h in zip(sets, h1, strict=True)]
+                found = [c[c & np.uint64(1) == 1] for c in found]
+                owner = np.repeat(sid, [len(c) for c in found])
+                codes = _signed(np.concatenate([np.zeros(0, np.uint64), *found]))
+                yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int64()), pa.array(codes, pa.int64())], names=["sid", "code"])
+
+    return _named_sets(docs, ids).mapInArrow(run, "sid long, code long")
+
+
+def coded_sets(docs: DataFrame, ids: DataFrame, words: int, rule: Rule) -> DataFrame:
+    """(sid, h1, n_shingles, ms, codes): all range codes of the sets of ``ids`` (sid, h1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, sets in _each_set(batch, words):
+                sid, h1 = (batch.column(c).slice(lo, hi - lo).to_pylist() for c in ("sid", "h1"))
+                rows = [(i, h, len(u), *range_codes(u, rule)) for i, h, u in zip(sid, h1, sets, strict=True) if len(u) and _hashes(u)[0] == h]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                        pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.list_(pa.int32())),
+                        pa.array([_signed(r[4]) for r in rows], pa.list_(pa.int64())),
+                    ],
+                    names=["sid", "h1", "n_shingles", "ms", "codes"],
+                )
+
+    return _named_sets(docs, ids).mapInArrow(run, "sid long, h1 long, n_shingles int, ms array<int>, codes array<long>")
 
 
 def boundary(sizes: DataFrame, rule: Rule) -> int:
@@ -257,31 +303,17 @@ def _verified(
     """The pairs that link, by their exact sets; only texts that are needed move."""
     ids = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
     ids = store(ids.join(reps.select("sid", "h1"), "sid"), "needed")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = tb.columns(batch.column("text"))
-            for lo, hi in tb.chunks(offsets):
-                part = offsets[lo : hi + 1] - offsets[lo]
-                hashes, _, _, rows = tb.words(data[offsets[lo] : offsets[hi]], part)
-                sets = list(tb.shingles(hashes, rows, words))
-                with np.errstate(over="ignore"):
-                    h1 = [np.add.reduce(tb.mix(u)).view(np.int64) if len(u) else 0 for u in sets]
-                keep = np.asarray(batch.column("h1").slice(lo, hi - lo)) == np.array(h1, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("sid").slice(lo, hi - lo).filter(pa.array(keep)),
-                        batch.column("h1").slice(lo, hi - lo).filter(pa.array(keep)),
-                        pa.array([u.tobytes() for u, k in zip(sets, keep, strict=True) if k], pa.binary()),
-                    ],
-                    names=["sid", "h1", "elems"],
-                )
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("sid"), F.col("text").cast("string").alias("text")).join(ids, "sid")
-    sets = texts.mapInArrow(run, "sid long, h1 long, elems binary")
-    sets = store((sets.dropDuplicates(["sid", "h1"]) if repeated else sets).drop("h1"), "sets")
+            for lo, hi, sets in _each_set(batch, words):
+                sid, h1 = (batch.column(c).slice(lo, hi - lo).to_pylist() for c in ("sid", "h1"))
+                rows = [(i, u.tobytes()) for i, h, u in zip(sid, h1, sets, strict=True) if len(u) and _hashes(u)[0] == h]
+                columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["sid", "elems"])
+
+    sets = _named_sets(docs, ids).mapInArrow(run, "sid long, elems binary")
+    sets = store(sets.dropDuplicates(["sid"]) if repeated else sets, "sets")
     p, q = rule.p, rule.q
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -378,25 +410,25 @@ def similar_groups(docs: DataFrame, words: int = 5, p: int = 8, q: int = 10) ->
     ignored; an empty table gives no rows.
     """
     rule = Rule(p, q)
-    sets = store(shingle_sets(docs, words, rule), "shingles")
+    sets = store(shingle_sets(docs, words), "shingles")
     repeated = not sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty()
     usable = sets.filter("doc_id IS NOT NULL AND n_shingles > 0")
     same = ["n_shingles", "h1", "h2"]
     classes = store(
-        usable.groupBy(*same).agg(
-            F.min("doc_id").alias("sid"), F.min(F.struct("doc_id", "small", "ms", "codes")).alias("r")
-        ).select(*same, "sid", "r.small", "r.ms", "r.codes"),
-        "classes",
+        usable.groupBy(*same).agg(F.min("doc_id").alias("sid"), F.min("small").alias("small")), "classes"
     )
     limit = boundary(classes, rule)
     light = _light_links(classes, rule, limit)
 
-    heavy = classes.filter(F.floor(q * F.col("n_shingles") / p) > limit)
-    entries = heavy.select("sid", F.explode(F.filter("codes", lambda c: c.bitwiseAND(F.lit(1)) == 1)).alias("code"))
+    # Range codes come from the text of one document per class, and are kept only where a list is shared.
+    heavy = classes.filter(F.floor(q * F.col("n_shingles") / p) > limit).select("sid", "h1")
+    entries = list_entries(docs, heavy, words, rule)
+    entries = entries.distinct() if repeated else entries
     heads = entries.groupBy("code").agg(F.min("sid").alias("head"), F.count(F.lit(1)).alias("c"))
     lists = store(entries.join(heads.filter("c > 1").select("code", "head"), "code"), "lists")
-    reps = heavy.join(lists.select("sid").distinct(), "sid", "left_semi").select("sid", "h1", "n_shingles", "ms", "codes")
-    reps = store(reps, "members")
+    members = heavy.join(lists.select("sid").distinct(), "sid", "left_semi")
+    reps = coded_sets(docs, members, words, rule)
+    reps = store(reps.dropDuplicates(["sid"]) if repeated else reps, "members")
 
     to_head = lists.filter("sid <> head").select(F.col("head").alias("a"), F.col("sid").alias("b")).distinct()
     near = store(_promising(to_head, reps, rule), "near")

@@ -29,8 +29,9 @@ END_ID = 1
 
 
 def _encoder(path: str):
-    """The byte-level vocabulary of ``path``; special strings are ordinary text."""
+    """The encoding of ``path`` as ``tokenizers`` gives it: its added tokens are found in the text, too."""
     import base64
+    import json
 
     import public_tokenizers
     import tiktoken
@@ -38,7 +39,10 @@ def _encoder(path: str):
     ranks_path = path.rsplit(".", 1)[0] + ".tiktoken"
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(path, encoding="utf-8") as told:
+        added = {t["content"]: t["id"] for t in json.load(told).get("added_tokens") or []}
+    found = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return lambda text: found.encode(text, allowed_special="all")
 
 
 def token_pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW, piece: int = PIECE) -> DataFrame:
@@ -53,7 +57,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WI
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        encode = _encoder(tokenizer or public_tokenizers.path("byte_bpe_50k.json")).encode_ordinary
+        encode = _encoder(tokenizer or public_tokenizers.path("byte_bpe_50k.json"))
         for batch in batches:
             _, offsets = tb.columns(batch.column("text"))
             for lo, hi in tb.chunks(offsets):
@@ -159,12 +163,10 @@ def pack(pieces: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFra
     fields = [f for f in rows.schema if f.name != "_at"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     packed = loose.groupBy("_block").applyInPandas(run, f"{schema}, sequence_id long, offset long")
+    # Whole windows are numbered by partition and row of the written table, above all numbers of blocks.
     whole = rows.filter(F.col("length") >= window).select(
         *kept,
-        # Apart from the blocks' numbers, which stay below 2**62.
-        (F.bitwise_or if hasattr(F, "bitwise_or") else lambda a, b: a.bitwiseOR(b))(
-            F.shiftrightunsigned("_at", 2), F.lit(1 << 62)
-        ).alias("sequence_id"),
+        (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )
     return packed.unionByName(whole)
