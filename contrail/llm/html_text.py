@@ -4,10 +4,13 @@ A page is read into blocks: inside an article element (or main), inside a part
 that markup names (menus, footers, adverts, ...), or loose. The token streams
 of a host's pages are laid end to end and their suffixes sorted by prefix
 doubling; runs of at least ``RUN`` tokens that occur on different pages are the
-host's repeats. They are cut out of the article, or of the loose blocks of a
-page without one; the runs between them stay. Pages that are copies of one
-another count as one page, so an article that a host shows on several pages
-stays.
+host's repeats. They are cut out of the loose blocks of a page without an article;
+the runs between them stay. Inside an article a run goes only where the articles
+of a good share of the host's pages have it (``PLATE_SHARE``, and ``PLATE_LEAST``
+of them at least): a sentence that two articles share is the articles' own, and
+what a menu, an aside or a teaser shows of an article says nothing against it.
+Pages that are copies of one another count as one page, so an article that a host
+shows on several pages stays.
 """
 
 from __future__ import annotations
@@ -30,10 +33,12 @@ from contrail.llm.textbytes import mix
 
 RUN = 8  # tokens of the shortest repeat that counts
 COPY_PART, COPY_OF = 2, 3  # share of both pages' windows that makes them copies
+PLATE_SHARE = 0.5  # share of a host's pages whose articles have a run that goes from articles
+PLATE_LEAST = 3  # and how many pages that are at least
 PART_BYTES = 2 << 20  # html of a host that is laid end to end
 BROADCAST_HOSTS = 1_000_000  # most hosts whose part counts are sent to all executors
 
-NAMED, LOOSE, CORE = 0, 1, 2
+NAMED, LOOSE, CORE, MAIN = 0, 1, 2, 3  # MAIN is only known while a page is read
 RESULT = "page_id long, url string, text string, n_chars long, n_repeated long"
 
 # Element and attribute names of HTML.
@@ -76,6 +81,8 @@ def _named(name: str, rest: str, in_core: bool) -> bool:
     for key, a, b, c in ATTRIBUTE.findall(rest):
         key, value = key.lower(), (a or b or c).lower()
         if key in ("class", "id"):
+            if in_core and name not in BLOCKS:
+                continue  # a word of a sentence, whatever it is called
             words = set(re.split(r"[^a-z0-9]+", value))
             if words & NAMES or (not in_core and "header" in words):
                 return True
@@ -142,16 +149,20 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
             stack.pop()  # a paragraph ends where a block begins
         new = kind if not stack else stack[-1][1]
         if new != NAMED:
-            if _named(name, rest, new == CORE):
+            if _named(name, rest, new in (CORE, MAIN)):
                 new = NAMED
-            elif name in ("article", "main") or 'role="main"' in rest:
+            elif name == "article":
                 new = CORE
+            elif new != CORE and (name == "main" or 'role="main"' in rest):
+                new = MAIN
         stack.append((name, new))
         if new != kind:
             flush()
             kind = new
     flush()
-    return out
+    # Where there is an article, what the main element has besides it is loose.
+    main = LOOSE if any(k == CORE for k, _ in out) else CORE
+    return [(main if k == MAIN else k, text) for k, text in out]
 
 
 def _ranks(tokens: np.ndarray, run: int) -> np.ndarray:
@@ -240,12 +251,17 @@ def _page_text(kinds, texts, marks) -> tuple[str, int]:
     return " ".join(kept), repeated
 
 
+def _plate_pages(groups: int) -> int:
+    """Pages of a host with so many whose articles must have a run, so that it goes from articles."""
+    return max(PLATE_LEAST, int(np.ceil(PLATE_SHARE * groups)))
+
+
 def _clean(group: pd.DataFrame) -> pd.DataFrame:
     """Main texts of pages of one host."""
     ids: dict[str, int] = {}
     short: dict[str, int] = {}
     names, pages = np.unique(group["page"].to_numpy(), return_inverse=True)
-    tokens, of_page, main, spans, shorts, stop = [], [], [], [], [], -1
+    tokens, of_page, main, core, spans, shorts, stop = [], [], [], [], [], [], -1
     for page, kinds, texts in zip(pages, group["kinds"], group["blocks"], strict=True):
         whole = CORE if CORE in kinds else LOOSE
         for kind, text in zip(kinds, texts, strict=True):
@@ -255,6 +271,7 @@ def _clean(group: pd.DataFrame) -> pd.DataFrame:
                 shorts.append((short.setdefault(text, len(short)), page, kind == whole))
             # windows begin where the block has RUN tokens left
             main += [kind == whole and len(words) - i >= RUN for i in range(len(words))] + [False]
+            core += [kind == CORE] * (len(words) + 1)
             tokens += [*words, stop]
             of_page += [page] * (len(words) + 1)
             stop -= 1
@@ -267,7 +284,14 @@ def _clean(group: pd.DataFrame) -> pd.DataFrame:
         np.r_[of_page[begins], np.array([p for _, p in whole_shorts], np.int64)],
         len(names),
     )
-    covered = repeats(tokens, of_group[of_page] if len(of_page) else of_page, rank=rank)
+    at_group = of_group[of_page] if len(of_page) else of_page
+    covered = repeats(tokens, at_group, rank=rank)
+    # Runs that enough articles have, each page group counted once.
+    core_at = begins[np.array([core[b] for b in begins.tolist()], dtype=bool)] if len(begins) else begins
+    held = np.unique(np.stack([rank[core_at], at_group[core_at]]), axis=1)[0]
+    values, counts = np.unique(held, return_counts=True)
+    plates = values[counts >= _plate_pages(len(np.unique(of_group)))]
+    in_core = _spread(core_at[np.isin(rank[core_at], plates)], len(tokens), RUN) if len(tokens) else covered
     seen: dict[int, int] = {}
     for w, p, _ in shorts:
         if seen.setdefault(w, of_group[p]) != of_group[p]:
@@ -275,10 +299,10 @@ def _clean(group: pd.DataFrame) -> pd.DataFrame:
     rows, at = [], 0
     for kinds, texts in zip(group["kinds"], group["blocks"], strict=True):
         marks = []
-        for text in texts:
+        for kind, text in zip(kinds, texts, strict=True):
             lo, hi = spans[at]
             at += 1
-            marks.append((covered[lo:hi], hi - lo < RUN and seen[short[text]] == -1))
+            marks.append(((in_core if kind == CORE else covered)[lo:hi], hi - lo < RUN and seen[short[text]] == -1))
         rows.append(_page_text(kinds, texts, marks))
     return _result(group, rows)
 
@@ -322,14 +346,14 @@ def _large(pages: DataFrame) -> DataFrame:
             for host, page, kinds, texts in zip(b["host"], b["page"], b["kinds"], b["blocks"], strict=True):
                 h, _, block = windows(host, texts)
                 main = (np.asarray(kinds) == (CORE if CORE in kinds else LOOSE))[block] if len(h) else np.zeros(0, bool)
-                of_main = np.unique(h[main])
+                of_main, has_core = np.unique(h[main]), CORE in kinds
                 for hashes, is_main in ((of_main, True), (np.setdiff1d(h, of_main), False)):
                     if len(hashes):
-                        yield pd.DataFrame({"h": hashes, "page": page, "main": is_main, "n": len(of_main)})
+                        yield pd.DataFrame({"h": hashes, "page": page, "main": is_main, "core": is_main and has_core, "n": len(of_main)})
 
     # All pages of a window meet once, and windows of a single page go no further.
-    held = pages.mapInPandas(emit, "h long, page long, main boolean, n int").repartition("h")
-    held = held.groupBy("h", "page").agg(F.max("main").alias("main"), F.max("n").alias("n"))
+    held = pages.mapInPandas(emit, "h long, page long, main boolean, core boolean, n int").repartition("h")
+    held = held.groupBy("h", "page").agg(F.max("main").alias("main"), F.max("core").alias("core"), F.max("n").alias("n"))
     both = Window.partitionBy("h")
     held = held.withColumns({"_a": F.min("page").over(both), "_b": F.max("page").over(both)})
     held = store(held.filter("_a <> _b").drop("_a", "_b"), "windows")
@@ -347,17 +371,28 @@ def _large(pages: DataFrame) -> DataFrame:
         .filter((COPY_OF * F.col("n") >= COPY_PART * (F.col("n") + F.col("own"))) & (COPY_OF * F.col("n") >= COPY_PART * F.col("theirs")))
     )
     groups = connected(edges.select(F.col("page").alias("a"), F.col("owner").alias("b")))
-    grouped = held.join(groups.withColumnRenamed("node", "page"), "page", "left").select("h", F.coalesce("component", "page").alias("g"))
-    shared = grouped.groupBy("h").agg(F.min("g").alias("_a"), F.max("g").alias("_b")).filter("_a <> _b").select("h")
-    plates = held.select("h", "page").join(shared, "h").groupBy("page").agg(F.collect_list("h").alias("plates"))
+    of_group = groups.withColumnRenamed("node", "page")
+    hosts = pages.select("host", "page").distinct()
+    total = hosts.join(of_group, "page", "left").groupBy("host").agg(F.count_distinct(F.coalesce("component", "page")).alias("groups"))
+    need = F.greatest(F.lit(PLATE_LEAST), F.ceil(F.col("groups") * PLATE_SHARE)).alias("need")
+    needs = hosts.join(total.select("host", need), "host").select("page", "need")
+    grouped = held.join(of_group, "page", "left").withColumn("g", F.coalesce("component", "page")).join(needs, "page")
+    found = grouped.groupBy("h").agg(
+        (F.min("g") < F.max("g")).alias("shared"), (F.count_distinct(F.when(F.col("core"), F.col("g"))) >= F.max("need")).alias("plate")
+    )
+    # A page's windows that go: from articles the plates, from loose blocks all that other pages have.
+    plates = held.select("h", "page").join(found.filter("shared OR plate"), "h").groupBy("page").agg(
+        F.collect_list(F.when(F.col("shared"), F.col("h"))).alias("plates"), F.collect_list(F.when(F.col("plate"), F.col("h"))).alias("core_plates")
+    )
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for host, kinds, texts, plates in zip(b["host"], b["kinds"], b["blocks"], b["plates"], strict=True):
-                known = np.array([] if plates is None else plates, dtype=np.int64)
+            for host, kinds, texts, plates, core in zip(b["host"], b["kinds"], b["blocks"], b["plates"], b["core_plates"], strict=True):
+                known, cores = (np.array([] if x is None else x, dtype=np.int64) for x in (plates, core))
                 h, begins, block = windows(host, texts)
-                hit = np.isin(h, known)
+                of_core = (np.asarray(kinds) == CORE)[block] if len(h) else np.zeros(0, bool)
+                hit = np.where(of_core, np.isin(h, cores), np.isin(h, known))
                 sizes = [text.count(" ") + 1 for text in texts]
                 short = np.array(sizes, dtype=np.int64) < RUN
                 runs = hit & ~short[block] if len(h) else hit
@@ -368,7 +403,7 @@ def _large(pages: DataFrame) -> DataFrame:
                 rows.append(_page_text(kinds, texts, marks))
             yield _result(b, rows)
 
-    return pages.join(plates, "page", "left").select("page_id", "url", "host", "kinds", "blocks", "plates").mapInPandas(cut, RESULT)
+    return pages.join(plates, "page", "left").select("page_id", "url", "host", "kinds", "blocks", "plates", "core_plates").mapInPandas(cut, RESULT)
 
 
 def main_text(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:

@@ -265,6 +265,12 @@ def test_article_of_a_page(spark):
     assert html_text.main_text(df).count() == len(pages)
 
 
+def test_main_around_an_article_is_loose():
+    page = "<main><div>Teaser</div><article><header>Head</header><p>One <span class='social'>word</span> two</article><p>More</main><p>out"
+    assert html_text.blocks(page) == [(1, "Teaser"), (2, "Head"), (2, "One word two"), (1, "More"), (1, "out")]
+    assert html_text.blocks("<p>a<main><p>b<div class=ad>c</div></main>") == [(1, "a"), (2, "b"), (0, "c")]
+
+
 def test_repeats_cut_inside_articles(spark):
     rnd = random.Random(11)
     say = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n))
@@ -282,6 +288,23 @@ def test_repeats_cut_inside_articles(spark):
     assert sorted(map(str, small.collect())) == sorted(map(str, html_text.main_text(df).collect()))
 
 
+@pytest.mark.parametrize("part_bytes", [300, html_text.PART_BYTES])
+def test_articles_keep_their_sentences(spark, part_bytes):
+    rnd = random.Random(12)
+    say = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    lead, common, notice, own = say(14), say(12), say(10), [say(20) for _ in range(6)]
+    pages = [
+        (1, f"<article><p>{lead}</p><p>{own[0]}</p><p>{notice}</p></article>"),
+        # A teaser of page 1 in an aside and in a loose block next to the article.
+        (2, f"<aside>{lead}</aside><article><p>{own[1]}</p><p>{common}</p><p>{notice}</p></article>"),
+        (3, f"<div class='menu'>{lead}</div><article><p>{own[2]}</p><p>{common}</p><p>{notice}</p></article>"),
+        (4, f"<article><p>{own[3]}</p><p>{notice}</p></article>"), (5, f"<article><p>{own[4]}</p></article>"), (6, f"<article><p>{own[5]}</p></article>"),
+    ]
+    df = spark.createDataFrame([(i, f"http://h/{i}", h) for i, h in pages], "page_id long, url string, html string")
+    want = {1: f"{lead} {own[0]}", 2: f"{own[1]} {common}", 3: f"{own[2]} {common}", 4: own[3], 5: own[4], 6: own[5]}
+    assert {r.page_id: r.text for r in html_text.main_text(df, part_bytes=part_bytes).collect()} == want
+
+
 def test_repeats_equal_brute_force():
     rnd = np.random.default_rng(5)
     for run in (2, 3, 8):
