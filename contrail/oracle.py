@@ -516,6 +516,13 @@ _QUERIES = {
     SELECT CAST(polled >= {SPLIT} AS BIGINT) AS epoch, region, 'OK' AS status, count(*) AS records_loaded,
       CAST(0 AS BIGINT) AS failed, count(*) AS raw_rows FROM ({_DOCS}) GROUP BY 1, 2
     UNION ALL SELECT 1, 'delhi', 'ERROR', 0, 1, 0""",
+    "empty_documents": """
+    SELECT region, count(DISTINCT event_id // 200) + 2 AS documents, CAST(2 AS BIGINT) AS empty, count(*) AS raw_rows
+    FROM base GROUP BY 1""",
+    "table_cycle": """
+    SELECT u.step, u.tables, u.rows FROM (SELECT (SELECT count(*) FROM clean_n) AS a, (SELECT count(*) FROM clean_n1) AS b) n,
+      LATERAL (VALUES ('created', CAST(8 AS BIGINT), CAST(0 AS BIGINT)), ('filled', 8, n.a), ('overwritten', 8, n.b),
+        ('emptied', 8, 0), ('not confirmed', 8, 0), ('dropped', 0, 0)) AS u(step, tables, rows)""",
     "raw_landing": f"""
     SELECT {AS_OF} AS ingestion_time, count(DISTINCT region || '/' || (event_id // 200)) AS documents,
       count(*) AS elements FROM base""",
@@ -578,11 +585,14 @@ _QUERIES = {
     "reactivated_events": f"""
     SELECT hex, callsign, 'NEW' AS change_type, 'DISAPPEARED' AS old_value, 'REACTIVATED' AS new_value,
       (SELECT max(fetched_at) FROM raw_n2) AS event_at, {AS_OF} AS detected_at FROM returned""",
-    "disappearance_rate": """
-    SELECT a AS active_now, d AS disappeared_in_window, CAST(0 AS BIGINT) AS invalid_coords_total,
-      CAST(0 AS BIGINT) AS duplicates_total,
-      COALESCE(round(100.0::DOUBLE * d / NULLIF(a + d, 0), 2), 0) AS disappearance_rate
-    FROM (SELECT count(*) FILTER (WHERE NOT is_deleted) AS a, count(*) FILTER (WHERE is_deleted) AS d FROM state_n)""",
+    "disappearance_rate": f"""
+    SELECT *, COALESCE(round(100.0::DOUBLE * disappeared_in_window / NULLIF(active_now + disappeared_in_window, 0), 2), 0)
+        AS disappearance_rate FROM (
+      SELECT count(*) FILTER (WHERE NOT is_deleted) AS active_now,
+        count(*) FILTER (WHERE is_deleted AND deleted_reason = 'DISAPPEARED' AND deleted_at >= {AS_OF} - {WINDOW})
+          AS disappeared_in_window,
+        count(*) FILTER (WHERE deleted_reason = 'INVALID_COORDS') AS invalid_coords_total,
+        count(*) FILTER (WHERE deleted_reason = 'DUPLICATE') AS duplicates_total FROM state_2)""",
     "disappearance_by_minute": f"""
     SELECT minute_bucket, n AS disappeared_count, a AS total_active,
       round(100.0::DOUBLE * n / NULLIF(a, 0), 2) AS rate_pct
@@ -590,7 +600,12 @@ _QUERIES = {
           WHERE last_seen_at >= {AS_OF} - {WINDOW} GROUP BY 1),
          (SELECT count(*) AS a FROM live_n)
     ORDER BY 1 DESC LIMIT 20""",
-    "disappeared_since": "SELECT count(DISTINCT hex) AS disappeared_aircraft FROM state_n WHERE is_deleted",
+    "disappeared_since": f"""
+    SELECT count(DISTINCT hex) AS disappeared_aircraft FROM state_2
+    WHERE is_deleted AND deleted_reason = 'DISAPPEARED' AND deleted_at >= {AS_OF} - INTERVAL 60 MINUTE""",
+    "vanished_at_once": """
+    SELECT hex, callsign, last_seen_at FROM merged_n WHERE last_seen_at < (SELECT max(fetched_at) FROM raw_n)
+      AND hex NOT IN (SELECT hex FROM raw_n WHERE fetched_at = (SELECT max(fetched_at) FROM raw_n))""",
     "cdc_long": _cdc(_PAIRS, AS_OF, _PLAIN_HEADING),
     "cdc_since": _cdc(_PAIRS_SINCE, AS_OF, _WRAPPED_HEADING),
     "cdc_wide": "SELECT * FROM cdc_l",

@@ -108,16 +108,24 @@ def merge_bits(known: DataFrame, rows: DataFrame) -> DataFrame:
     return both.agg(F.bitmap_or_agg("bits").alias("bits")).select(*BITS.names)
 
 
+_NEEDED = "hex flight region ingested_at on_ground altitude_ft gs_knots is_emergency".split()
+
+
 def fold(store: Store, batch: DataFrame, batch_id: int) -> None:
     """Take a batch of clean rows (profile L) into the store.
 
     Batches are numbered upwards. A batch run again after a failure is added
     only to the days that lack it.
     """
-    add_numbers(store, batch, batch_id)
-    numbers = {kind: store.numbers(kind).read() for kind in _kinds()}
-    store.totals.change(totals_of(batch, store.unit), merge_totals, batch_id, once=True)
-    store.bits.change(bits_of(batch, store.unit, numbers), merge_bits, batch_id, once=True)
+    rows = batch.select(*_NEEDED).persist()  # read several times; lost partitions are read again
+    try:
+        add_numbers(store, rows, batch_id)
+        numbers = {kind: store.numbers(kind).read() for kind in _kinds()}
+        days = sorted(r[0] for r in rows.select(parted.day_of("ingested_at")).distinct().collect())
+        store.totals.change(totals_of(rows, store.unit), merge_totals, batch_id, once=True, parts=days)
+        store.bits.change(bits_of(rows, store.unit, numbers), merge_bits, batch_id, once=True, parts=days)
+    finally:
+        rows.unpersist()
 
 
 def _measured(store: Store) -> DataFrame:

@@ -6,6 +6,7 @@ observations from ``events``. Times are fixed so that results repeat.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -79,6 +80,15 @@ def _state(spark: SparkSession, sf: str) -> DataFrame:
     return state.set_flagged_deleted(flagged, "_gone", C.DISAPPEARED, AS_OF)
 
 
+def _state_2(spark: SparkSession, sf: str) -> DataFrame:
+    """State after both halves one by one: keys vanished at the split and, others, at the end."""
+    raw = _after(_raw(spark, sf))
+    woken = lifecycle.reactivate(_state_1(spark, sf), raw, AS_OF)[0]
+    latest = clean.latest_observation(_after(_clean(spark, sf)))
+    flagged = lifecycle.with_vanished(state.merge_current(woken, latest, as_of=AS_OF), raw, GRACE)
+    return _stored(state.set_flagged_deleted(flagged, "_gone", C.DISAPPEARED, AS_OF), "state")
+
+
 def _stored(df: DataFrame, label: str) -> DataFrame:
     """Write an input that is read several times, as the layers do, and read it back."""
     where = scratch_path(df.sparkSession, label)
@@ -326,6 +336,48 @@ def ingest_audit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def empty_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and rows per region, where every region also sent an empty array and none at all."""
+    docs = testbed.snapshot_documents(testbed.read_events(spark, sf))
+    for text in ('{"now": 1704067200000, "total": 0, "ac": []}', '{"now": 1704067200000}'):
+        docs = docs.unionByName(docs.select("region", F.lit(text).alias("document")).distinct())
+    parsed = snapshots.documents_from_text(docs, "document", F.concat(F.lit("/landing/"), "region", F.lit("/polls.json")))
+    rows = snapshots.flatten_snapshots(parsed, AS_OF).groupBy(F.col("source_region").alias("region")).agg(
+        F.count(F.lit(1)).alias("raw_rows")
+    )
+    counted = parsed.groupBy(F.col("_folder").alias("region")).agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(F.size(F.coalesce("ac", F.array().cast("array<string>"))) == 0).alias("empty")
+    )
+    return counted.join(rows, "region")
+
+
+def table_cycle(spark: SparkSession, sf: str) -> DataFrame:
+    """Catalog tables made twice, filled, emptied and dropped: their number and rows after each step."""
+    database = f"contrail_{uuid.uuid4().hex[:12]}"
+    steps = []
+
+    def note(step: str) -> None:
+        profile = tables.layer_profile(spark, database)
+        steps.append((step, *profile.agg(F.count(F.lit(1)), F.coalesce(F.sum("row_count"), F.lit(0))).first()))
+
+    tables.ensure_tables(spark, database)
+    note("created")
+    tables.append_table(_clean(spark, sf), f"{database}.flight_clean")
+    tables.append_table(_no_cdc(spark), f"{database}.flight_cdc")
+    tables.ensure_tables(spark, database)
+    note("filled")
+    tables.overwrite_table(_before(_clean(spark, sf)), f"{database}.flight_clean")
+    note("overwritten")
+    tables.truncate_table(spark, f"{database}.flight_clean")
+    note("emptied")
+    tables.drop_layer(spark, database)
+    note("not confirmed")
+    tables.drop_layer(spark, database, confirm=True)
+    note("dropped")
+    spark.sql(f"DROP SCHEMA {database}")
+    return spark.createDataFrame(steps, "step STRING, tables BIGINT, rows BIGINT")
+
+
 def raw_landing(spark: SparkSession, sf: str) -> DataFrame:
     where = scratch_path(spark, "landing")
     testbed.snapshot_documents(testbed.read_events(spark, sf)).write.partitionBy("region").text(where)
@@ -455,6 +507,11 @@ def disappeared_clean(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def vanished_at_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The older rule: every live key that the newest poll does not have, without a grace period."""
+    return lifecycle.vanished(_stored(_merged(spark, _clean(spark, sf), AS_OF), "state"), _raw(spark, sf), 0)
+
+
 def event_suppression(spark: SparkSession, sf: str) -> DataFrame:
     """The events again, once those of live-emergency keys count as logged already."""
     raw = _raw(spark, sf)
@@ -792,6 +849,8 @@ QUERIES: dict[str, Query] = {
     "ingest_audit": ingest_audit,
     "ingest_new_rounds": ingest_new_rounds,
     "raw_landing": raw_landing,
+    "empty_documents": empty_documents,
+    "table_cycle": table_cycle,
     "region_lookup": region_lookup,
     # cleaning
     "clean_n": _clean,
@@ -820,9 +879,10 @@ QUERIES: dict[str, Query] = {
     "event_suppression": event_suppression,
     "reactivated_state": reactivated_state,
     "reactivated_events": reactivated_events,
-    "disappearance_rate": _on(lifecycle.disappearance_rate, _state, minutes=WINDOW, as_of=AS_OF),
+    "disappearance_rate": _on(lifecycle.disappearance_rate, _state_2, minutes=WINDOW, as_of=AS_OF),
     "disappearance_by_minute": by_minute,
-    "disappeared_since": _on(lifecycle.disappeared_since, _state, as_of=AS_OF),
+    "disappeared_since": _on(lifecycle.disappeared_since, _state_2, as_of=AS_OF),
+    "vanished_at_once": vanished_at_once,
     # events and versions
     "cdc_long": _on(cdc.cdc_long, _clean, as_of=AS_OF),
     "cdc_since": cdc_since,

@@ -69,14 +69,20 @@ class PartedTable:
         return [p for p in parts if p not in taken]
 
     def change(
-        self, rows: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], batch: int, once: bool = False
+        self,
+        rows: DataFrame,
+        merge: Callable[[DataFrame, DataFrame], DataFrame],
+        batch: int,
+        once: bool = False,
+        parts: list[str] | None = None,
     ) -> list[str]:
         """Replace the partitions of ``rows`` by ``merge(known, rows)``; gives their names.
 
         ``once`` leaves out partitions that have the batch already; merges that
-        can be repeated, such as an upsert, do not need it.
+        can be repeated, such as an upsert, do not need it. ``parts`` names the
+        partitions of the rows where they are known.
         """
-        parts = self.touched(rows)
+        parts = self.touched(rows) if parts is None else parts
         if once:
             parts = self.pending(parts, batch)
             rows = rows.filter(self.part.isin(parts)) if parts else rows
