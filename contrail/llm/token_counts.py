@@ -1,16 +1,18 @@
 """Token counts that follow edits.
 
-A document is kept as leaves of some pre-tokens each under a segment tree of
-character and token sums. An edit finds its leaves by character position,
-splits text into pre-tokens again from one leaf before it until a boundary
-meets an old one behind the edit, and updates the sums above the leaves that
-changed. The pre-token pattern looks ahead only, so from a common boundary on
-nothing changes.
+A document is kept as pre-tokens in leaves of some each, under a segment tree of
+character and token sums. Edits are taken left to right in one pass over the new
+text. For an edit, pre-tokens are split again from one before the first that it
+touches until a boundary meets an old one behind the edit; only these are counted
+again, and the sums above their leaves follow. The pre-token pattern looks ahead
+only, and no further than the pre-token behind, so before the region and from a
+common boundary on nothing changes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -35,7 +37,7 @@ class Counter:
         from contrail.llm.packing import _encoder
 
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.encode = _encoder(path or public_tokenizers.path("byte_bpe_50k.json")).encode_ordinary
+        self.encode = _encoder(path or public_tokenizers.path("byte_bpe_50k.json"))
         self.known: dict[str, int] = {}
 
     def counts(self, pieces: list[str]) -> list[int]:
@@ -68,19 +70,6 @@ class Tree:
     def chars(self) -> int:
         return int(self.levels[-1][0, 0])
 
-    def find(self, at: int) -> tuple[int, int]:
-        """(leaf, its first character) of the leaf that holds character ``at`` (the last one, at the end)."""
-        if at >= self.chars:
-            at = max(0, self.chars - 1)
-        node = before = 0
-        for level in reversed(self.levels[:-1]):
-            node *= 2
-            left = int(level[node, 0])
-            if at - before >= left:
-                before += left
-                node += 1
-        return min(node, self.n - 1), before
-
     def put(self, leaf: int, chars: int, tokens: int) -> int:
         """Change a leaf; gives the number of sums touched."""
         change = np.array([chars, tokens]) - self.levels[0][leaf]
@@ -91,50 +80,81 @@ class Tree:
 
 
 class Document:
-    """A text with its tree; ``counted`` tells how many pre-tokens were encoded."""
+    """A text with its tree; ``counted`` tells how many pre-tokens were encoded, ``touched`` how many sums changed."""
 
     def __init__(self, text: str, counter: Counter):
         self.text, self.counter, self.touched = text, counter, 0
         pieces = counter.pattern.findall(text)
-        counts = counter.counts(pieces)
         self.counted = len(pieces)
-        sizes = [len(p) for p in pieces]
-        starts = range(0, len(pieces), LEAF)
-        self.tree = Tree([sum(sizes[i : i + LEAF]) for i in starts], [sum(counts[i : i + LEAF]) for i in starts])
+        self.ends = np.cumsum([len(p) for p in pieces], dtype=np.int64)
+        self.counts = np.array(counter.counts(pieces), dtype=np.int64)
+        self.leaf = np.arange(len(pieces)) // LEAF
+        self.tree = Tree(*self._sums())
+
+    def _sums(self, leaves: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        n = leaves or (int(self.leaf[-1]) + 1 if len(self.leaf) else 1)
+        sizes = np.diff(self.ends, prepend=0)
+        return tuple(np.bincount(self.leaf, x, n).astype(np.int64) for x in (sizes, self.counts))
 
     def edit(self, start: int, end: int, new: str) -> None:
         """Replace characters ``start`` to ``end``."""
-        tree, old_size = self.tree, len(self.text)
-        text = self.text[:start] + new + self.text[end:]
-        shift = len(text) - old_size
-        first, begin = tree.find(start)
-        # A leaf of context, since a pre-token may look past its end.
-        while first > 0:
-            first -= 1
-            begin -= int(tree.levels[0][first, 0])
-            if tree.levels[0][first, 0]:
-                break
-        last, last_begin = tree.find(end)
-        stop = last_begin + int(tree.levels[0][last, 0])  # in the old text
-        pieces, at = [], begin
-        for m in self.counter.pattern.finditer(text, begin):
-            pieces.append(m.group())
-            at = m.end()
-            if at - shift >= end:
-                while last < tree.n - 1 and stop < at - shift:
-                    last += 1
-                    stop += int(tree.levels[0][last, 0])
-                if stop == at - shift and stop > end:
-                    break
-        else:
-            last, at = tree.n - 1, len(text)
+        self.apply([(start, end, new)])
+
+    def apply(self, edits: list[tuple[int, int, str]]) -> None:
+        """Replace characters ``start`` to ``end`` by ``new`` for each of the edits, which go up and do not overlap."""
+        if not edits:
+            return
+        if any(b[0] < a[1] for a, b in pairwise(edits)):
+            raise ValueError("edits must go up and not overlap")
+        parts, at = [], 0
+        for start, end, new in edits:
+            parts += [self.text[at:start], new]
+            at = end
+        text = "".join([*parts, self.text[at:]])
+        starts = np.array([e[0] for e in edits])
+        # The first pre-token of each edit's region: one before the first that reaches the edit.
+        region = np.maximum(np.searchsorted(self.ends, starts, side="left") - 1, 0).tolist()
+        begin = [int(self.ends[t - 1]) if t else 0 for t in region]
+        made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        changed: set[int] = set()
+        shift = kept = i = 0
+        while i < len(edits):
+            first = max(region[i], kept)
+            made.append((self.ends[kept:first] + shift, self.counts[kept:first], self.leaf[kept:first]))
+            pieces, ends = [], []
+            delta, till, kept = shift + len(edits[i][2]) - edits[i][1] + edits[i][0], edits[i][1], len(self.ends)
+            place = (int(self.ends[first - 1]) if first else 0) + shift
+            i += 1
+            for m in self.counter.pattern.finditer(text, place):
+                pieces.append(m.group())
+                ends.append(m.end())
+                while i < len(edits) and m.end() - delta > begin[i]:  # the next edit's region is reached
+                    delta, till = delta + len(edits[i][2]) - edits[i][1] + edits[i][0], edits[i][1]
+                    i += 1
+                old = m.end() - delta
+                if old >= till:
+                    t = int(np.searchsorted(self.ends, old))
+                    if t < len(self.ends) and self.ends[t] == old:
+                        kept = t + 1
+                        break
+            else:
+                # The text ends here; an edit that is left has its region at the end.
+                for start, end, new in edits[i:]:
+                    delta += len(new) - end + start
+                i = len(edits)
+            self.counted += len(pieces)
+            low = int(self.leaf[min(first, len(self.leaf) - 1)]) if len(self.leaf) else 0
+            high = int(self.leaf[kept - 1]) if kept > first else low
+            changed.update(range(low, high + 1))
+            spots = low + np.arange(len(pieces)) * (high - low + 1) // max(1, len(pieces))
+            made.append((np.array(ends, dtype=np.int64), np.array(self.counter.counts(pieces), dtype=np.int64), spots))
+            shift = delta
+        made.append((self.ends[kept:] + shift, self.counts[kept:], self.leaf[kept:]))
         self.text = text
-        self.counted += len(pieces)
-        tokens = sum(self.counter.counts(pieces))
-        self.touched += tree.put(first, at - begin, tokens)
-        for leaf in range(first + 1, last + 1):
-            if tree.levels[0][leaf].any():
-                self.touched += tree.put(leaf, 0, 0)
+        self.ends, self.counts, self.leaf = (np.concatenate(x) for x in zip(*made, strict=True))
+        chars, tokens = self._sums(self.tree.n)
+        for leaf in sorted(changed):
+            self.touched += self.tree.put(leaf, int(chars[leaf]), int(tokens[leaf]))
 
 
 def count_edited(docs: DataFrame, pattern: str = PERSONAL, mask: str = MASK, tokenizer: str | None = None) -> DataFrame:
@@ -156,8 +176,7 @@ def count_edited(docs: DataFrame, pattern: str = PERSONAL, mask: str = MASK, tok
                 doc = Document(text or "", counter)
                 before, pieces = doc.tree.tokens, doc.counted
                 matches = list(find.finditer(text or ""))
-                for m in reversed(matches):  # earlier places stay as they are
-                    doc.edit(m.start(), m.end(), mask)
+                doc.apply([(m.start(), m.end(), mask) for m in matches])
                 rows.append((before, doc.tree.tokens, len(matches), pieces, doc.counted - pieces, doc.touched))
             names = ["tokens_before", "tokens_after", "edits", "pretokens", "reencoded", "sums"]
             yield pd.concat([b[["doc_id"]].reset_index(drop=True), pd.DataFrame(rows, columns=names, dtype="int64")], axis=1)

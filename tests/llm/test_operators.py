@@ -238,6 +238,27 @@ def test_counts_follow_edits():
             assert doc.tree.tokens == len(counter.encode(doc.text)) and doc.tree.chars == len(doc.text)
 
 
+def test_many_edits_stay_local():
+    counter, rnd = token_counts.Counter(), random.Random(6)
+    words = ["alpha", "be", "  gamma", "\n\n", "don't", "12", " ", "x@y.org", "é!"]
+    for edits in (1, 60, 1600):
+        text = " ".join(rnd.choice(words) for _ in range(6 * edits)) + " " + " filler word" * 50
+        for _ in range(1 if edits > 100 else 3):
+            at = sorted(rnd.sample(range(len(text)), 2 * edits))
+            cuts = [(a, min(b, a + 9), rnd.choice(["", "[masked]", " a b", "\n"])) for a, b in zip(at[::2], at[1::2], strict=True)]
+            doc = token_counts.Document(text, counter)
+            before = doc.counted
+            doc.apply(cuts)
+            want = list(text)
+            for a, b, new in reversed(cuts):
+                want[a:b] = new
+            assert doc.text == "".join(want)
+            assert doc.tree.tokens == len(counter.encode(doc.text)) == doc.counts.sum() and doc.tree.chars == len(doc.text)
+            assert [len(p) for p in counter.pattern.findall(doc.text)] == np.diff(doc.ends, prepend=0).tolist()
+            assert doc.counted - before <= edits * 3 * token_counts.LEAF
+            assert doc.counted - before <= 12 * edits
+
+
 def test_counts_query(docs, rows):
     got = token_counts.count_edited(docs).collect()
     assert len(got) == len(rows) and all(r.tokens_before == 0 for r in got if r.pretokens == 0)
