@@ -187,7 +187,11 @@ def list_entries(docs: DataFrame, ids: DataFrame, words: int, rule: Rule) -> Dat
 
 
 def coded_sets(docs: DataFrame, ids: DataFrame, words: int, rule: Rule) -> DataFrame:
-    """(sid, h1, n_shingles, ms, codes): all range codes of the sets of ``ids`` (sid, h1)."""
+    """(sid, h1, n_shingles, ms, codes, marks): all range codes of the sets of ``ids`` (sid, h1).
+
+    ``marks`` are 16 bits of each code. Pairs are weighed by them, since they move
+    with every pair; equal codes have equal marks, so no link is lost.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,11 +203,14 @@ def coded_sets(docs: DataFrame, ids: DataFrame, words: int, rule: Rule) -> DataF
                         pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                         pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.list_(pa.int32())),
                         pa.array([_signed(r[4]) for r in rows], pa.list_(pa.int64())),
+                        pa.array([(r[4] >> np.uint64(48)).astype("<u2").tobytes() for r in rows], pa.binary()),
                     ],
-                    names=["sid", "h1", "n_shingles", "ms", "codes"],
+                    names=["sid", "h1", "n_shingles", "ms", "codes", "marks"],
                 )
 
-    return _named_sets(docs, ids).mapInArrow(run, "sid long, h1 long, n_shingles int, ms array<int>, codes array<long>")
+    return _named_sets(docs, ids).mapInArrow(
+        run, "sid long, h1 long, n_shingles int, ms array<int>, codes array<long>, marks binary"
+    )
 
 
 def boundary(sizes: DataFrame, rule: Rule) -> int:
@@ -281,15 +288,15 @@ def _agreeing(rule: Rule, na: int, ms_a, codes_a, nb: int, ms_b, codes_b) -> int
 
 def _promising(pairs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
     """Pairs (a, b) whose ranges agree often enough for a link, with the surplus."""
-    cols = ["n_shingles", "ms", "codes"]
+    cols = ["n_shingles", "ms", "marks"]
     left = reps.select(F.col("sid").alias("a"), *[F.col(c).alias(f"{c}_a") for c in cols])
     right = reps.select(F.col("sid").alias("b"), *[F.col(c).alias(f"{c}_b") for c in cols])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             over = [
-                _agreeing(rule, *row)
-                for row in zip(x.n_shingles_a, x.ms_a, x.codes_a, x.n_shingles_b, x.ms_b, x.codes_b, strict=True)
+                _agreeing(rule, na, ma, np.frombuffer(a, "<u2"), nb, mb, np.frombuffer(b, "<u2"))
+                for na, ma, a, nb, mb, b in zip(x.n_shingles_a, x.ms_a, x.marks_a, x.n_shingles_b, x.ms_b, x.marks_b, strict=True)
             ]
             yield x[["a", "b"]].assign(over=over)
 
@@ -300,20 +307,29 @@ def _promising(pairs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
 def _verified(
     pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, rule: Rule, repeated: bool
 ) -> DataFrame:
-    """The pairs that link, by their exact sets; only texts that are needed move."""
-    ids = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    ids = store(ids.join(reps.select("sid", "h1"), "sid"), "needed")
+    """The pairs that link, by their exact sets.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo, hi, sets in _each_set(batch, words):
-                sid, h1 = (batch.column(c).slice(lo, hi - lo).to_pylist() for c in ("sid", "h1"))
-                rows = [(i, u.tobytes()) for i, h, u in zip(sid, h1, sets, strict=True) if len(u) and _hashes(u)[0] == h]
-                columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["sid", "elems"])
+    Both sets come straight from the texts: that of ``b`` once per pair, under
+    the name of ``a``, and that of ``a`` once, so one join brings them together.
+    """
+    pairs = store(pairs.select("a", "b"), "pairs")
+    hashes = reps.select("sid", "h1")
+    lefts = store(pairs.select(F.col("a").alias("sid")).distinct().join(hashes, "sid"), "needed")
+    rights = store(pairs.select(F.col("b").alias("sid"), "a").join(hashes, "sid"), "needed")
+
+    def sets_of(ids: DataFrame, *names: str) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lo, hi, sets in _each_set(batch, words):
+                    h1 = batch.column("h1").slice(lo, hi - lo).to_pylist()
+                    keep = np.array([len(u) > 0 and _hashes(u)[0] == h for u, h in zip(sets, h1, strict=True)], dtype=bool)
+                    columns = [batch.column(n).slice(lo, hi - lo).filter(pa.array(keep)) for n in names]
+                    elems = pa.array([u.tobytes() for u, k in zip(sets, keep, strict=True) if k], pa.binary())
+                    yield pa.RecordBatch.from_arrays([*columns, elems], names=[*names, "elems"])
+
+        found = _named_sets(docs, ids).mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", elems binary")
+        return found.dropDuplicates([*names]) if repeated else found
 
-    sets = _named_sets(docs, ids).mapInArrow(run, "sid long, elems binary")
-    sets = store(sets.dropDuplicates(["sid"]) if repeated else sets, "sets")
     p, q = rule.p, rule.q
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -325,12 +341,9 @@ def _verified(
                 good.append(q * both >= p * (len(a) + len(b) - both))
             yield x.loc[good, ["a", "b"]]
 
-    return (
-        pairs.select("a", "b")
-        .join(sets.select(F.col("sid").alias("a"), F.col("elems").alias("ea")), "a")
-        .join(sets.select(F.col("sid").alias("b"), F.col("elems").alias("eb")), "b")
-        .mapInPandas(check, "a long, b long").distinct()
-    )
+    left = sets_of(lefts, "sid").select(F.col("sid").alias("a"), F.col("elems").alias("ea"))
+    right = sets_of(rights, "sid", "a").select("a", F.col("sid").alias("b"), F.col("elems").alias("eb"))
+    return right.join(left, "a").mapInPandas(check, "a long, b long").distinct()
 
 
 def _apart(lists: DataFrame, at: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
