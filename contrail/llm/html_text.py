@@ -36,6 +36,7 @@ COPY_PART, COPY_OF = 2, 3  # share of both pages' windows that makes them copies
 PLATE_SHARE = 0.5  # share of a host's pages whose articles have a run that goes from articles
 PLATE_LEAST = 3  # and how many pages that are at least
 PART_BYTES = 2 << 20  # html of a host that is laid end to end
+SLICE_CHARS = 2 << 20  # text that a task lays end to end when it hashes windows
 BROADCAST_HOSTS = 1_000_000  # most hosts whose part counts are sent to all executors
 
 NAMED, LOOSE, CORE, MAIN = 0, 1, 2, 3  # MAIN is only known while a page is read
@@ -319,23 +320,49 @@ def _hash(word: str) -> int:
     return int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
-def windows(host: str, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, begins, blocks): of a host and the runs of ``RUN`` tokens of each block, or all of it if it has fewer.
+def windows(hosts: Sequence[str], texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, begins, blocks, ends) of blocks laid end to end; ``hosts`` names the host of each.
 
-    ``begins`` counts the tokens of the blocks laid end to end.
+    A hash is of a host and a run of ``RUN`` tokens, or of all of a block that
+    has fewer. ``begins`` counts tokens, ``ends`` tells where each block ends.
     """
     words = [text.split(" ") for text in texts]
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
-    tokens = np.array([_hash(w) for ws in words for w in ws], dtype=np.uint64)
+    ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+    sizes = np.diff(ends, prepend=0)
+    tokens = np.fromiter((_hash(w) for ws in words for w in ws), dtype=np.uint64, count=int(ends[-1]) if len(ends) else 0)
+    if not len(tokens):
+        none = np.zeros(0, np.int64)
+        return none, none, none, ends
     block = np.repeat(np.arange(len(words)), sizes)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(tokens))
+    left = ends[block] - np.arange(len(tokens))
     begins = np.flatnonzero((left >= RUN) | ((left == sizes[block]) & (left < RUN)))
     held = np.minimum(left[begins], RUN)
-    out = mix(np.uint64(_hash(host)) + held.astype(np.uint64))
+    out = mix(np.array([_hash(h) for h in hosts], dtype=np.uint64)[block[begins]] + held.astype(np.uint64))
     for j in range(RUN):
-        on = held > j
-        out = np.where(on, mix(out + tokens[np.minimum(begins + j, len(tokens) - 1)]), out) if len(out) else out
-    return out.view(np.int64), begins, block[begins]
+        out = np.where(held > j, mix(out + tokens[np.minimum(begins + j, len(tokens) - 1)]), out)
+    return out.view(np.int64), begins, block[begins], ends
+
+
+def _slices(pages: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows of a batch whose texts are about ``SLICE_CHARS`` long together (a longer page stands alone)."""
+    sizes = np.cumsum([sum(map(len, texts)) for texts in pages["blocks"]], dtype=np.int64)
+    lo = 0
+    while lo < len(pages):
+        before = sizes[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(sizes, before + SLICE_CHARS, side="right")))
+        yield pages.iloc[lo:hi]
+        lo = hi
+
+
+def _laid(pages: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """``windows`` of the blocks of all pages, and each block's page (by place), kind and whether it is of the main text."""
+    count = [len(k) for k in pages["kinds"]]
+    at = np.repeat(np.arange(len(pages)), count)
+    kinds = np.array([k for ks in pages["kinds"] for k in ks], dtype=np.int64)
+    whole = np.full(len(pages), LOOSE)
+    whole[at[kinds == CORE]] = CORE
+    found = windows([h for h, n in zip(pages["host"], count, strict=True) for _ in range(n)], [t for ts in pages["blocks"] for t in ts])
+    return (*found, at, kinds, kinds == whole[at])
 
 
 def _large(pages: DataFrame) -> DataFrame:
@@ -343,13 +370,21 @@ def _large(pages: DataFrame) -> DataFrame:
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for host, page, kinds, texts in zip(b["host"], b["page"], b["kinds"], b["blocks"], strict=True):
-                h, _, block = windows(host, texts)
-                main = (np.asarray(kinds) == (CORE if CORE in kinds else LOOSE))[block] if len(h) else np.zeros(0, bool)
-                of_main, has_core = np.unique(h[main]), CORE in kinds
-                for hashes, is_main in ((of_main, True), (np.setdiff1d(h, of_main), False)):
-                    if len(hashes):
-                        yield pd.DataFrame({"h": hashes, "page": page, "main": is_main, "core": is_main and has_core, "n": len(of_main)})
+            for part in _slices(b):
+                h, _, block, _, at, kinds, of_main = _laid(part)
+                if not len(h):
+                    continue
+                # One row per page and window, main if any of its places is.
+                page = at[block]
+                order = np.lexsort((~of_main[block], h, page))
+                h, page, main = h[order], page[order], of_main[block][order]
+                new = np.r_[True, (h[1:] != h[:-1]) | (page[1:] != page[:-1])]
+                h, page, main = h[new], page[new], main[new]
+                has_core = np.bincount(at[kinds == CORE], minlength=len(part)) > 0
+                n = np.bincount(page[main], minlength=len(part)).astype(np.int32)
+                yield pd.DataFrame(
+                    {"h": h, "page": part["page"].to_numpy()[page], "main": main, "core": main & has_core[page], "n": n[page]}
+                )
 
     # All pages of a window meet once, and windows of a single page go no further.
     held = pages.mapInPandas(emit, "h long, page long, main boolean, core boolean, n int").repartition("h")
@@ -387,21 +422,28 @@ def _large(pages: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for host, kinds, texts, plates, core in zip(b["host"], b["kinds"], b["blocks"], b["plates"], b["core_plates"], strict=True):
-                known, cores = (np.array([] if x is None else x, dtype=np.int64) for x in (plates, core))
-                h, begins, block = windows(host, texts)
-                of_core = (np.asarray(kinds) == CORE)[block] if len(h) else np.zeros(0, bool)
-                hit = np.where(of_core, np.isin(h, cores), np.isin(h, known))
-                sizes = [text.count(" ") + 1 for text in texts]
-                short = np.array(sizes, dtype=np.int64) < RUN
-                runs = hit & ~short[block] if len(h) else hit
-                covered = _spread(begins[runs], sum(sizes), RUN)
-                plates_of = set(block[hit].tolist())
-                ends = np.cumsum(sizes).tolist()
-                marks = [(covered[e - n : e], n < RUN and i in plates_of) for i, (e, n) in enumerate(zip(ends, sizes, strict=True))]
-                rows.append(_page_text(kinds, texts, marks))
-            yield _result(b, rows)
+            for part in _slices(b):
+                h, begins, block, ends, at, kinds, _ = _laid(part)
+                # Windows stand in the order of pages, so a page's are one range.
+                hit = np.zeros(len(h), dtype=bool)
+                bounds = np.searchsorted(at[block], np.arange(len(part) + 1))
+                of_core = (kinds == CORE)[block]
+                for lo, hi, plates, core in zip(bounds[:-1], bounds[1:], part["plates"], part["core_plates"], strict=True):
+                    known, cores = (np.array([] if x is None else x, dtype=np.int64) for x in (plates, core))
+                    if len(known):
+                        hit[lo:hi] = np.isin(h[lo:hi], known) & ~of_core[lo:hi]
+                    if len(cores):
+                        hit[lo:hi] |= np.isin(h[lo:hi], cores) & of_core[lo:hi]
+                sizes = np.diff(ends, prepend=0)
+                covered = _spread(begins[hit & (sizes[block] >= RUN)], int(ends[-1]) if len(ends) else 0, RUN)
+                plate = np.bincount(block[hit], minlength=len(sizes)) > 0
+                marks = [(covered[e - n : e], bool(n < RUN and p)) for e, n, p in zip(ends.tolist(), sizes.tolist(), plate, strict=True)]
+                first = np.searchsorted(at, np.arange(len(part) + 1))
+                rows = [
+                    _page_text(k, t, marks[lo:hi])
+                    for k, t, lo, hi in zip(part["kinds"], part["blocks"], first[:-1], first[1:], strict=True)
+                ]
+                yield _result(part, rows)
 
     return pages.join(plates, "page", "left").select("page_id", "url", "host", "kinds", "blocks", "plates", "core_plates").mapInPandas(cut, RESULT)
 
