@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from contrail.llm.scratch import store
 
 BUCKET_BYTES = 16 << 20  # of records, as they lie in memory
+PARTITIONS = 50_000  # most tasks of the scatter; a task takes its buckets one after the other
 
 
 def shard_of(key: Column, shards: int, seed: int) -> Column:
@@ -31,7 +32,7 @@ def shard_of(key: Column, shards: int, seed: int) -> Column:
 
 def shard_rows(
     docs: DataFrame, shards: int, key: str = "doc_id", size: str = "size", seed: int = 8,
-    bucket_bytes: int = BUCKET_BYTES, number: Sequence[str] = (),
+    bucket_bytes: int = BUCKET_BYTES, number: Sequence[str] = (), partitions: int = PARTITIONS,
 ) -> DataFrame:
     """All columns of ``docs`` plus ``shard``, ``slot`` and ``grown_shard``.
 
@@ -55,7 +56,7 @@ def shard_rows(
     held = docs.withColumn("_shard", best["shard"])
     bytes_of = dict(held.groupBy("_shard").agg(F.sum(F.coalesce(F.col(size), F.lit(0)) + 64).cast("long")).collect())
     buckets = [max(1, -(-bytes_of.get(i, 0) // bucket_bytes)) for i in range(shards)]
-    # Cells count the buckets of all shards in order; each is a partition of its own.
+    # Cells count the buckets of all shards in order.
     firsts = [sum(buckets[:i]) for i in range(shards)]
     of_shard = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("_shard") + 1)
     spread = F.pmod(F.xxhash64(F.lit(seed + 1), *number), of_shard(buckets))
@@ -64,12 +65,17 @@ def shard_rows(
     before = Window.partitionBy("_shard").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         held.groupBy("_shard", "_cell").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n", "_shard")
+        .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     )
-    scattered = held.withColumn("_grown", grown["shard"]).repartitionById(sum(buckets), F.col("_cell"))
-    rows = F.sort_array(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 2), *number).alias("_h"), *number, *kept, "_grown")))
+    # A bucket's start travels to its task with the records, so neither side is sent to all executors.
+    record = F.struct(F.xxhash64(F.lit(seed + 2), *number).alias("_h"), *number, *kept, grown["shard"].alias("_grown"))
+    records = held.select("_shard", "_cell", F.lit(None).cast("long").alias("_start"), record.alias("_record"))
+    tasks = min(sum(buckets), partitions)
+    scattered = records.unionByName(starts, allowMissingColumns=True).withColumn("_task", F.pmod("_cell", F.lit(tasks))).repartitionById(tasks, F.col("_task"))
     # Nothing is exchanged after the permutation, so a task that runs again replaces it whole.
-    held = scattered.groupBy("_cell").agg(F.first("_shard").alias("_shard"), rows.alias("_rows")).join(F.broadcast(starts), "_cell")
+    held = scattered.groupBy("_task", "_cell").agg(
+        F.first("_shard").alias("_shard"), F.max("_start").alias("_start"), F.sort_array(F.collect_list("_record")).alias("_rows")
+    )
     out = held.select("_shard", "_start", F.posexplode(F.shuffle("_rows", F.lit(seed))).alias("_pos", "_r"))
     return out.select(
         *[F.col("_r")[c].alias(c) for c in kept],
