@@ -2,8 +2,9 @@
 
 A word's probability in a language is the sum over all its segmentations into
 pieces of the product of the piece probabilities, by a forward pass over its
-bytes. Piece probabilities are estimated by expectation-maximisation
-(forward-backward) on words of labelled texts. A text's words are independent,
+bytes, whole words of any length included: prefixes of long words are scaled as
+they shrink. Piece probabilities are estimated by expectation-maximisation
+(forward-backward) on words of labelled texts; longer words are learned from in parts. A text's words are independent,
 so its evidence is the sum of its words' log-probabilities.
 """
 
@@ -21,9 +22,9 @@ from pyspark.sql.window import Window
 from contrail.llm import textbytes as tb
 
 SAMPLE = 300  # most labelled documents of a language that its model is fitted on
-LANGUAGES = 200  # most languages, the most frequent ones first
-LONGEST_PIECE = 10  # bytes
-LONGEST_WORD = 28  # bytes with the leading blank; longer words are cut there
+LEARNED = 40  # bytes with the leading blank of the words that a model is fitted on; longer ones are learned in parts
+SHORT = 28  # bytes with the leading blank of words whose probability needs no scaling
+STEPS = 1024  # bytes of a long word whose pieces are looked up at a time
 ROUNDS = 3
 SMOOTH = 0.05
 KNOWN = 150_000  # words whose probabilities a task remembers
@@ -39,6 +40,7 @@ class Vocabulary:
 
     hashes: np.ndarray
     bitmap: np.ndarray
+    longest: int  # bytes of the longest piece
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Number of each hash's piece; the number of pieces where there is none."""
@@ -77,19 +79,19 @@ def vocabulary(path: str | None = None) -> Vocabulary:
     for token in tokens:
         low = token.lower()
         word = low[1:] if low.startswith(b" ") else low
-        if 0 < len(low) <= LONGEST_PIECE and word and all(tb.LETTERS[x] for x in word):
+        if word and all(tb.LETTERS[x] for x in word):
             pieces.add(low)
     hashes = np.unique(np.array([_string_hash(p) for p in pieces], dtype=np.uint64))
     bitmap = np.zeros(1 << _FILTER_BITS, dtype=bool)
     bitmap[hashes >> np.uint64(64 - _FILTER_BITS)] = True
-    return Vocabulary(hashes, bitmap)
+    return Vocabulary(hashes, bitmap, max(map(len, pieces)))
 
 
 def _segments(matrix: np.ndarray, vocab: Vocabulary) -> list[np.ndarray]:
     """For each piece length l, the piece numbers at every start: (words, n - l + 1)."""
     value = tb._BYTES[matrix]
     out, h = [], np.zeros_like(value)
-    for size in range(1, min(LONGEST_PIECE, matrix.shape[1]) + 1):
+    for size in range(1, min(vocab.longest, matrix.shape[1]) + 1):
         starts = matrix.shape[1] - size + 1
         h = h[:, :starts] * np.uint64(_K) + value[:, size - 1 : size - 1 + starts]
         out.append(vocab.find(tb.mix(h ^ np.uint64(size << 56))))
@@ -122,8 +124,8 @@ def _backward(segments: list[np.ndarray], pieces: np.ndarray, n: int) -> np.ndar
 
 
 def _cut(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words cut to LONGEST_WORD - 1 bytes: starts and ends, word by word in order."""
-    most = LONGEST_WORD - 1
+    """Words cut to LEARNED - 1 bytes: starts and ends, word by word in order."""
+    most = LEARNED - 1
     times = -(-(ends - starts) // most)
     begin = np.repeat(starts, times)
     nth = np.arange(len(begin)) - np.repeat(np.cumsum(times) - times, times)
@@ -131,16 +133,63 @@ def _cut(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, np.minimum(begin + most, np.repeat(ends, times))
 
 
+def _forward_scaled(matrix: np.ndarray, sizes: np.ndarray, vocab: Vocabulary, pieces: np.ndarray) -> np.ndarray:
+    """log P of words of any length: of the first ``sizes`` bytes of each row of ``matrix``.
+
+    Only the prefixes that a piece can still begin at are kept; every few bytes
+    they are divided by the largest of them, and the logarithm is remembered.
+    """
+    words, n = matrix.shape
+    longest, none = min(vocab.longest, n), len(pieces) - 1
+    recent = np.zeros((longest, words, pieces.shape[1]))  # probabilities of the last prefixes, the newest first
+    recent[0] = 1
+    scale, out = np.zeros(recent.shape[1:]), np.zeros(recent.shape[1:])
+    step = max(1, STEPS // words)
+    for lo in range(0, n, step):
+        hi = min(lo + step, n)
+        first = max(0, lo + 1 - longest)
+        by_end = np.full((hi - lo, longest, words), none, dtype=np.int32)
+        for size, found in enumerate(_segments(matrix[:, first:hi], vocab), 1):
+            at = max(0, lo + 1 - size)
+            if at + size <= hi:
+                by_end[at + size - lo - 1 :, size - 1] = found[:, at - first :].T
+        for end in range(lo + 1, hi + 1):
+            newest = (recent * pieces[by_end[end - lo - 1]]).sum(axis=0)
+            recent[1:] = recent[:-1].copy()
+            recent[0] = newest
+            done = np.flatnonzero(sizes == end)
+            out[done] = np.log(newest[done]) + scale[done]
+            if end % 8 == 0:
+                peak = recent.max(axis=0)
+                recent /= peak
+                scale += np.log(peak)
+    return out
+
+
 def _log_probabilities(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, vocab: Vocabulary, pieces: np.ndarray) -> np.ndarray:
-    """log P of words (at most LONGEST_WORD - 1 bytes), a column for each language."""
+    """log P of whole words, a column for each language."""
     out = np.zeros((len(starts), pieces.shape[1]))
     sizes = ends - starts
-    for size in np.unique(sizes):
+    for size in np.unique(sizes[sizes < SHORT]):
         who = np.flatnonzero(sizes == size)
         for some in np.array_split(who, max(1, len(who) // 4000)):
             matrix = np.full((len(some), size + 1), 0x20, dtype=np.uint8)
             matrix[:, 1:] = tb.LOWER[data[starts[some][:, None] + np.arange(size)]]
             out[some] = np.log(_forward(_segments(matrix, vocab), pieces, int(size) + 1)[-1] + 1e-300)
+    # Long words go with others of nearly their length; what stands behind a word's end does not count.
+    long = np.flatnonzero(sizes >= SHORT)
+    long = long[np.argsort(sizes[long], kind="stable")]
+    lo = 0
+    while lo < len(long):
+        most = max(SHORT, int(sizes[long[lo]]) * 5 // 4)
+        some = long[lo : lo + 64]
+        some = some[sizes[some] <= most]
+        width = int(sizes[some[-1]])
+        matrix = np.full((len(some), width + 1), 0x20, dtype=np.uint8)
+        for row, i in enumerate(some.tolist()):
+            matrix[row, 1 : 1 + sizes[i]] = tb.LOWER[data[starts[i] : ends[i]]]
+        out[some] = _forward_scaled(matrix, sizes[some] + 1, vocab, pieces)
+        lo += len(some)
     return out
 
 
@@ -148,21 +197,27 @@ def _has_letter(raw: bytes) -> bool:
     return any(c.isalpha() for c in raw.decode("utf-8", "ignore"))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> Model:
-    """Fit on at most ``sample`` texts of each non-null ``lang`` (by hash of doc_id)."""
+def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
+    """Fit on at most ``sample`` texts of each non-null ``lang`` (by hash of doc_id).
+
+    Every label is a language of the model, which holds a number for each of
+    them and each piece. Of rows that share a doc_id and a label the least text
+    is read. Rows without a label or id are not learned from; without any, the
+    model knows no language.
+    """
     known = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", F.col("lang").cast("string").alias("lang"))
-    counts = sorted(
-        known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect(),
-        key=lambda r: r["lang"],
-    )
+    counts = sorted(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r["lang"])
     names = [r["lang"] for r in counts]
     vocab = vocabulary()
     if not names:
         return Model([], np.zeros(0), np.zeros((len(vocab.hashes) + 1, 0)))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.filter(F.col("lang").isin(names)).withColumn("r", F.row_number().over(first)).filter(F.col("r") <= sample)
-    # At most languages * sample ids.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "lang").distinct()), "doc_id")
+    chosen = known.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= sample)
+    # At most languages * sample ids, and one text of each.
+    texts = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).join(
+        F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"]
+    )
+    texts = texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,11 +300,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     log[old] = values[spot[old]]
                     new = np.flatnonzero(~old)
                     if len(new):
-                        s, e = _cut(starts[one[new]], ends[one[new]])
-                        owner = np.repeat(np.arange(len(new)), -(-(ends[one[new]] - starts[one[new]]) // (LONGEST_WORD - 1)))
-                        summed = np.zeros((len(new), len(prior)))
-                        np.add.at(summed, owner, _log_probabilities(part, s, e, vocab, pieces))
-                        log[new] = summed
+                        log[new] = _log_probabilities(part, starts[one[new]], ends[one[new]], vocab, pieces)
                         if len(known) + len(new) > KNOWN:
                             known, values = distinct, log
                         else:

@@ -357,6 +357,42 @@ def test_language_forward_sums_all_segmentations():
     assert np.allclose(np.exp(got), total(b" there"))
 
 
+def _log_total(word: bytes, vocab, pieces) -> np.ndarray:
+    """log of the sum over all segmentations, prefix by prefix in logarithms."""
+    at = [np.zeros(pieces.shape[1])]
+    for end in range(1, len(word) + 1):
+        some = []
+        for start in range(max(0, end - vocab.longest), end):
+            number = vocab.find(np.array([language_id._string_hash(word[start:end])], dtype=np.uint64))[0]
+            if number < len(vocab.hashes):
+                some.append(at[start] + np.log(pieces[number]))
+        at.append(np.logaddexp.reduce(some))
+    return at[-1]
+
+
+def test_long_words_count_whole():
+    vocab = language_id.vocabulary()
+    pieces = np.random.default_rng(3).random((len(vocab.hashes) + 1, 3)) * 1e-4 + 1e-9
+    pieces[-1] = 0
+    assert vocab.longest > 20
+    rnd = random.Random(5)
+    words = [b"internationalisation" * k for k in (1, 2, 5)] + [bytes(rnd.choice(b"etaoinsh") for _ in range(n)) for n in (26, 27, 28, 29, 33, 90, 300)]
+    words += ["漢字仮名".encode() * 20]
+    data = np.frombuffer(b".".join(words), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = ends - [len(w) for w in words]
+    got = language_id._log_probabilities(data, starts, ends, vocab, pieces)
+    want = np.array([_log_total(b" " + w, vocab, pieces) for w in words])
+    assert np.allclose(got, want, rtol=1e-9)
+
+
+def test_every_label_is_learned(spark):
+    texts = {f"l{i:03d}": " ".join(chr(97 + (i * 7 + j * j) % 26) * 2 + chr(97 + i % 26) * 3 for j in range(8)) for i in range(230)}
+    df = spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(texts.items())] + [(0, None, "l000")], "doc_id long, text string, lang string")
+    model = language_id.fit(df)
+    assert model.languages == sorted(texts) and model.pieces.shape[1] == 230
+
+
 def test_languages_and_odd_texts(spark):
     en, de = "the cat and the house of this man with that thing", "der hund und das haus von diesem mann mit einer sache"
     data = [(i, (en, de)[i % 2], ("en", "de")[i % 2], "s") for i in range(20)]
