@@ -329,10 +329,11 @@ def windows(hosts: Sequence[str], texts: Sequence[str]) -> tuple[np.ndarray, np.
     words = [text.split(" ") for text in texts]
     ends = np.cumsum([len(w) for w in words], dtype=np.int64)
     sizes = np.diff(ends, prepend=0)
-    tokens = np.fromiter((_hash(w) for ws in words for w in ws), dtype=np.uint64, count=int(ends[-1]) if len(ends) else 0)
-    if not len(tokens):
+    if not len(words):
         none = np.zeros(0, np.int64)
         return none, none, none, ends
+    codes, distinct = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
+    tokens = np.array([_hash(w) for w in distinct], dtype=np.uint64)[codes]
     block = np.repeat(np.arange(len(words)), sizes)
     left = ends[block] - np.arange(len(tokens))
     begins = np.flatnonzero((left >= RUN) | ((left == sizes[block]) & (left < RUN)))
