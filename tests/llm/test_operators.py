@@ -170,6 +170,13 @@ def test_shards_are_gapless_and_grow(docs, rows):
     for s in {r.shard for r in got}:
         assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
     assert all(r.grown_shard in (r.shard, 5) for r in got)
+    # Several buckets a task: the same shards and slots.
+    few = sharding.shard_rows(df, 5, bucket_bytes=4000, partitions=2)
+    assert few.rdd.getNumPartitions() <= 2
+    key = lambda r: (str(r.doc_id), r.text or "", r.shard)
+    few = few.collect()
+    assert sorted(map(key, few)) == sorted(map(key, got))
+    assert sorted((r.shard, r.slot) for r in few) == sorted((r.shard, r.slot) for r in got)
     six = {r.doc_id: r.shard for r in sharding.shard_rows(df, 6).collect()}
     assert all(six[r.doc_id] == r.grown_shard for r in got)
 
