@@ -694,6 +694,11 @@ def stream_presence(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(found.schema).parquet(out).filter("hex <> 'heartbeat'")
 
 
+def _land(docs: DataFrame, landing: str) -> None:
+    """Append documents below ``region=/day=``; a day is dealt evenly over tasks, each of which names its files alike in all regions."""
+    docs.hint("rebalance", "day").write.mode("append").partitionBy("region", "day").text(landing)
+
+
 def ingest_new_rounds(spark: SparkSession, sf: str) -> DataFrame:
     """Three runs of the intake: half of the documents, nothing new, the rest with a malformed file.
 
@@ -708,7 +713,7 @@ def ingest_new_rounds(spark: SparkSession, sf: str) -> DataFrame:
     rest = docs.filter("NOT first").drop("first").unionByName(broken)
     for landed in (docs.filter("first").drop("first"), None, rest):
         if landed is not None:
-            landed.coalesce(1).write.mode("append").partitionBy("region", "day").text(landing)
+            _land(landed, landing)
         snapshots.ingest_stream(
             spark, landing, lake, checkpoint, "N", multi_line=False, pattern="*.txt", region_level=2, clock=lambda: AS_OF
         ).awaitTermination()
