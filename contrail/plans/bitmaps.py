@@ -18,6 +18,7 @@ from contrail import schemas
 from contrail.sources import parted
 
 SPREAD = 32  # hash buckets of the numbering
+WORD = 64  # numbers of a bitmap's block: one long, so a bucket with few keys costs a row for each and no more
 NUMBERS = schemas.struct("value STRING, num BIGINT")
 _SUMS = "total_flights on_ground airborne altitude_n altitude_sum speed_n speed_sum emergency_count".split()
 _PEAKS = ["max_altitude_ft", "max_speed_knots"]
@@ -26,7 +27,7 @@ TOTALS = schemas.struct(
     "altitude_n BIGINT, altitude_sum DOUBLE, speed_n BIGINT, speed_sum DOUBLE, emergency_count BIGINT, "
     "max_altitude_ft DOUBLE, max_speed_knots DOUBLE"
 )
-BITS = schemas.struct("bucket TIMESTAMP, region STRING, kind STRING, block BIGINT, bits BINARY")
+BITS = schemas.struct("bucket TIMESTAMP, region STRING, kind STRING, block BIGINT, bits BIGINT")
 
 
 def _kinds() -> dict[str, Column]:
@@ -90,22 +91,23 @@ def merge_totals(known: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def bits_of(batch: DataFrame, unit: str, numbers: dict[str, DataFrame]) -> DataFrame:
-    """Bitmaps of the numbers seen per bucket, region and kind, in blocks of 32,768 numbers."""
+    """Bitmaps of the numbers seen per bucket, region and kind, in blocks of ``WORD`` numbers."""
+    place = F.pmod("num", F.lit(WORD))
+    block = ((F.col("num") - place) / WORD).cast("bigint").alias("block")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place.cast("int"))
     out = None
     for kind, value in _kinds().items():
         seen = batch.select(F.date_trunc(unit, "ingested_at").alias("bucket"), "region", value.alias("value")).filter("value IS NOT NULL")
         # Distinct first: a map task sends a value once per bucket, however often it was seen.
         found = seen.distinct().join(numbers[kind], "value")
-        made = found.groupBy("bucket", "region", F.bitmap_bucket_number("num").alias("block")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("num")).alias("bits")
-        ).withColumn("kind", F.lit(kind)).select(*BITS.names)
+        made = found.groupBy("bucket", "region", block).agg(F.bit_or(bit).alias("bits")).withColumn("kind", F.lit(kind)).select(*BITS.names)
         out = made if out is None else out.unionByName(made)
     return out
 
 
 def merge_bits(known: DataFrame, rows: DataFrame) -> DataFrame:
     both = known.unionByName(rows).groupBy("bucket", "region", "kind", "block")
-    return both.agg(F.bitmap_or_agg("bits").alias("bits")).select(*BITS.names)
+    return both.agg(F.bit_or("bits").alias("bits")).select(*BITS.names)
 
 
 _NEEDED = "hex flight region ingested_at on_ground altitude_ft gs_knots is_emergency".split()
@@ -131,7 +133,7 @@ def fold(store: Store, batch: DataFrame, batch_id: int) -> None:
 def _measured(store: Store) -> DataFrame:
     """Totals and distinct counts in one pass: bitmaps add their size to the bucket's row."""
     totals = store.totals.read().withColumns({kind: F.lit(0).cast("bigint") for kind in _kinds()})
-    size = F.bitmap_count("bits")
+    size = F.bit_count("bits")
     sizes = {kind: F.when(F.col("kind") == kind, size).otherwise(F.lit(0)).cast("bigint") for kind in _kinds()}
     counts = store.bits.read().select("bucket", "region", *[c.alias(kind) for kind, c in sizes.items()])
     both = totals.unionByName(counts, allowMissingColumns=True).groupBy("bucket", "region")

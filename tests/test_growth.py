@@ -44,3 +44,19 @@ def test_a_day_of_documents_is_landed_by_several_tasks(spark, tmp_path):
     assert len(names["region=delhi"]) > 1
     assert names["region=delhi"] == names["region=mumbai"]
     assert spark.read.text(str(tmp_path / "landing")).count() == 4000
+
+
+def test_sparse_buckets_hold_words_and_hash(spark, tmp_path):
+    rows = [(f"k{i}", "AI1", "r", T0 + timedelta(minutes=i % 10), None, None, None, False) for i in range(300)]
+    batch = spark.createDataFrame(
+        rows, "hex string, flight string, region string, ingested_at timestamp, on_ground boolean, altitude_ft double, gs_knots double, is_emergency boolean"
+    )
+    store = bitmaps.Store(spark, str(tmp_path), "minute")
+    bitmaps.fold(store, batch, 0)
+    bits = store.bits.read()
+    # A bucket never holds more than one word for each value it has seen.
+    assert bits.groupBy("bucket", "kind").count().filter("count > 30").isEmpty()
+    assert bits.schema["bits"].dataType.simpleString() == "bigint"
+    assert sorted({r.unique_aircraft for r in bitmaps.minute_metrics(store).collect()}) == [30]
+    plan = bitmaps.merge_bits(bits, bits)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
