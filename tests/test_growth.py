@@ -60,3 +60,20 @@ def test_sparse_buckets_hold_words_and_hash(spark, tmp_path):
     assert sorted({r.unique_aircraft for r in bitmaps.minute_metrics(store).collect()}) == [30]
     plan = bitmaps.merge_bits(bits, bits)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_late_rules_share_the_first_batch(spark, tmp_path, monkeypatch):
+    ran = []
+    run = medallion.run_silver
+
+    def counted(lake, raw, batch_id, *args, **options):
+        ran.append((batch_id, options.get("late")))
+        return run(lake, raw, batch_id, *args, **options)
+
+    monkeypatch.setattr(medallion, "run_silver", counted)
+    got = {r.late: r for r in registry.lake_late_rows(spark, _events(spark, tmp_path)).collect()}
+    assert ran == [(0, None), (1, "drop"), (1, "keep"), (1, "quarantine")]
+    late = {r.late_rows for r in got.values()}
+    assert len(late) == 1 and late != {0}
+    assert got["drop"].clean_rows == got["quarantine"].clean_rows < got["keep"].clean_rows == 400
+    assert [got[n].quarantined for n in ("drop", "keep", "quarantine")] == [0, 0, late.pop()]
