@@ -382,6 +382,8 @@ def update_gold_local(lake: Lake, as_of: datetime) -> list[str]:
         return carry.write(table, merge(carry.known(table, schema), carry.batches(table, "clean_l", schemas.CLEAN_L)))
 
     def refreshed(table: str, unit: str, time: str, build) -> DataFrame:
+        if carry.before(table) == NO_VERSION:
+            return build(log)  # every bucket is new, so none has to be looked up
         known = carry.known(table, build(log).schema)
         return rollups.refresh_buckets(known, log, carry.batches(table, "clean_l", schemas.CLEAN_L), unit, time, build)
 

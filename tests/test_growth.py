@@ -77,3 +77,22 @@ def test_late_rules_share_the_first_batch(spark, tmp_path, monkeypatch):
     assert len(late) == 1 and late != {0}
     assert got["drop"].clean_rows == got["quarantine"].clean_rows < got["keep"].clean_rows == 400
     assert [got[n].quarantined for n in ("drop", "keep", "quarantine")] == [0, 0, late.pop()]
+
+
+def test_first_marts_look_up_no_buckets(spark, tmp_path, raw_l_rows, monkeypatch):
+    looked = []
+    refresh = rollups.refresh_buckets
+
+    def counted(known, clean, batch, unit, *args):
+        looked.append(unit)
+        return refresh(known, clean, batch, unit, *args)
+
+    monkeypatch.setattr(rollups, "refresh_buckets", counted)
+    lake = Lake(spark, str(tmp_path))
+    for batch, hexes in enumerate(("a", "b")):
+        raw = raw_l_rows({"hex": hexes, "_region": "r", "_ingested_at": T0 + timedelta(minutes=batch)})
+        medallion.run_silver_local(lake, raw, batch, T0)
+        medallion.update_gold_local(lake, T0)
+        assert looked == (["minute", "hour"] if batch else [])
+    assert lake.read_state("hourly_trend", schemas.struct("flight_count BIGINT")).first().flight_count == 2
+    assert lake.read_state("minute_metrics", schemas.struct("metric_time TIMESTAMP")).count() == 2
