@@ -15,8 +15,8 @@ copies cost one row. Then
   ranges: a set enters the lists of its first ``d + 1`` ranges with content. ``m``
   comes from the sizes of both, so a set serves every ``m`` its partners may have. Each list is
   first compared with its smallest member only. Members still apart after that
-  are compared with each other: short lists by a join, long ones block by block
-  inside tasks, which emit only pairs whose ranges agree often enough.
+  are compared with each other inside tasks, long lists block by block; only pairs
+  whose ranges agree often enough leave the task.
 
 Every candidate is verified on the exact sets. The boundary is the size that
 makes the rows of both sides cheapest, from the counts of the small sizes.
@@ -42,8 +42,10 @@ from contrail.llm.scratch import store
 
 SMALL = 64  # sizes for which both sides are priced
 VERIFY = 4.0  # price of a heavy set's verification, in list rows
-SHORT_LIST = 48  # longest list whose members are paired by a join
+SHORT_LIST = 48  # longest list whose members are all compared at once
+CELLS = 1 << 20  # marks of pairs that a task compares at a time
 BLOCK = 256  # rows of a block of a longer list
+NAMING = 4  # ranges whose long lists name a pair; 15 bits would have to agree by chance in all of them to lose one
 BROADCAST_IDS = 1_000_000  # most document ids sent to all executors
 
 SETS = "doc_id long, n_shingles int, h1 long, h2 long, small array<long>"
@@ -75,6 +77,11 @@ class Rule:
             m *= 2
         return m
 
+    def ranges_of(self, d: np.ndarray) -> np.ndarray:
+        """``ranges`` of many."""
+        values, at = np.unique(d, return_inverse=True)
+        return np.array([self.ranges(int(v)) for v in values], np.int64)[at]
+
     @lru_cache(maxsize=100_000)  # noqa: B019
     def grid(self, a: int) -> tuple[tuple[int, int], ...]:
         """(m, largest difference) for every ``m`` that a partner of a set of ``a`` may use."""
@@ -101,6 +108,7 @@ def range_codes(u: np.ndarray, rule: Rule) -> tuple[list[int], np.ndarray]:
     """The range codes of a sorted set, for every ``m``.
 
     A code is odd where the set enters the list of the range, and even elsewhere.
+    The next five bits of it are the logarithm of ``m``.
     """
     spread = tb.mix(u ^ np.uint64(0x5851F42D4C957F2D))
     sums = np.zeros(len(u) + 1, dtype=np.uint64)
@@ -112,7 +120,8 @@ def range_codes(u: np.ndarray, rule: Rule) -> tuple[list[int], np.ndarray]:
         code = tb.mix(
             (sums[at[1:]] - sums[at[:-1]])
             ^ tb.mix(np.arange(m, dtype=np.uint64) + np.uint64(m << 32))
-        ) | np.uint64(1)
+        )
+        code = (code & ~np.uint64(63)) | np.uint64((m.bit_length() - 1) << 1 | 1)
         empty = at[1:] == at[:-1]
         if empty.sum() < m - d:  # an agreeing range with content is certain, among any d + 1 of them
             code[empty | (np.cumsum(~empty) > d + 1)] ^= np.uint64(1)
@@ -186,11 +195,17 @@ def list_entries(docs: DataFrame, ids: DataFrame, words: int, rule: Rule) -> Dat
     return _named_sets(docs, ids).mapInArrow(run, "sid long, code long")
 
 
+def _broad(codes: np.ndarray) -> np.ndarray:
+    """The upper 15 bits of codes, and below them whether the set enters the list."""
+    return ((codes >> np.uint64(48)) & np.uint64(0xFFFE) | codes & np.uint64(1)).astype("<u2")
+
+
 def coded_sets(docs: DataFrame, ids: DataFrame, words: int, rule: Rule) -> DataFrame:
-    """(sid, h1, n_shingles, ms, codes, marks): all range codes of the sets of ``ids`` (sid, h1).
+    """(sid, h1, n_shingles, ms, marks, broad): what moves of the range codes of the sets of ``ids`` (sid, h1).
 
-    ``marks`` are 16 bits of each code. Pairs are weighed by them, since they move
-    with every pair; equal codes have equal marks, so no link is lost.
+    ``marks`` are 8 bits of each code, by which pairs are weighed; equal codes have
+    equal marks, so no link is lost. ``broad`` has 15 bits of each, and whether the
+    set enters the list of the range.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,14 +217,14 @@ def coded_sets(docs: DataFrame, ids: DataFrame, words: int, rule: Rule) -> DataF
                     [
                         pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                         pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.list_(pa.int32())),
-                        pa.array([_signed(r[4]) for r in rows], pa.list_(pa.int64())),
-                        pa.array([(r[4] >> np.uint64(48)).astype("<u2").tobytes() for r in rows], pa.binary()),
+                        pa.array([(r[4] >> np.uint64(56)).astype(np.uint8).tobytes() for r in rows], pa.binary()),
+                        pa.array([_broad(r[4]).tobytes() for r in rows], pa.binary()),
                     ],
-                    names=["sid", "h1", "n_shingles", "ms", "codes", "marks"],
+                    names=["sid", "h1", "n_shingles", "ms", "marks", "broad"],
                 )
 
     return _named_sets(docs, ids).mapInArrow(
-        run, "sid long, h1 long, n_shingles int, ms array<int>, codes array<long>, marks binary"
+        run, "sid long, h1 long, n_shingles int, ms array<int>, marks binary, broad binary"
     )
 
 
@@ -266,7 +281,7 @@ def _light_links(reps: DataFrame, rule: Rule, limit: int) -> DataFrame:
     )
 
 
-def _agreeing(rule: Rule, na: int, ms_a, codes_a, nb: int, ms_b, codes_b) -> int:
+def _agreeing(rule: Rule, na: int, ms_a, marks_a, nb: int, ms_b, marks_b) -> int:
     """Ranges in which two sets agree beyond what a link needs; negative: no link."""
     lo, hi = rule.partners(na)
     if not lo <= nb <= hi:
@@ -274,11 +289,11 @@ def _agreeing(rule: Rule, na: int, ms_a, codes_a, nb: int, ms_b, codes_b) -> int
     d = rule.differ(na + nb)
     m = rule.ranges(d)
     views = []
-    for ms, codes in ((ms_a, codes_a), (ms_b, codes_b)):
+    for ms, marks in ((ms_a, marks_a), (ms_b, marks_b)):
         start = 0
         for x in ms:
             if x == m:
-                views.append(codes[start : start + m] | 1)
+                views.append(marks[start : start + m] | 1)
                 break
             start += x
     if len(views) < 2:
@@ -295,7 +310,7 @@ def _promising(pairs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             over = [
-                _agreeing(rule, na, ma, np.frombuffer(a, "<u2"), nb, mb, np.frombuffer(b, "<u2"))
+                _agreeing(rule, na, ma, np.frombuffer(a, np.uint8), nb, mb, np.frombuffer(b, np.uint8))
                 for na, ma, a, nb, mb, b in zip(x.n_shingles_a, x.ms_a, x.marks_a, x.n_shingles_b, x.ms_b, x.marks_b, strict=True)
             ]
             yield x[["a", "b"]].assign(over=over)
@@ -346,8 +361,65 @@ def _verified(
     return right.join(left, "a").mapInPandas(check, "a long, b long").distinct()
 
 
+def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows that come sorted by ``code``, in parts that end between lists."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        code = batch.column("code").to_numpy()
+        ends = np.flatnonzero(code != code[-1])
+        end = int(ends[-1]) + 1 if len(ends) else 0  # where the last list begins
+        before = held and held[-1].column("code")[-1].as_py() != code[0]
+        if end or before:
+            yield pa.Table.from_batches([*held, batch.slice(0, end)])
+            held = [batch.slice(end)]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _list_pairs(lists: pa.Table, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Members of the same list in different components whose marks agree often enough for a link, without the head's pairs."""
+    code, head, sid, comp, size = (lists.column(c).to_numpy() for c in ("code", "head", "sid", "component", "n_shingles"))
+    none = np.zeros(0, np.int64)
+    if not len(code):
+        return none, none
+    starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    counts = np.diff(np.r_[starts, len(code)])
+    sides = []
+    for k in np.unique(counts).tolist():
+        i, j = np.triu_indices(k, 1)
+        first = starts[counts == k][:, None]
+        sides.append(np.stack([(first + i).ravel(), (first + j).ravel()]))
+    x, y = np.concatenate(sides, axis=1)
+    size = size.astype(np.int64)
+    total, m = size[x] + size[y], np.int64(1) << ((code[x] >> 1) & 31)
+    d = total * (rule.q - rule.p) // (rule.q + rule.p)
+    ok = (comp[x] != comp[y]) & (sid[x] != sid[y]) & (sid[x] != head[x]) & (sid[y] != head[y])
+    ok &= rule.q * np.minimum(size[x], size[y]) >= rule.p * np.maximum(size[x], size[y])
+    ok[ok] = rule.ranges_of(d[ok]) == m[ok]
+    x, y, m, d = x[ok], y[ok], m[ok], d[ok]
+    found = [np.stack([none, none])]
+    marks = lists.column("marks").cast(pa.large_binary()).combine_chunks()
+    offsets, data = (np.frombuffer(b, t) for b, t in zip(marks.buffers()[1:], (np.int64, np.uint8), strict=True))
+    offsets = offsets[marks.offset :]
+    for n in np.unique(m).tolist():
+        of_m = np.flatnonzero(m == n)
+        step = max(1, CELLS // n)
+        for lo in range(0, len(of_m), step):
+            at = of_m[lo : lo + step]
+            cells = np.arange(n)
+            same = data[offsets[x[at]][:, None] + cells] == data[offsets[y[at]][:, None] + cells]
+            at = at[same.sum(axis=1) >= n - d[at]]
+            found.append(np.sort(np.stack([sid[x[at]], sid[y[at]]]), axis=0))
+    a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+    return a, b
+
+
 def _apart(lists: DataFrame, at: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs that share a list but no component, and are no list head's pairs."""
+    """Pairs that share a list but no component, agree often enough for a link, and are no list head's pairs."""
     at = at.select(F.col("node").alias("sid"), "component")
     rows = lists.join(at, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     mixed = (
@@ -356,56 +428,59 @@ def _apart(lists: DataFrame, at: DataFrame, reps: DataFrame, rule: Rule) -> Data
         .filter("lo <> hi")
     )
     rows = store(rows.join(mixed.select("code", "c"), "code"), "mixed")
-    few = rows.filter(F.col("c") <= SHORT_LIST)
-    x = few.select("code", "head", F.col("sid").alias("a"), F.col("component").alias("ca"))
-    y = few.select("code", F.col("sid").alias("b"), F.col("component").alias("cb"))
-    pairs = x.join(y, "code").filter("a < b AND ca <> cb AND a <> head").select("a", "b")
+    # A list is of one m, so its rows carry the marks of that m only.
+    m = F.expr("shiftleft(1, CAST(shiftright(code, 1) & 31 AS INT))")
+    few = rows.filter(F.col("c") <= SHORT_LIST).join(reps.select("sid", "n_shingles", "ms", "marks"), "sid")
+    few = (
+        few.withColumn("marks", F.substring("marks", m - F.col("ms")[0] + 1, m))
+        .select("code", "head", "sid", "component", "n_shingles", "marks")
+        .repartition("code").sortWithinPartitions("code")
+    )
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_lists(batches):
+            a, b = _list_pairs(part, rule)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    pairs = few.mapInArrow(weigh, "a long, b long")
 
     # Longer lists, cut to blocks; every pair of blocks is one task-sized group.
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("sid"), blocks).cast("int")
-    long = rows.filter(F.col("c") > SHORT_LIST).join(reps.select("sid", "n_shingles", "ms", "codes"), "sid")
+    long = rows.filter(F.col("c") > SHORT_LIST).join(reps.select("sid", "n_shingles", "ms", "broad"), "sid")
     long = (
-        long.withColumn("own", own)
+        long.withColumn("own", own).withColumn("broad", F.substring("broad", 2 * (m - F.col("ms")[0]) + 1, 2 * m))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
     )
 
     def compare(g: pd.DataFrame) -> pd.DataFrame:
         out = []
-        rows_ = list(zip(g.sid, g.component, g.own, g.n_shingles, g.ms, g.codes, strict=True))
-        i, j, head = int(g.i.iloc[0]), int(g.j.iloc[0]), g["head"].iloc[0]
-        own_code, last = g["code"].iloc[0], np.iinfo(np.int64).max
-        views: dict[int, list] = {}
-        for r in rows_:
-            start = 0
-            for m in r[4]:
-                views.setdefault(int(m), []).append((r[0], r[1], r[2], r[3], r[5][start : start + m]))
-                start += m
-        for m, group in views.items():
-            sid = np.array([r[0] for r in group])
-            comp = np.array([r[1] for r in group])
-            block = np.array([r[2] for r in group])
-            size = np.array([r[3] for r in group])
-            code = np.stack([r[4] for r in group])
-            for x_ in range(len(group)):
-                if block[x_] != i or sid[x_] == head:
-                    continue
-                d = (size + size[x_]) * (rule.q - rule.p) // (rule.q + rule.p)
-                ok = (block == j) & (comp != comp[x_]) & (sid != head) & ((sid > sid[x_]) | (i != j))
-                ok &= rule.q * np.minimum(size, size[x_]) >= rule.p * np.maximum(size, size[x_])
-                if ok.any():
-                    near = np.flatnonzero(ok)
-                    same = (code[near] | 1) == (code[x_] | 1)
-                    # Of all lists that a pair shares, only the one of the least code names it.
-                    least = np.where(same & (code[near] & code[x_] & 1 == 1), code[x_], last).min(axis=1)
-                    for y_ in near[(same.sum(axis=1) >= m - d[near]) & (least == own_code)]:
-                        a, b = sorted((int(sid[x_]), int(sid[y_])))
-                        out.append((a, b))
+        i, j, head, code = (int(g[c].iloc[0]) for c in ("i", "j", "head", "code"))
+        m, here = 1 << (code >> 1 & 31), _broad(np.array([code], np.int64).view(np.uint64))[0]
+        sid, comp, block, size = (g[c].to_numpy() for c in ("sid", "component", "own", "n_shingles"))
+        size = size.astype(np.int64)
+        broad = np.frombuffer(b"".join(g["broad"]), "<u2").reshape(len(g), m)
+        for x_ in range(len(g)):
+            if block[x_] != i or sid[x_] == head:
+                continue
+            d = (size + size[x_]) * (rule.q - rule.p) // (rule.q + rule.p)
+            ok = (block == j) & (comp != comp[x_]) & (sid != head) & ((sid > sid[x_]) | (i != j))
+            ok &= rule.q * np.minimum(size, size[x_]) >= rule.p * np.maximum(size, size[x_])
+            ok[ok] = rule.ranges_of(d[ok]) == m
+            if ok.any():
+                near = np.flatnonzero(ok)
+                same = (broad[near] | 1) == (broad[x_] | 1)
+                # Of all lists that a pair shares, only those of its first ranges name it.
+                both = same & (broad[near] & broad[x_] & 1 == 1)
+                named = (both & (both.cumsum(axis=1) <= NAMING) & (broad[x_] == here)).any(axis=1)
+                for y_ in near[(same.sum(axis=1) >= m - d[near]) & named]:
+                    a, b = sorted((int(sid[x_]), int(sid[y_])))
+                    out.append((a, b))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
     wide = (
-        long.select("code", "i", "j", "head", "sid", "component", "own", "n_shingles", "ms", "codes")
+        long.select("code", "i", "j", "head", "sid", "component", "own", "n_shingles", "broad")
         .groupBy("code", "i", "j").applyInPandas(compare, "a long, b long")
     )
     return pairs.unionByName(wide).distinct()
@@ -437,8 +512,10 @@ def similar_groups(docs: DataFrame, words: int = 5, p: int = 8, q: int = 10) ->
     heavy = classes.filter(F.floor(q * F.col("n_shingles") / p) > limit).select("sid", "h1")
     entries = list_entries(docs, heavy, words, rule)
     entries = entries.distinct() if repeated else entries
-    heads = entries.groupBy("code").agg(F.min("sid").alias("head"), F.count(F.lit(1)).alias("c"))
-    lists = store(entries.join(heads.filter("c > 1").select("code", "head"), "code"), "lists")
+    # All members of a list meet once; lists of a single member go no further.
+    both = Window.partitionBy("code")
+    entries = entries.withColumns({"head": F.min("sid").over(both), "_last": F.max("sid").over(both)})
+    lists = store(entries.filter("head <> _last").select("sid", "code", "head"), "lists")
     members = heavy.join(lists.select("sid").distinct(), "sid", "left_semi")
     reps = coded_sets(docs, members, words, rule)
     reps = store(reps.dropDuplicates(["sid"]) if repeated else reps, "members")
@@ -460,8 +537,7 @@ def similar_groups(docs: DataFrame, words: int = 5, p: int = 8, q: int = 10) ->
         .filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
         .join(first, ["a", "b"], "left_anti")
     )
-    rest = _promising(_apart(lists, at, reps, rule), reps, rule).select("a", "b")
-    rest = store(later.unionByName(rest).distinct(), "rest")
+    rest = store(later.unionByName(_apart(lists, at, reps, rule)).distinct(), "rest")
     more = store(_verified(rest, docs, reps, words, rule, repeated), "links")
     if not more.isEmpty():
         at = extended(at, more)
