@@ -315,7 +315,7 @@ def _result(pages: pd.DataFrame, rows: list[tuple[str, int]]) -> pd.DataFrame:
     )
 
 
-@lru_cache(maxsize=1 << 20)
+@lru_cache(maxsize=1 << 16)
 def _hash(word: str) -> int:
     return int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
@@ -344,9 +344,9 @@ def windows(hosts: Sequence[str], texts: Sequence[str]) -> tuple[np.ndarray, np.
     return out.view(np.int64), begins, block[begins], ends
 
 
-def _slices(pages: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Rows of a batch whose texts are about ``SLICE_CHARS`` long together (a longer page stands alone)."""
-    sizes = np.cumsum([sum(map(len, texts)) for texts in pages["blocks"]], dtype=np.int64)
+def _slices(pages: pd.DataFrame, chars: Sequence[int]) -> Iterator[pd.DataFrame]:
+    """Rows of a batch whose ``chars`` are about ``SLICE_CHARS`` together (a longer page stands alone)."""
+    sizes = np.cumsum(chars, dtype=np.int64)
     lo = 0
     while lo < len(pages):
         before = sizes[lo - 1] if lo else 0
@@ -355,6 +355,20 @@ def _slices(pages: pd.DataFrame) -> Iterator[pd.DataFrame]:
         lo = hi
 
 
+def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pages with the blocks of their html, a slice at a time."""
+    for b in batches:
+        for part in _slices(b, [len(x or "") for x in b["html"]]):
+            found = [blocks(x) for x in part["html"]]
+            yield part[["page_id", "url", "host", "page"]].assign(
+                kinds=[[k for k, _ in f] for f in found], blocks=[[t for _, t in f] for f in found]
+            )
+
+
+def _read(rows: DataFrame) -> DataFrame:
+    return rows.mapInPandas(_parsed, "page_id long, url string, host string, page long, kinds array<int>, blocks array<string>")
+
+
 def _laid(pages: pd.DataFrame) -> tuple[np.ndarray, ...]:
     """``windows`` of the blocks of all pages, and each block's page (by place), kind and whether it is of the main text."""
     count = [len(k) for k in pages["kinds"]]
@@ -366,29 +380,28 @@ def _laid(pages: pd.DataFrame) -> tuple[np.ndarray, ...]:
     return (*found, at, kinds, kinds == whole[at])
 
 
-def _large(pages: DataFrame) -> DataFrame:
+def _large(rows: DataFrame) -> DataFrame:
     """Main texts of hosts of any size: what ``_clean`` finds in memory, by joins over the hashes of windows."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for part in _slices(b):
-                h, _, block, _, at, kinds, of_main = _laid(part)
-                if not len(h):
-                    continue
-                # One row per page and window, main if any of its places is.
-                page = at[block]
-                order = np.lexsort((~of_main[block], h, page))
-                h, page, main = h[order], page[order], of_main[block][order]
-                new = np.r_[True, (h[1:] != h[:-1]) | (page[1:] != page[:-1])]
-                h, page, main = h[new], page[new], main[new]
-                has_core = np.bincount(at[kinds == CORE], minlength=len(part)) > 0
-                n = np.bincount(page[main], minlength=len(part)).astype(np.int32)
-                yield pd.DataFrame(
-                    {"h": h, "page": part["page"].to_numpy()[page], "main": main, "core": main & has_core[page], "n": n[page]}
-                )
+        for part in _parsed(batches):
+            h, _, block, _, at, kinds, of_main = _laid(part)
+            if not len(h):
+                continue
+            # One row per page and window, main if any of its places is.
+            page = at[block]
+            order = np.lexsort((~of_main[block], h, page))
+            h, page, main = h[order], page[order], of_main[block][order]
+            new = np.r_[True, (h[1:] != h[:-1]) | (page[1:] != page[:-1])]
+            h, page, main = h[new], page[new], main[new]
+            has_core = np.bincount(at[kinds == CORE], minlength=len(part)) > 0
+            n = np.bincount(page[main], minlength=len(part)).astype(np.int32)
+            yield pd.DataFrame(
+                {"h": h, "page": part["page"].to_numpy()[page], "main": main, "core": main & has_core[page], "n": n[page]}
+            )
 
     # All pages of a window meet once, and windows of a single page go no further.
-    held = pages.mapInPandas(emit, "h long, page long, main boolean, core boolean, n int").repartition("h")
+    held = rows.mapInPandas(emit, "h long, page long, main boolean, core boolean, n int").repartition("h")
     held = held.groupBy("h", "page").agg(F.max("main").alias("main"), F.max("core").alias("core"), F.max("n").alias("n"))
     both = Window.partitionBy("h")
     held = held.withColumns({"_a": F.min("page").over(both), "_b": F.max("page").over(both)})
@@ -408,7 +421,7 @@ def _large(pages: DataFrame) -> DataFrame:
     )
     groups = connected(edges.select(F.col("page").alias("a"), F.col("owner").alias("b")))
     of_group = groups.withColumnRenamed("node", "page")
-    hosts = pages.select("host", "page").distinct()
+    hosts = rows.select("host", "page").distinct()  # of the table, not of parsed pages
     total = hosts.join(of_group, "page", "left").groupBy("host").agg(F.count_distinct(F.coalesce("component", "page")).alias("groups"))
     need = F.greatest(F.lit(PLATE_LEAST), F.ceil(F.col("groups") * PLATE_SHARE)).alias("need")
     needs = hosts.join(total.select("host", need), "host").select("page", "need")
@@ -423,7 +436,7 @@ def _large(pages: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for part in _slices(b):
+            for part in _slices(b, [sum(map(len, texts)) for texts in b["blocks"]]):
                 h, begins, block, ends, at, kinds, _ = _laid(part)
                 # Windows stand in the order of pages, so a page's are one range.
                 hit = np.zeros(len(h), dtype=bool)
@@ -446,7 +459,7 @@ def _large(pages: DataFrame) -> DataFrame:
                 ]
                 yield _result(part, rows)
 
-    return pages.join(plates, "page", "left").select("page_id", "url", "host", "kinds", "blocks", "plates", "core_plates").mapInPandas(cut, RESULT)
+    return _read(rows).join(plates, "page", "left").select("page_id", "url", "host", "kinds", "blocks", "plates", "core_plates").mapInPandas(cut, RESULT)
 
 
 def main_text(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
@@ -470,16 +483,9 @@ def main_text(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     hosts, large = parts.agg(F.count(F.lit(1)), F.count_if(F.col("parts") > 1)).first()
     sent = F.broadcast if hosts <= BROADCAST_HOSTS else lambda x: x  # the html stays where it is read
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            found = [blocks(x) for x in b["html"]]
-            yield b[["page_id", "url", "host", "page"]].assign(
-                kinds=[[k for k, _ in f] for f in found], blocks=[[t for _, t in f] for f in found]
-            )
-
-    def read(which: Column) -> DataFrame:
-        dealt = rows.join(sent(parts.filter(which).select("host")), "host").select("page_id", "url", "html", "host", F.xxhash64("page_id", "url").alias("page"))
-        return dealt.mapInPandas(run, "page_id long, url string, host string, page long, kinds array<int>, blocks array<string>")
+    def dealt(which: Column) -> DataFrame:
+        found = rows.join(sent(parts.filter(which).select("host")), "host")
+        return found.select("page_id", "url", "html", "host", F.xxhash64("page_id", "url").alias("page"))
 
-    out = read(F.col("parts") <= 1).groupBy("host").applyInPandas(_clean, RESULT)
-    return out.unionByName(_large(read(F.col("parts") > 1))) if large else out
+    out = _read(dealt(F.col("parts") <= 1)).groupBy("host").applyInPandas(_clean, RESULT)
+    return out.unionByName(_large(dealt(F.col("parts") > 1))) if large else out
