@@ -319,6 +319,22 @@ def _promising(pairs: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
     return wide.mapInPandas(run, "a long, b long, over int").filter("over >= 0")
 
 
+def _exact_sets(docs: DataFrame, ids: DataFrame, words: int, repeated: bool, *names: str) -> DataFrame:
+    """``names`` of every row of ``ids`` (sid, h1, ...) and the sorted set of its text in bytes (``elems``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, sets in _each_set(batch, words):
+                h1 = batch.column("h1").slice(lo, hi - lo).to_pylist()
+                keep = np.array([len(u) > 0 and _hashes(u)[0] == h for u, h in zip(sets, h1, strict=True)], dtype=bool)
+                columns = [batch.column(n).slice(lo, hi - lo).filter(pa.array(keep)) for n in names]
+                elems = pa.array([u.tobytes() for u, k in zip(sets, keep, strict=True) if k], pa.binary())
+                yield pa.RecordBatch.from_arrays([*columns, elems], names=[*names, "elems"])
+
+    found = _named_sets(docs, ids).mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", elems binary")
+    return found.dropDuplicates([*names]) if repeated else found
+
+
 def _verified(
     pairs: DataFrame, docs: DataFrame, reps: DataFrame, words: int, rule: Rule, repeated: bool
 ) -> DataFrame:
@@ -332,19 +348,6 @@ def _verified(
     lefts = store(pairs.select(F.col("a").alias("sid")).distinct().join(hashes, "sid"), "needed")
     rights = store(pairs.select(F.col("b").alias("sid"), "a").join(hashes, "sid"), "needed")
 
-    def sets_of(ids: DataFrame, *names: str) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for lo, hi, sets in _each_set(batch, words):
-                    h1 = batch.column("h1").slice(lo, hi - lo).to_pylist()
-                    keep = np.array([len(u) > 0 and _hashes(u)[0] == h for u, h in zip(sets, h1, strict=True)], dtype=bool)
-                    columns = [batch.column(n).slice(lo, hi - lo).filter(pa.array(keep)) for n in names]
-                    elems = pa.array([u.tobytes() for u, k in zip(sets, keep, strict=True) if k], pa.binary())
-                    yield pa.RecordBatch.from_arrays([*columns, elems], names=[*names, "elems"])
-
-        found = _named_sets(docs, ids).mapInArrow(run, ", ".join(f"{n} long" for n in names) + ", elems binary")
-        return found.dropDuplicates([*names]) if repeated else found
-
     p, q = rule.p, rule.q
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -356,8 +359,8 @@ def _verified(
                 good.append(q * both >= p * (len(a) + len(b) - both))
             yield x.loc[good, ["a", "b"]]
 
-    left = sets_of(lefts, "sid").select(F.col("sid").alias("a"), F.col("elems").alias("ea"))
-    right = sets_of(rights, "sid", "a").select("a", F.col("sid").alias("b"), F.col("elems").alias("eb"))
+    left = _exact_sets(docs, lefts, words, repeated, "sid").select(F.col("sid").alias("a"), F.col("elems").alias("ea"))
+    right = _exact_sets(docs, rights, words, repeated, "sid", "a").select("a", F.col("sid").alias("b"), F.col("elems").alias("eb"))
     return right.join(left, "a").mapInPandas(check, "a long, b long").distinct()
 
 
@@ -418,8 +421,60 @@ def _list_pairs(lists: pa.Table, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
-def _apart(lists: DataFrame, at: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs that share a list but no component, agree often enough for a link, and are no list head's pairs."""
+def _block_pairs(g: pd.DataFrame, rule: Rule) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, rows) of two blocks of a long list that are of different components and agree often enough for a link."""
+    i, j, head, code = (int(g[c].iloc[0]) for c in ("i", "j", "head", "code"))
+    m, here = 1 << (code >> 1 & 31), _broad(np.array([code], np.int64).view(np.uint64))[0]
+    sid, comp, block, size = (g[c].to_numpy() for c in ("sid", "component", "own", "n_shingles"))
+    size = size.astype(np.int64)
+    broad = np.frombuffer(b"".join(g["broad"]), "<u2").reshape(len(g), m)
+    for x in range(len(g)):
+        if block[x] != i or sid[x] == head:
+            continue
+        d = (size + size[x]) * (rule.q - rule.p) // (rule.q + rule.p)
+        ok = (block == j) & (comp != comp[x]) & (sid != head) & ((sid > sid[x]) | (i != j))
+        ok &= rule.q * np.minimum(size, size[x]) >= rule.p * np.maximum(size, size[x])
+        ok[ok] = rule.ranges_of(d[ok]) == m
+        if ok.any():
+            near = np.flatnonzero(ok)
+            same = (broad[near] | 1) == (broad[x] | 1)
+            # Of all lists that a pair shares, only those of its first ranges name it.
+            both = same & (broad[near] & broad[x] & 1 == 1)
+            named = (both & (both.cumsum(axis=1) <= NAMING) & (broad[x] == here)).any(axis=1)
+            ys = near[(same.sum(axis=1) >= m - d[near]) & named]
+            if len(ys):
+                yield x, ys
+
+
+def _block_links(g: pd.DataFrame, rule: Rule) -> pd.DataFrame:
+    """Links (a, b) that join the components of two blocks, by the exact sets (``elems``): fewer than there are components."""
+    sets = [np.frombuffer(e, np.uint64) for e in g["elems"]]
+    starts = np.cumsum([0, *map(len, sets)])
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    has = np.zeros(len(values), dtype=bool)
+    sid, root, sizes = g["sid"].to_numpy(), g["component"].to_numpy().copy(), np.diff(starts)
+    out = []
+    for x, ys in _block_pairs(g, rule):
+        ys = ys[root[ys] != root[x]]
+        has[at[starts[x] : starts[x + 1]]] = True
+        common = np.array([has[at[starts[y] : starts[y + 1]]].sum() for y in ys], dtype=np.int64)
+        has[at[starts[x] : starts[x + 1]]] = False
+        for y in ys[rule.q * common >= rule.p * (sizes[x] + sizes[ys] - common)]:
+            if root[y] != root[x]:
+                root[root == root[y]] = root[x]
+                out.append(sorted((int(sid[x]), int(sid[y]))))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
+def _apart(
+    lists: DataFrame, at: DataFrame, docs: DataFrame, reps: DataFrame, words: int, rule: Rule, repeated: bool
+) -> tuple[DataFrame, DataFrame]:
+    """What shares a list but no component, without the pairs of list heads: (pairs, links).
+
+    The pairs come from short lists and agree often enough for a link. The links
+    come from longer lists; they are decided on the exact sets, and as many as
+    join what links there.
+    """
     at = at.select(F.col("node").alias("sid"), "component")
     rows = lists.join(at, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     mixed = (
@@ -447,43 +502,28 @@ def _apart(lists: DataFrame, at: DataFrame, reps: DataFrame, rule: Rule) -> Data
     # Longer lists, cut to blocks; every pair of blocks is one task-sized group.
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("sid"), blocks).cast("int")
-    long = rows.filter(F.col("c") > SHORT_LIST).join(reps.select("sid", "n_shingles", "ms", "broad"), "sid")
+    long = rows.filter(F.col("c") > SHORT_LIST).join(reps.select("sid", "h1", "n_shingles", "ms", "broad"), "sid")
     long = (
         long.withColumn("own", own).withColumn("broad", F.substring("broad", 2 * (m - F.col("ms")[0]) + 1, 2 * m))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
     )
 
-    def compare(g: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        i, j, head, code = (int(g[c].iloc[0]) for c in ("i", "j", "head", "code"))
-        m, here = 1 << (code >> 1 & 31), _broad(np.array([code], np.int64).view(np.uint64))[0]
-        sid, comp, block, size = (g[c].to_numpy() for c in ("sid", "component", "own", "n_shingles"))
-        size = size.astype(np.int64)
-        broad = np.frombuffer(b"".join(g["broad"]), "<u2").reshape(len(g), m)
-        for x_ in range(len(g)):
-            if block[x_] != i or sid[x_] == head:
-                continue
-            d = (size + size[x_]) * (rule.q - rule.p) // (rule.q + rule.p)
-            ok = (block == j) & (comp != comp[x_]) & (sid != head) & ((sid > sid[x_]) | (i != j))
-            ok &= rule.q * np.minimum(size, size[x_]) >= rule.p * np.maximum(size, size[x_])
-            ok[ok] = rule.ranges_of(d[ok]) == m
-            if ok.any():
-                near = np.flatnonzero(ok)
-                same = (broad[near] | 1) == (broad[x_] | 1)
-                # Of all lists that a pair shares, only those of its first ranges name it.
-                both = same & (broad[near] & broad[x_] & 1 == 1)
-                named = (both & (both.cumsum(axis=1) <= NAMING) & (broad[x_] == here)).any(axis=1)
-                for y_ in near[(same.sum(axis=1) >= m - d[near]) & named]:
-                    a, b = sorted((int(sid[x_]), int(sid[y_])))
-                    out.append((a, b))
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    wide = (
-        long.select("code", "i", "j", "head", "sid", "component", "own", "n_shingles", "broad")
-        .groupBy("code", "i", "j").applyInPandas(compare, "a long, b long")
-    )
-    return pairs.unionByName(wide).distinct()
+    columns = ["code", "i", "j", "head", "sid", "component", "own", "n_shingles", "broad", "h1"]
+    types = "code long, i int, j int, head long, sid long, component long, own int, n_shingles int, broad binary, h1 long"
+
+    def near(g: pd.DataFrame) -> pd.DataFrame:
+        seen = np.zeros(len(g), dtype=bool)
+        for x, ys in _block_pairs(g, rule):
+            seen[x] = seen[ys] = True
+        return g[seen]
+
+    # Pairs stay in the task: a group names its members that have one, and these come again with their exact sets.
+    met = store(long.select(*columns).groupBy("code", "i", "j").applyInPandas(near, types), "met")
+    ids = store(met.select("sid", "h1").distinct(), "needed")
+    sets = met.drop("h1").join(_exact_sets(docs, ids, words, repeated, "sid"), "sid")
+    wide = sets.groupBy("code", "i", "j").applyInPandas(lambda g: _block_links(g, rule), "a long, b long")
+    return pairs.distinct(), wide.distinct()
 
 
 def similar_groups(docs: DataFrame, words: int = 5, p: int = 8, q: int = 10) -> DataFrame:
@@ -537,8 +577,9 @@ def similar_groups(docs: DataFrame, words: int = 5, p: int = 8, q: int = 10) ->
         .filter("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
         .join(first, ["a", "b"], "left_anti")
     )
-    rest = store(later.unionByName(_apart(lists, at, reps, rule)).distinct(), "rest")
-    more = store(_verified(rest, docs, reps, words, rule, repeated), "links")
+    pairs, joined = _apart(lists, at, docs, reps, words, rule, repeated)
+    rest = store(later.unionByName(pairs).distinct(), "rest")
+    more = store(_verified(rest, docs, reps, words, rule, repeated).unionByName(joined).distinct(), "links")
     if not more.isEmpty():
         at = extended(at, more)
 
