@@ -94,10 +94,6 @@ def invalid_position(lat: Column, lon: Column) -> Column:
     return ~F.coalesce(lat.between(*LAT_RANGE) & lon.between(*LON_RANGE), F.lit(False))
 
 
-def altitude_from_text(text: Column, limits: Sequence[float] = ALTITUDE_RANGE["L"]) -> Column:
-    return F.when(on_ground(text), F.lit(0.0)).otherwise(keep_within(lenient_double(text), limits))
-
-
 def on_ground(text: Column) -> Column:
     return F.lower(text) == ON_GROUND_TEXT
 

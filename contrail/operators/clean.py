@@ -63,7 +63,9 @@ def _clean_n(raw: DataFrame, as_of: datetime | None) -> DataFrame:
 
 
 def _clean_l(raw: DataFrame) -> DataFrame:
-    altitude, speed = F.col("alt_baro"), F.col("gs")
+    # The text is cast once, in a projection of its own: a text that is no number costs an exception each time.
+    raw = raw.filter(F.col("hex").isNotNull()).withColumn("_feet", C.lenient_double(F.col("alt_baro")))
+    altitude, feet, speed = F.col("alt_baro"), F.col("_feet"), F.col("gs")
     lat, lon = F.col("lat"), F.col("lon")
     limits = C.ALTITUDE_RANGE["L"]
     picked = {
@@ -75,7 +77,7 @@ def _clean_l(raw: DataFrame) -> DataFrame:
         "category": C.tidy(F.col("category")),
         "lat": C.keep_within(lat, C.LAT_RANGE),
         "lon": C.keep_within(lon, C.LON_RANGE),
-        "altitude_ft": C.altitude_from_text(altitude),
+        "altitude_ft": F.when(C.on_ground(altitude), F.lit(0.0)).otherwise(C.keep_within(feet, limits)),
         "on_ground": C.on_ground(altitude),
         "gs_knots": C.keep_within(speed, C.SPEED_RANGE["L"]),
         "track_deg": F.col("track"),
@@ -87,12 +89,10 @@ def _clean_l(raw: DataFrame) -> DataFrame:
         "loaded_at": F.col("_loaded_at"),
         "dq_missing_pos": lat.isNull() | lon.isNull(),
         "dq_missing_call": F.col("flight").isNull(),
-        "dq_bad_alt": ~C.lenient_double(altitude).between(*limits) & ~C.on_ground(altitude),
+        "dq_bad_alt": ~feet.between(*limits) & ~C.on_ground(altitude),
         "dq_bad_speed": speed.isNull() | ~speed.between(*C.SPEED_RANGE["L"]),
     }
-    return raw.filter(F.col("hex").isNotNull()).select(
-        *[picked.get(n, F.col(n)).alias(n) for n in schemas.CLEAN_L.names]
-    )
+    return raw.select(*[picked.get(n, F.col(n)).alias(n) for n in schemas.CLEAN_L.names])
 
 
 def new_keys_only(rows: DataFrame, known: DataFrame, key: str = "hex") -> DataFrame:
