@@ -23,12 +23,14 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from contrail.llm.components import connected
-from contrail.llm.scratch import store
+from contrail.llm.scratch import store, store_buckets
 from contrail.llm.textbytes import mix
 
 RUN = 8  # tokens of the shortest repeat that counts
@@ -37,9 +39,15 @@ PLATE_SHARE = 0.5  # share of a host's pages whose articles have a run that goes
 PLATE_LEAST = 3  # and how many pages that are at least
 PART_BYTES = 2 << 20  # html of a host that is laid end to end
 SLICE_CHARS = 2 << 20  # text that a task lays end to end when it hashes windows
-BROADCAST_HOSTS = 1_000_000  # most hosts whose part counts are sent to all executors
+HITS = 1 << 20  # windows that a task holds when it tells slices what goes
+MOST_BUCKETS = 100_000  # Spark's limit for a table
+BROADCAST_HOSTS = 1_000_000  # most hosts whose part counts are sent to all executors, and most pages that are copies
 
 NAMED, LOOSE, CORE, MAIN = 0, 1, 2, 3  # MAIN is only known while a page is read
+PACKED = (
+    "slice long, pages array<long>, page_ids array<string>, urls array<string>, hosts binary, blocks binary, kinds binary, "
+    "sizes binary, words binary, words_bytes long, codes binary"
+)
 RESULT = "page_id long, url string, text string, n_chars long, n_repeated long"
 
 # Element and attribute names of HTML.
@@ -70,7 +78,6 @@ TAG = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.S)
-SPACE = re.compile(r"\s+")
 
 
 def _named(name: str, rest: str, in_core: bool) -> bool:
@@ -105,7 +112,7 @@ def blocks(page: str | None) -> list[tuple[int, str]]:
     kind = LOOSE
 
     def flush() -> None:
-        text = SPACE.sub(" ", html.unescape("".join(held))).strip()
+        text = " ".join(html.unescape("".join(held)).split())
         held.clear()
         if text:
             out.append((kind, text))
@@ -182,9 +189,7 @@ def _ranks(tokens: np.ndarray, run: int) -> np.ndarray:
 
 def _spread(begins: np.ndarray, n: int, run: int) -> np.ndarray:
     """Which of ``n`` tokens lie in the runs that begin there."""
-    edge = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(edge, begins, 1)
-    np.add.at(edge, begins + run, -1)
+    edge = np.bincount(begins, minlength=n + 1) - np.bincount(begins + run, minlength=n + 1)
     return np.cumsum(edge[:-1]) > 0
 
 
@@ -320,28 +325,72 @@ def _hash(word: str) -> int:
     return int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
-def windows(hosts: Sequence[str], texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, begins, blocks, ends) of blocks laid end to end; ``hosts`` names the host of each.
+def windows(tokens: np.ndarray, sizes: np.ndarray, hosts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, begins, blocks) of the windows of blocks laid end to end; ``tokens`` are hashes of words, ``hosts`` those of each block's host.
 
     A hash is of a host and a run of ``RUN`` tokens, or of all of a block that
-    has fewer. ``begins`` counts tokens, ``ends`` tells where each block ends.
+    has fewer. ``begins`` counts tokens.
     """
-    words = [text.split(" ") for text in texts]
-    ends = np.cumsum([len(w) for w in words], dtype=np.int64)
-    sizes = np.diff(ends, prepend=0)
-    if not len(words):
-        none = np.zeros(0, np.int64)
-        return none, none, none, ends
-    codes, distinct = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
-    tokens = np.array([_hash(w) for w in distinct], dtype=np.uint64)[codes]
-    block = np.repeat(np.arange(len(words)), sizes)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    block = np.repeat(np.arange(len(sizes)), sizes)
     left = ends[block] - np.arange(len(tokens))
-    begins = np.flatnonzero((left >= RUN) | ((left == sizes[block]) & (left < RUN)))
-    held = np.minimum(left[begins], RUN)
-    out = mix(np.array([_hash(h) for h in hosts], dtype=np.uint64)[block[begins]] + held.astype(np.uint64))
-    for j in range(RUN):
-        out = np.where(held > j, mix(out + tokens[np.minimum(begins + j, len(tokens) - 1)]), out)
-    return out.view(np.int64), begins, block[begins], ends
+    long = sizes[block] >= RUN
+    begins = np.flatnonzero(np.where(long, left >= RUN, left == sizes[block]))
+    if not len(begins):
+        return np.zeros(0, np.int64), begins, begins
+    run, depth = mix(tokens + np.uint64(1)), 1
+    while depth < RUN:  # of twice as many tokens, as in _ranks
+        step = min(depth, RUN - depth)
+        run = mix(run * np.uint64(0x9E3779B97F4A7C15) + np.r_[run[step:], np.zeros(min(step, len(run)), np.uint64)])
+        depth += step
+    out, small = run[begins], np.flatnonzero(~long[begins])
+    at, held = begins[small], left[begins[small]]
+    less = held.astype(np.uint64)
+    for j in range(RUN - 1):
+        less = np.where(held > j, mix(less + tokens[np.minimum(at + j, len(tokens) - 1)]), less)
+    out[small] = less
+    return mix(out + hosts[block[begins]]).view(np.int64), begins, block[begins]
+
+
+def _zstd(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
+
+
+def _squeeze(numbers: np.ndarray) -> bytes:
+    """Whole numbers, compressed by planes of bytes."""
+    planes = np.ascontiguousarray(numbers, dtype="<u8").view(np.uint8).reshape(-1, 8).T
+    return len(numbers).to_bytes(8, "little") + _zstd(planes.tobytes())
+
+
+def _unsqueeze(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    if not n:
+        return np.zeros(0, np.uint64)
+    planes = np.frombuffer(pa.decompress(data[8:], 8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view("<u8").ravel()
+
+
+def _distinct(numbers: np.ndarray) -> np.ndarray:
+    numbers = np.sort(numbers)
+    return numbers[np.r_[True, numbers[1:] != numbers[:-1]][: len(numbers)]]
+
+
+def _among(numbers: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    """Which numbers are in an ascending set."""
+    if not len(ascending):
+        return np.zeros(len(numbers), dtype=bool)
+    return ascending[np.minimum(np.searchsorted(ascending, numbers), len(ascending) - 1)] == numbers
+
+
+def _set(ascending: np.ndarray) -> bytes:
+    """A set of unsigned numbers in ascending order, by its steps."""
+    return _squeeze(np.diff(ascending, prepend=np.uint64(0)))
+
+
+def _sets(found: Sequence[bytes] | None) -> np.ndarray:
+    """All numbers of some sets, ascending."""
+    found = () if found is None else found
+    return np.sort(np.concatenate([np.zeros(0, np.uint64), *(np.cumsum(_unsqueeze(x), dtype=np.uint64) for x in found)]))
 
 
 def _slices(pages: pd.DataFrame, chars: Sequence[int]) -> Iterator[pd.DataFrame]:
@@ -369,44 +418,117 @@ def _read(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(_parsed, "page_id long, url string, host string, page long, kinds array<int>, blocks array<string>")
 
 
-def _laid(pages: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    """``windows`` of the blocks of all pages, and each block's page (by place), kind and whether it is of the main text."""
-    count = [len(k) for k in pages["kinds"]]
-    at = np.repeat(np.arange(len(pages)), count)
-    kinds = np.array([k for ks in pages["kinds"] for k in ks], dtype=np.int64)
-    whole = np.full(len(pages), LOOSE)
-    whole[at[kinds == CORE]] = CORE
-    found = windows([h for h, n in zip(pages["host"], count, strict=True) for _ in range(n)], [t for ts in pages["blocks"] for t in ts])
-    return (*found, at, kinds, kinds == whole[at])
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Parsed pages a slice to a row: numbered words, their numbers in page order, and where blocks and pages end."""
+    key = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
+    for b in batches:
+        for part in _slices(b, [sum(map(len, texts)) for texts in b["blocks"]]):
+            split = [t.split(" ") for texts in part["blocks"] for t in texts]
+            codes, words = pd.factorize(np.array([w for ws in split for w in ws], dtype=object))
+            # Words are numbered as they come, so a new one needs no number of its own.
+            new = codes > np.r_[-1, np.maximum.accumulate(codes)[:-1]] if len(codes) else codes
+            kinds = np.array([k for ks in part["kinds"] for k in ks], np.uint64)
+            yield pd.DataFrame(
+                {
+                    "slice": [key], "pages": [part["page"].tolist()],
+                    "page_ids": [[None if pd.isna(x) else str(int(x)) for x in part["page_id"]]], "urls": [part["url"].tolist()],
+                    "hosts": [_squeeze(np.array([_hash(h) for h in part["host"]], np.uint64))],
+                    "blocks": [_squeeze(np.array([len(k) for k in part["kinds"]], np.uint64))],
+                    "kinds": [_squeeze(kinds)], "sizes": [_squeeze(np.array([len(ws) for ws in split], np.uint64))],
+                    "words": [_zstd(text := " ".join(words).encode())],
+                    "words_bytes": [len(text)], "codes": [_squeeze(np.where(new, 0, codes + 1))],
+                }
+            )
+            key += 1
+
+
+class _Slice:
+    """A row of ``_packed`` with its windows."""
 
+    def __init__(self, row) -> None:
+        self.count = len(row.pages)
+        text = pa.decompress(row.words, row.words_bytes, codec="zstd", asbytes=True) if row.words_bytes else b""
+        self.words = np.array(text.decode().split(" "), dtype=object)
+        codes, self.sizes = _unsqueeze(row.codes).astype(np.int64), _unsqueeze(row.sizes).astype(np.int64)
+        self.codes = np.where(codes == 0, np.cumsum(codes == 0), codes) - 1
+        self.kinds = _unsqueeze(row.kinds).astype(np.int64)
+        self.page = np.repeat(np.arange(self.count), _unsqueeze(row.blocks).astype(np.int64))  # of each block
+        self.has_core = np.bincount(self.page[self.kinds == CORE], minlength=self.count) > 0
+        self.main = self.kinds == np.where(self.has_core, CORE, LOOSE)[self.page]
+        tokens = pd.util.hash_array(self.words, categorize=False)[self.codes]
+        self.h, self.begins, self.block = windows(tokens, self.sizes, _unsqueeze(row.hosts)[self.page])
 
-def _large(rows: DataFrame) -> DataFrame:
-    """Main texts of hosts of any size: what ``_clean`` finds in memory, by joins over the hashes of windows."""
+
+def _short(h: np.ndarray, bits: int) -> np.ndarray:
+    return h.view(np.uint64) >> np.uint64(64 - bits)
+
+
+def _sent(slices: DataFrame, bits: int, bucket_bits: int) -> DataFrame:
+    """(slice, found): the slice's windows, by their first ``bits`` bits, that another slice may have too.
+
+    Every slice sends the short hashes of its windows, and all of a hash meet
+    in one bucket: two or three bytes a window travel instead of whole rows.
+    What differs in the remaining bits is told apart afterwards.
+    """
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for row in b.itertuples():
+                short = _distinct(_short(_Slice(row).h, bits))
+                bounds = np.searchsorted(short, np.arange((1 << bucket_bits) + 1, dtype=np.uint64) << np.uint64(bits - bucket_bits))
+                full = np.flatnonzero(np.diff(bounds))
+                yield pd.DataFrame(
+                    {"bucket": full, "slice": row.slice, "found": [_set(short[bounds[i] : bounds[i + 1]]) for i in full.tolist()]}
+                )
+
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        sent = [_sets([x]) for x in group["found"]]
+        every = np.sort(np.concatenate(sent))
+        several = _distinct(every[1:][every[1:] == every[:-1]])
+        return pd.DataFrame({"slice": group["slice"], "found": [_set(x[_among(x, several)]) for x in sent]})
+
+    return slices.mapInPandas(send, "bucket int, slice long, found binary").groupBy("bucket").applyInPandas(meet, "slice long, found binary")
+
+
+def _large(rows: DataFrame, chars: int) -> DataFrame:
+    """Main texts of hosts of any size: what ``_clean`` finds in memory, by joins over the hashes of windows.
+
+    ``chars`` is the html of the hosts, about. Parsed pages are written once, by
+    slices in buckets, and stay there: what is found out about their windows
+    comes to them.
+    """
+    size = max(2, chars).bit_length()
+    bits, bucket_bits = min(60, max(24, size + 3)), max(6, size - 25)
+    count = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS // 2)
+    slices = store_buckets(_read(rows).mapInPandas(_packed, PACKED), "slices", 2 * count, "slice")
+    met = _sent(slices, bits, bucket_bits).groupBy("slice").agg(F.collect_list("found").alias("met"))
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in _parsed(batches):
-            h, _, block, _, at, kinds, of_main = _laid(part)
-            if not len(h):
-                continue
-            # One row per page and window, main if any of its places is.
-            page = at[block]
-            order = np.lexsort((~of_main[block], h, page))
-            h, page, main = h[order], page[order], of_main[block][order]
-            new = np.r_[True, (h[1:] != h[:-1]) | (page[1:] != page[:-1])]
-            h, page, main = h[new], page[new], main[new]
-            has_core = np.bincount(at[kinds == CORE], minlength=len(part)) > 0
-            n = np.bincount(page[main], minlength=len(part)).astype(np.int32)
-            yield pd.DataFrame(
-                {"h": h, "page": part["page"].to_numpy()[page], "main": main, "core": main & has_core[page], "n": n[page]}
-            )
+        for b in batches:
+            for row in b.itertuples():
+                part = _Slice(row)
+                # One row per page and window, main if any of its places is.
+                order = np.argsort(part.h, kind="stable")
+                h, page, main = part.h[order], part.page[part.block][order], part.main[part.block][order]
+                first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (page[1:] != page[:-1])][: len(h)])
+                if not len(first):
+                    continue
+                h, page, main = h[first], page[first], np.maximum.reduceat(main, first)
+                n = np.bincount(page[main], minlength=part.count).astype(np.int32)
+                same = h[1:] == h[:-1]  # on two pages of the slice
+                out = np.r_[False, same] | np.r_[same, False] | _among(_short(h, bits), _sets(row.met))
+                out = np.flatnonzero(out)[np.argsort(page[out], kind="stable")]  # a page's rows together compress better
+                h, page, main = h[out], page[out], main[out]
+                yield pd.DataFrame(
+                    {"h": h, "page": np.asarray(row.pages, np.int64)[page], "slice": row.slice, "main": main, "core": main & part.has_core[page], "n": n[page]}
+                )
 
     # All pages of a window meet once, and windows of a single page go no further.
-    held = rows.mapInPandas(emit, "h long, page long, main boolean, core boolean, n int").repartition("h")
-    held = held.groupBy("h", "page").agg(F.max("main").alias("main"), F.max("core").alias("core"), F.max("n").alias("n"))
+    held = slices.join(met, "slice", "left").mapInPandas(emit, "h long, page long, slice long, main boolean, core boolean, n int")
     both = Window.partitionBy("h")
-    held = held.withColumns({"_a": F.min("page").over(both), "_b": F.max("page").over(both)})
-    held = store(held.filter("_a <> _b").drop("_a", "_b"), "windows")
-    main = held.filter("main").select("h", "page")
+    held = held.repartition(count, "h").withColumns({"_a": F.min("page").over(both), "_b": F.max("page").over(both)})
+    held = store_buckets(held.filter("_a <> _b").drop("_a", "_b"), "windows", count, "h")
+    main = held.filter("main").select("h", "page").distinct()
     owners = main.groupBy("h").agg(F.min("page").alias("owner"), F.max("page").alias("_last")).filter("owner <> _last").drop("_last")
     pairs = store(main.join(owners, "h").filter("page <> owner").groupBy("page", "owner").agg(F.count(F.lit(1)).alias("n")), "pairs")
     own = (
@@ -419,47 +541,61 @@ def _large(rows: DataFrame) -> DataFrame:
         best.join(own, "page").join(own.select(F.col("page").alias("owner"), F.col("own").alias("theirs")), "owner")
         .filter((COPY_OF * F.col("n") >= COPY_PART * (F.col("n") + F.col("own"))) & (COPY_OF * F.col("n") >= COPY_PART * F.col("theirs")))
     )
-    groups = connected(edges.select(F.col("page").alias("a"), F.col("owner").alias("b")))
+    groups = store(connected(edges.select(F.col("page").alias("a"), F.col("owner").alias("b"))), "groups")
     of_group = groups.withColumnRenamed("node", "page")
+    of_group = F.broadcast(of_group) if groups.count() <= BROADCAST_HOSTS else of_group
     hosts = rows.select("host", "page").distinct()  # of the table, not of parsed pages
     total = hosts.join(of_group, "page", "left").groupBy("host").agg(F.count_distinct(F.coalesce("component", "page")).alias("groups"))
     need = F.greatest(F.lit(PLATE_LEAST), F.ceil(F.col("groups") * PLATE_SHARE)).alias("need")
     needs = hosts.join(total.select("host", need), "host").select("page", "need")
-    grouped = held.join(of_group, "page", "left").withColumn("g", F.coalesce("component", "page")).join(needs, "page")
-    found = grouped.groupBy("h").agg(
-        (F.min("g") < F.max("g")).alias("shared"), (F.count_distinct(F.when(F.col("core"), F.col("g"))) >= F.max("need")).alias("plate")
-    )
-    # A page's windows that go: from articles the plates, from loose blocks all that other pages have.
-    plates = held.select("h", "page").join(found.filter("shared OR plate"), "h").groupBy("page").agg(
-        F.collect_list(F.when(F.col("shared"), F.col("h"))).alias("plates"), F.collect_list(F.when(F.col("plate"), F.col("h"))).alias("core_plates")
+    found = held.select("h", "page", "core").join(of_group, "page", "left").withColumn("g", F.coalesce("component", "page")).groupBy("h").agg(
+        (F.min("g") < F.max("g")).alias("shared"), F.count_distinct(F.when(F.col("core"), F.col("g"))).alias("cores"), F.min("page").alias("page")
     )
+    # All pages of a window are of one host, so any of them tells how many must have it.
+    found = found.filter(f"shared OR cores >= {PLATE_LEAST}").join(needs, "page").select("h", "shared", (F.col("cores") >= F.col("need")).alias("plate"))
+
+    def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: list[pd.DataFrame] = []
+
+        def sets() -> pd.DataFrame:
+            every = pd.concat(waiting)
+            every["h"] = every["h"].to_numpy().view(np.uint64)
+            by_slice = every.sort_values(["slice", "h"]).groupby("slice")
+            return pd.DataFrame(
+                [(k, _set(x["h"].to_numpy()[x["shared"]]), _set(x["h"].to_numpy()[x["plate"]])) for k, x in by_slice], columns=["slice", "shared", "plate"]
+            )
+
+        for b in batches:
+            waiting.append(b)
+            if sum(map(len, waiting)) >= HITS:
+                yield sets()
+                waiting.clear()
+        if waiting:
+            yield sets()
+
+    # A slice's windows that go: from articles the plates, from loose blocks all that other pages have.
+    hits = held.select("h", "slice").distinct().join(found.filter("shared OR plate"), "h").select("h", "slice", "shared", "plate")
+    hits = hits.mapInPandas(collect, "slice long, shared binary, plate binary").groupBy("slice")
+    hits = hits.agg(F.collect_list("shared").alias("shared"), F.collect_list("plate").alias("plate"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for part in _slices(b, [sum(map(len, texts)) for texts in b["blocks"]]):
-                h, begins, block, ends, at, kinds, _ = _laid(part)
-                # Windows stand in the order of pages, so a page's are one range.
-                hit = np.zeros(len(h), dtype=bool)
-                bounds = np.searchsorted(at[block], np.arange(len(part) + 1))
-                of_core = (kinds == CORE)[block]
-                for lo, hi, plates, core in zip(bounds[:-1], bounds[1:], part["plates"], part["core_plates"], strict=True):
-                    known, cores = (np.array([] if x is None else x, dtype=np.int64) for x in (plates, core))
-                    if len(known):
-                        hit[lo:hi] = np.isin(h[lo:hi], known) & ~of_core[lo:hi]
-                    if len(cores):
-                        hit[lo:hi] |= np.isin(h[lo:hi], cores) & of_core[lo:hi]
-                sizes = np.diff(ends, prepend=0)
-                covered = _spread(begins[hit & (sizes[block] >= RUN)], int(ends[-1]) if len(ends) else 0, RUN)
-                plate = np.bincount(block[hit], minlength=len(sizes)) > 0
-                marks = [(covered[e - n : e], bool(n < RUN and p)) for e, n, p in zip(ends.tolist(), sizes.tolist(), plate, strict=True)]
-                first = np.searchsorted(at, np.arange(len(part) + 1))
-                rows = [
-                    _page_text(k, t, marks[lo:hi])
-                    for k, t, lo, hi in zip(part["kinds"], part["blocks"], first[:-1], first[1:], strict=True)
-                ]
-                yield _result(part, rows)
-
-    return _read(rows).join(plates, "page", "left").select("page_id", "url", "host", "kinds", "blocks", "plates", "core_plates").mapInPandas(cut, RESULT)
+            for row in b.itertuples():
+                part = _Slice(row)
+                known, cores = (_among(part.h.view(np.uint64), _sets(x)) for x in (row.shared, row.plate))
+                hit = np.where((part.kinds == CORE)[part.block], cores, known)
+                covered = _spread(part.begins[hit & (part.sizes >= RUN)[part.block]], len(part.codes), RUN)
+                plate = (part.sizes < RUN) & (np.bincount(part.block[hit], minlength=len(part.sizes)) > 0)
+                block = np.repeat(np.arange(len(part.sizes)), part.sizes)
+                page = part.page[block]
+                kept = (part.main & ~(plate & (part.kinds != CORE)))[block] & ~covered
+                words = part.words[part.codes[kept]].tolist()
+                ends = np.cumsum(np.bincount(page[kept], minlength=part.count)).tolist()
+                texts = [" ".join(words[lo:hi]) for lo, hi in zip([0, *ends[:-1]], ends, strict=True)]
+                pages = pd.DataFrame({"page_id": pd.array([None if x is None else int(x) for x in row.page_ids], "Int64"), "url": list(row.urls)})
+                yield _result(pages, [*zip(texts, np.bincount(page[covered], minlength=part.count).tolist(), strict=True)])
+
+    return slices.join(hits, "slice", "left").mapInPandas(cut, RESULT)
 
 
 def main_text(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
@@ -480,7 +616,7 @@ def main_text(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     )
 
     parts = store(parts, "hosts")
-    hosts, large = parts.agg(F.count(F.lit(1)), F.count_if(F.col("parts") > 1)).first()
+    hosts, large = parts.agg(F.count(F.lit(1)), F.sum(F.when(F.col("parts") > 1, F.col("parts").cast("long")))).first()
     sent = F.broadcast if hosts <= BROADCAST_HOSTS else lambda x: x  # the html stays where it is read
 
     def dealt(which: Column) -> DataFrame:
@@ -488,4 +624,4 @@ def main_text(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
         return found.select("page_id", "url", "html", "host", F.xxhash64("page_id", "url").alias("page"))
 
     out = _read(dealt(F.col("parts") <= 1)).groupBy("host").applyInPandas(_clean, RESULT)
-    return out.unionByName(_large(dealt(F.col("parts") > 1))) if large else out
+    return out.unionByName(_large(dealt(F.col("parts") > 1), large * part_bytes)) if large else out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -20,6 +21,15 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_buckets(df: DataFrame, label: str, count: int, column: str) -> DataFrame:
+    """``store`` by ``count`` buckets of ``column``: joins and aggregates by it leave the rows where they are."""
+    spark, name = df.sparkSession, f"contrail_{label}_{uuid.uuid4().hex}"
+    df.write.bucketBy(count, column).option("path", scratch_path(spark, label)).saveAsTable(name, format="parquet")
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # only the name: the files are not the catalog's
+    return out
+
+
 def ship_code(spark: SparkSession) -> None:
     """Send this package to the executors, once per application."""
     context = spark.sparkContext
