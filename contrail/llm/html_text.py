@@ -352,8 +352,8 @@ def windows(tokens: np.ndarray, sizes: np.ndarray, hosts: np.ndarray) -> tuple[n
     return mix(out + hosts[block[begins]]).view(np.int64), begins, block[begins]
 
 
-def _zstd(data: bytes) -> bytes:
-    return pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
+def _zstd(data: bytes, level: int = 3) -> bytes:
+    return pa.Codec("zstd", compression_level=level).compress(data, asbytes=True)
 
 
 def _squeeze(numbers: np.ndarray) -> bytes:
@@ -435,7 +435,7 @@ def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     "hosts": [_squeeze(np.array([_hash(h) for h in part["host"]], np.uint64))],
                     "blocks": [_squeeze(np.array([len(k) for k in part["kinds"]], np.uint64))],
                     "kinds": [_squeeze(kinds)], "sizes": [_squeeze(np.array([len(ws) for ws in split], np.uint64))],
-                    "words": [_zstd(text := " ".join(words).encode())],
+                    "words": [_zstd(text := " ".join(words).encode(), 9)],
                     "words_bytes": [len(text)], "codes": [_squeeze(np.where(new, 0, codes + 1))],
                 }
             )
@@ -501,7 +501,8 @@ def _large(rows: DataFrame, chars: int) -> DataFrame:
     bits, bucket_bits = min(60, max(24, size + 3)), max(6, size - 25)
     count = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS // 2)
     slices = store_buckets(_read(rows).mapInPandas(_packed, PACKED), "slices", 2 * count, "slice")
-    met = _sent(slices, bits, bucket_bits).groupBy("slice").agg(F.collect_list("found").alias("met"))
+    # Written, so that nothing needs the shuffled sets any longer.
+    met = store(_sent(slices, bits, bucket_bits).groupBy("slice").agg(F.collect_list("found").alias("met")), "met")
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
